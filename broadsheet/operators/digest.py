@@ -25,30 +25,32 @@ def index_items(items: DataFrame, order: list, within: str = "digest_date", name
 
 
 def slots(layouts: DataFrame, key: str = "digest_date") -> DataFrame:
-    """Nested layouts -> one row per proposed slot with its positions."""
+    """Nested layouts -> one row per proposed slot; empty sections keep one row.
+
+    (key, cat_pos, category, sub_pos, subcategory, intro, slot_pos, item_id)
+    """
     categories = layouts.select(key, F.posexplode("categories").alias("cat_pos", "c"))
-    subs = categories.select(key, "cat_pos", "c.category_name", F.posexplode("c.subcategories").alias("sub_pos", "s"))
+    subs = categories.select(
+        key, "cat_pos", "c.category_name", F.posexplode_outer("c.subcategories").alias("sub_pos", "s")
+    )
     return subs.select(
         key, "cat_pos", F.col("category_name").alias("category"), "sub_pos",
         F.col("s.subcategory_name").alias("subcategory"), F.col("s.intro_text").alias("intro"),
-        F.col("s.item_ids").alias("item_ids"),
+        F.posexplode_outer("s.item_ids").alias("slot_pos", "item_id"),
     )
 
 
-def curate(items: DataFrame, sections: DataFrame, config: DigestConfig = DigestConfig(), key: str = "digest_date") -> DataFrame:
+def curate(items: DataFrame, proposed: DataFrame, config: DigestConfig = DigestConfig(), key: str = "digest_date") -> DataFrame:
     """Stories in the slots of an externally proposed layout.
 
-    ``sections`` is the output of :func:`slots`; ``items`` is numbered by ``idx``
-    in its digest. The first ``max_items_per_category`` ids of a subcategory
-    count before they are checked, so unknown ids use up slots; a negative id
-    counts from the end. Ids below ``-n`` name nothing and are left out.
+    ``proposed`` has the columns of :func:`slots`; ``items`` is numbered by
+    ``idx`` in its digest. The first ``max_items_per_category`` ids of a
+    subcategory count before they are checked, so unknown ids use up slots; a
+    negative id counts from the end. Ids below ``-n`` name nothing and are left
+    out.
     """
-    limit = config.max_items_per_category
     sizes = items.groupBy(key).agg(F.count("*").alias("_n"))
-    taken = sections.select(
-        key, "cat_pos", "category", "sub_pos", "subcategory", "intro",
-        F.posexplode(F.slice("item_ids", 1, limit)).alias("slot_pos", "item_id"),
-    )
+    taken = proposed.where(F.col("slot_pos") < config.max_items_per_category)
     resolved = taken.join(sizes, key).withColumn(
         "idx", F.when(F.col("item_id") < 0, F.col("_n") + F.col("item_id")).otherwise(F.col("item_id"))
     ).drop("_n", "item_id")
@@ -56,6 +58,17 @@ def curate(items: DataFrame, sections: DataFrame, config: DigestConfig = DigestC
     return resolved.join(fields, [key, "idx"]).withColumn("intro", apply_tag_policy(F.col("intro")))
 
 
+def with_empty_sections(curated: DataFrame, proposed: DataFrame, key: str = "digest_date") -> DataFrame:
+    """Add one row without a story for every proposed section that got none."""
+    place = [key, "cat_pos", "sub_pos"]
+    sections = proposed.select(*place, "category", "subcategory", "intro").distinct()
+    used = curated.select(*[F.col(c).alias("_" + c) for c in place]).distinct()
+    same = F.lit(True)
+    for c in place:
+        same = same & F.col(c).eqNullSafe(F.col("_" + c))
+    return curated.unionByName(sections.join(used, same, "left_anti"), allowMissingColumns=True)
+
+
 def unplaced(items: DataFrame, curated: DataFrame, key: str = "digest_date") -> DataFrame:
     """Stories that no slot refers to."""
     return items.join(curated.select(key, "idx").distinct(), [key, "idx"], "left_anti")
@@ -81,6 +94,8 @@ def rule_sections(items: DataFrame) -> DataFrame:
         "category", keyword_category(F.col("title"), F.col("summary"), known)
     ).withColumn("title", escape_html(F.col("title"))).withColumn("summary", escape_html(F.col("summary")))
     used = in_taxonomy(known) if known is not None else F.lit(False)
+    if "idx" in items.columns:
+        escaped = escaped.withColumn("slot_pos", F.col("idx"))
     return (
         escaped.withColumn("cat_pos", taxonomy_position(F.col("category")) - 1)
         .withColumn("sub_pos", F.lit(0))
@@ -110,15 +125,28 @@ def section_top(items: DataFrame, section: list[str], order: list[Column], k: in
     return ranked.where(F.col("rank") <= k)
 
 
-def digest_metrics(curated: DataFrame, key: str = "digest_date") -> tuple[DataFrame, DataFrame]:
-    """(per digest and category name, per digest totals).
+def digest_metrics(
+    curated: DataFrame, items: DataFrame, laid_out: DataFrame, key: str = "digest_date"
+) -> tuple[DataFrame, DataFrame]:
+    """(stories per digest and category name, totals per digest).
 
     A category name used twice reports its last section, while the total counts
-    every section.
+    every section. All stories of a digest count for the path it took: proposed
+    layout (``laid_out`` lists those digests) or keyword rules.
     """
-    sections = curated.groupBy(key, "cat_pos", "category").agg(F.count("*").alias("n"))
+    sections = curated.groupBy(key, "cat_pos", "category").agg(F.count("slot_pos").alias("n"))
     by_name = sections.groupBy(key, "category").agg(F.max_by("n", "cat_pos").alias("n_stories"))
-    totals = sections.groupBy(key).agg(F.sum("n").alias("total_stories"), F.count("*").alias("n_sections"))
+    placed = sections.groupBy(key).agg(F.sum("n").alias("total_stories"), F.count("*").alias("n_sections"))
+    path = laid_out.select(key).distinct().withColumn("_laid_out", F.lit(True))
+    sizes = items.groupBy(key).agg(F.count("*").alias("_n")).join(path, key, "left")
+    by_layout = F.coalesce("_laid_out", F.lit(False))
+    totals = sizes.join(placed, key, "left").select(
+        key,
+        F.coalesce("total_stories", F.lit(0)).alias("total_stories"),
+        F.coalesce("n_sections", F.lit(0)).alias("n_sections"),
+        F.when(by_layout, F.col("_n")).otherwise(0).alias("ai_categorized_count"),
+        F.when(by_layout, F.lit(0)).otherwise(F.col("_n")).alias("fallback_categorized_count"),
+    )
     return by_name, totals
 
 

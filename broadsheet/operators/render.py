@@ -86,7 +86,7 @@ def render(
         F.lit("<section><h2>"), _text(F.col("category"), "Untitled Category"), F.lit("</h2>")
     ))))
     frames.append(per_category.select(key, *_at(F.col("cat_pos"), high, low, 0, zero, F.lit("</section>"))))
-    per_sub = curated.groupBy(key, "cat_pos", "sub_pos").agg(
+    per_sub = curated.where(F.col("sub_pos").isNotNull()).groupBy(key, "cat_pos", "sub_pos").agg(
         F.min("subcategory").alias("subcategory"), F.min("intro").alias("intro"), F.count("title").alias("_n")
     )
     intro = F.when(F.coalesce("intro", F.lit("")) != "", F.concat(F.lit("<p>"), F.col("intro"), F.lit("</p>"))).otherwise("")

@@ -77,6 +77,9 @@ def name_accounts(messages: DataFrame, accounts: DataFrame) -> DataFrame:
     return messages.join(accounts.select("account", "account_name"), "account", "left")
 
 
-def read_stories(spark: SparkSession, path: str) -> DataFrame:
-    """Preview file(s) ``{"items": [...]}`` -> one row per story; fields may be absent."""
-    return spark.read.schema(STORY_FILE).option("multiLine", True).json(path).select(F.inline("items"))
+def read_stories(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Preview file(s) ``{"items": [...]}`` -> one row per story; fields may be absent.
+
+    Files with one object per line can be split over tasks: ``multi_line=False``.
+    """
+    return spark.read.schema(STORY_FILE).option("multiLine", multi_line).json(path).select(F.inline("items"))
