@@ -191,4 +191,9 @@ def sql(query: str, *views: str) -> str:
         need(name)
     if not ordered:
         return query
-    return "WITH RECURSIVE " + ",\n".join(f"{n} AS ({SQL[n][1]})" for n in ordered) + "\n" + query
+    head = "WITH RECURSIVE " + ",\n".join(f"{n} AS ({SQL[n][1]})" for n in ordered)
+    own = query.strip()
+    for opening in ("WITH RECURSIVE ", "WITH "):
+        if own.startswith(opening):
+            return head + ",\n" + own[len(opening):]
+    return head + "\n" + own
