@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..operators.digest import index_items
+from ..operators.scoring import news_only
 from ..operators.stories import extract_stories, place
 
 # Item ids pack (message, line); no text has this many lines of story length.
@@ -26,7 +28,11 @@ def received_at(doc_id: Column) -> Column:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    return messages_of(table(spark, sf_dir, "documents"))
+
+
+def messages_of(docs: DataFrame) -> DataFrame:
+    """Documents, batch or stream, as messages."""
     when = received_at(F.col("doc_id"))
     return docs.select(
         F.concat(F.lit("acct"), (F.col("doc_id") % 2 + 1).cast("string")).alias("account"),
@@ -87,6 +93,20 @@ def placed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return place(items(spark, sf_dir))
 
 
+def news(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return news_only(classified(spark, sf_dir))
+
+
+def news_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_ids(extract_stories(news(spark, sf_dir)))
+
+
+def dated_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items numbered by ``idx`` within the digest of their day."""
+    dated = items(spark, sf_dir).withColumn("digest_date", F.to_date("received_at"))
+    return index_items(dated, ["received_at", "item_id"])
+
+
 SQL = {
     "messages": ((), """
         SELECT 'acct' || (doc_id % 2 + 1) AS account, doc_id AS message_id,
@@ -172,7 +192,16 @@ def _similarity_sql(prefix: str, source: str) -> dict:
     }
 
 
+SQL["news"] = (("classified",), "SELECT * FROM classified WHERE is_news")
+SQL["news_items"] = (("news",), SQL["items"][1].replace("FROM classified", "FROM news"))
+SQL["news_placed"] = (("news_items",), SQL["placed"][1].replace("items.*", "news_items.*").replace("FROM items", "FROM news_items"))
+SQL["news_texts"] = (("news_placed",), SQL["item_texts"][1].replace("FROM placed", "FROM news_placed"))
+SQL["dated_items"] = (("items",), """
+    SELECT *, row_number() OVER (PARTITION BY digest_date ORDER BY received_at, item_id) - 1 AS idx
+    FROM (SELECT *, CAST(received_at AS DATE) AS digest_date FROM items)""")
+
 SQL.update(_similarity_sql("text_", "texts"))
+SQL.update(_similarity_sql("news_", "news_texts"))
 SQL.update(_similarity_sql("item_", "item_texts"))
 
 
