@@ -49,24 +49,18 @@ def exact_groups(stories: DataFrame, text: Column, scope: str = "scope", key: st
     )
 
 
-def exact_links(stories: DataFrame) -> DataFrame:
-    """(scope, a, b): each copy linked to the first story with the same fingerprint."""
-    groups = (
-        stories.groupBy("scope", "fingerprint")
-        .agg(F.min("id").alias("a"), F.count("*").alias("_n"))
-        .where("_n > 1")
-        .drop("_n")
-    )
-    pairs = join_skewed(stories.select("scope", "fingerprint", F.col("id").alias("b")), groups, ["scope", "fingerprint"])
-    return pairs.where("a < b").select("scope", "a", "b")
-
+def shingle_sets(stories: DataFrame, config: SimilarityConfig = SimilarityConfig()) -> DataFrame:
+    """(scope, id, fingerprint, grams, n, signature) of (scope, id, text), written once.
 
-def shingle_sets(stories: DataFrame, config: SimilarityConfig) -> DataFrame:
-    """(scope, id, grams, n, signature), written once; stories too short drop out."""
-    grams = stories.select("scope", "id", shingles(F.col("text"), config.width).alias("grams"))
-    sets = grams.where(F.size("grams") > 0).select(
-        "scope", "id", "grams", F.size("grams").cast("long").alias("n"),
-        F.sha2(F.array_join(F.col("grams").cast("array<string>"), ","), 256).alias("signature"),
+    ``signature`` is equal exactly for equal shingle sets; a story too short for
+    a shingle is identified by its normalised text instead.
+    """
+    marked = stories.select(
+        "scope", "id", fingerprint(F.col("text")).alias("fingerprint"), shingles(F.col("text"), config.width).alias("grams")
+    )
+    digest = F.sha2(F.array_join(F.col("grams").cast("array<string>"), ","), 256)
+    sets = marked.withColumn("n", F.size("grams").cast("long")).withColumn(
+        "signature", F.when(F.col("n") > 0, digest).otherwise(F.concat(F.lit("short "), F.col("fingerprint")))
     )
     return materialise(sets, "shingles")
 
@@ -189,8 +183,12 @@ def _hot_links(crowd: DataFrame, sets: DataFrame, config: SimilarityConfig) -> D
     return found.unionByName(rest.select("scope", "a", "b"))
 
 
-def set_links(sets: DataFrame, config: SimilarityConfig) -> DataFrame:
-    """(scope, a, b) links with a < b over the output of :func:`shingle_sets`."""
+def similar_links(sets: DataFrame, config: SimilarityConfig = SimilarityConfig()) -> DataFrame:
+    """(scope, a, b) links with a < b over the output of :func:`shingle_sets`.
+
+    Equal texts and equal shingle sets are linked to their first story; only that
+    one takes part in the search for near copies.
+    """
     repeated = (
         sets.groupBy(*SET_KEY)
         .agg(F.min("id").alias("a"), F.count("*").alias("_n"))
@@ -203,7 +201,7 @@ def set_links(sets: DataFrame, config: SimilarityConfig) -> DataFrame:
         .select("scope", "a", "b"),
         "copies",
     )
-    firsts = sets.join(copies.select("scope", F.col("b").alias("id")), list(STORY), "left_anti")
+    firsts = sets.where("n > 0").join(copies.select("scope", F.col("b").alias("id")), list(STORY), "left_anti")
     postings = materialise(prefix_postings(firsts, config), "postings")
     sizes = postings.groupBy("scope", "gram").agg(F.count("*").alias("_n"), F.count_if("short_side").alias("_short"))
     hot = materialise(
@@ -218,11 +216,6 @@ def set_links(sets: DataFrame, config: SimilarityConfig) -> DataFrame:
     return materialise(copies.unionByName(links).distinct(), "links")
 
 
-def similar_links(stories: DataFrame, config: SimilarityConfig = SimilarityConfig()) -> DataFrame:
-    """(scope, a, b) similarity links for stories (scope, id, text)."""
-    return set_links(shingle_sets(stories, config), config)
-
-
 # Fixed universal-hash family over the Mersenne prime 2**31 - 1.
 _PRIME = 2_147_483_647
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.bind import bind
 from ..functions.text import escape_html
 from ..schemas import CATCH_ALL, KEYWORD_RULES, TAXONOMY
 
@@ -107,9 +108,22 @@ def placements(primary: Column, secondary: Column) -> Column:
 
 
 def place(items: DataFrame) -> DataFrame:
-    """One row per category an item belongs to; a repeated secondary repeats."""
+    """One row per category an item belongs to; a repeated secondary repeats.
+
+    ``placement_no`` counts an item's placements in the same category from 0, so
+    that distinct (item, category) pairs are a filter and not a shuffle.
+    """
     slots = placements(F.col("email_primary_category"), F.col("email_secondary_categories"))
-    return items.select("*", F.inline(slots))
+
+    def numbered(all_slots: Column) -> Column:
+        def earlier(slot: Column, i: Column) -> Column:
+            same = F.filter(F.slice(all_slots, F.lit(1), i), lambda s: s["category"] == slot["category"])
+            return F.struct(slot["category"].alias("category"), slot["is_secondary_category"].alias("is_secondary_category"),
+                            F.size(same).alias("placement_no"))
+
+        return F.transform(all_slots, earlier)
+
+    return items.select("*", F.inline(bind(slots, numbered)))
 
 
 def placement_summary(placed: DataFrame) -> DataFrame:

@@ -331,7 +331,7 @@ SELECT digest_date, category, rank, title, group_type, original_count, first_ite
 def top_stories(spark, d):
     """Top ten stories per day and category from news mail, with duplicates merged."""
     told, _ = deduplicate(place(V.news_items(spark, d)))
-    dated = told.select(
-        "category", "title", "group_type", "original_count", "first_item_id", F.to_date("received_at").alias("digest_date")
-    ).distinct()  # a repeated secondary placement is one story
+    once = told.where(F.coalesce("placement_no", F.lit(0)) == 0)  # a repeated placement is one story
+    dated = once.select(
+        "category", "title", "group_type", "original_count", "first_item_id", F.to_date("received_at").alias("digest_date"))
     return D.section_top(dated, ["digest_date", "category"], [F.desc("original_count"), F.asc("first_item_id")])

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.text import fingerprint
 from ..operators import scoring, stories
 from ..operators.components import clusters
 from ..operators.grouping import (
@@ -17,9 +16,8 @@ from ..operators.grouping import (
     similar_groups,
     typed_groups,
 )
-from ..operators.similarity import exact_groups, exact_links, lsh_links, measured, shingle_sets, similar_links, set_links
+from ..operators.similarity import exact_groups, lsh_links, measured, shingle_sets, similar_links
 from ..operators.skew import join_skewed, number_rows
-from ..config import SimilarityConfig
 from ..session import materialise, new_folder
 from . import views as V
 from .views import sql, table
@@ -284,11 +282,11 @@ LEFT JOIN (SELECT p.id AS a, q.id AS b, count(*) AS shared FROM text_grams p JOI
 WHERE g.id <> g.first_id""", "text_pairs", "text_grams", "text_sizes"))
 def similar_pairs(spark, d):
     """Every near copy with the first story of its group and their exact overlap."""
-    config = SimilarityConfig()
-    sets = shingle_sets(texts(spark, d), config)
-    members = clusters(set_links(sets, config)).where("id <> cluster_id")
+    sets = shingle_sets(texts(spark, d))
+    members = clusters(similar_links(sets)).where("id <> cluster_id")
+    # Groups of texts without shingles have no overlap to report.
     pairs = members.select("scope", F.col("cluster_id").alias("a"), F.col("id").alias("b"))
-    return measured(pairs, sets, hub=True).select(
+    return measured(pairs, sets.where("n > 0"), hub=True).select(
         F.col("b").alias("id"), F.col("a").alias("first_id"), "shared", F.col("na").alias("n_first"), F.col("nb").alias("n_own"))
 
 
@@ -315,9 +313,8 @@ def lsh_pairs(spark, d):
 
 def text_members(spark, d):
     """Clusters of whole documents by exact or near copy, with fingerprints."""
-    stories_ = materialise(texts(spark, d).withColumn("fingerprint", fingerprint(F.col("text"))), "texts")
-    links = exact_links(stories_).unionByName(similar_links(stories_)).distinct()
-    return clusters(links).join(stories_.select("scope", "id", "fingerprint"), ["scope", "id"])
+    sets = shingle_sets(texts(spark, d))
+    return clusters(similar_links(sets)).join(sets.select("scope", "id", "fingerprint"), ["scope", "id"])
 
 
 @query("story_clusters", sql("SELECT id, cluster_id FROM text_clusters", "text_clusters"))
@@ -352,7 +349,7 @@ def consolidate(spark, d):
 def merged_stories(spark, d):
     placed_items = V.placed(spark, d)
     groups = materialise(similar_groups(placed_items), "groups").withColumn("item_pos", F.col("item_id"))
-    return consolidate_groups(groups, placed_items.dropDuplicates(["category", "item_id"]))
+    return consolidate_groups(groups, placed_items.where("placement_no = 0"))
 
 
 @query("story_sources", sql(f"""
