@@ -16,22 +16,22 @@ def _smallest(edges: DataFrame, node: str, other: str) -> DataFrame:
     return edges.groupBy("scope", F.col(node).alias("u")).agg(F.min(other).alias("m"))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, rows: int) -> DataFrame:
     """Link every larger neighbour of a node to the node's smallest neighbour."""
     both = edges.select("scope", F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
         edges.select("scope", F.col("lo").alias("u"), F.col("hi").alias("v"))
     )
     best = _smallest(both, "u", "v").withColumn("m", F.least("u", "m"))
     upward = edges.select("scope", F.col("lo").alias("u"), F.col("hi").alias("v"))
-    return join_skewed(upward, best, ["scope", "u"]).select(
+    return join_skewed(upward, best, ["scope", "u"], rows).select(
         "scope", F.col("v").alias("hi"), F.col("m").alias("lo")
     )
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, rows: int) -> DataFrame:
     """Link a node and its smaller neighbours to the smallest of them."""
     best = _smallest(edges, "hi", "lo")
-    moved = join_skewed(edges.withColumnRenamed("hi", "u"), best, ["scope", "u"]).where("lo <> m")
+    moved = join_skewed(edges.withColumnRenamed("hi", "u"), best, ["scope", "u"], rows).where("lo <> m")
     return moved.select("scope", F.col("lo").alias("hi"), F.col("m").alias("lo")).unionByName(
         best.select("scope", F.col("u").alias("hi"), F.col("m").alias("lo"))
     )
@@ -51,7 +51,8 @@ def clusters(links: DataFrame) -> DataFrame:
     mark = F.struct(F.count("*"), F.bit_xor(F.xxhash64("scope", "hi", "lo")))
     before = edges.select(mark).first()[0]
     for _ in range(MAX_ROUNDS):
-        edges = materialise(_small_star(_large_star(edges).distinct()).distinct(), "edges")
+        rows = before[0]
+        edges = materialise(_small_star(_large_star(edges, rows).distinct(), rows).distinct(), "edges")
         after = edges.select(mark).first()[0]
         if after == before:
             members = edges.select("scope", F.col("hi").alias("id"), F.col("lo").alias("cluster_id"))

@@ -79,7 +79,7 @@ def measured(pairs: DataFrame, sets: DataFrame, hub: bool = False) -> DataFrame:
     return both.select("scope", "a", "b", shared.alias("shared"), "na", "nb")
 
 
-def prefix_postings(sets: DataFrame, config: SimilarityConfig) -> DataFrame:
+def prefix_postings(sets: DataFrame, total: int, config: SimilarityConfig) -> DataFrame:
     """(scope, gram, id, n, short_side): the rarest grams of each story.
 
     With threshold t, a story of n grams and an equal or longer partner at or
@@ -88,43 +88,62 @@ def prefix_postings(sets: DataFrame, config: SimilarityConfig) -> DataFrame:
     grams of the partner. Any fixed order of grams is correct; frequent grams go
     last so that postings stay short. Only grams above ``total / 100_000``
     occurrences need an exact rank, and there are fewer than 100 000 of those,
-    which bounds the broadcast.
+    which bounds the broadcast. ``total`` is the number of grams of all stories.
     """
-    total = sets.agg(F.sum("n")).first()[0] or 0
+    postings = sets.select("scope", "id", F.explode("grams").alias("gram"))
     common = (
-        sets.select(F.explode("grams").alias("gram"))
-        .groupBy("gram")
+        postings.groupBy("gram")
         .agg(F.count("*").alias("_df"))
         .where(F.col("_df") > max(4, total // 100_000))
     )
-    ranked = (
-        sets.select("scope", "id", "n", "grams")
-        .repartition("scope", "id")  # grouping below then needs no second shuffle
-        .select("scope", "id", "n", F.explode("grams").alias("gram"))
-        .join(F.broadcast(common), "gram", "left")
+    frequent = (
+        postings.join(F.broadcast(common), "gram")
+        .groupBy("scope", "id")
+        .agg(F.array_sort(F.collect_list(F.struct("_df", "gram")))["gram"].alias("_frequent"))
     )
     n = F.col("n")
     take = n - F.ceil(n * config.num / config.den).cast("long") + 1
     take_short = n - F.ceil(n * (2 * config.num) / (config.num + config.den)).cast("long") + 1
-    per_story = ranked.groupBy("scope", "id", "n").agg(
-        F.array_sort(F.collect_list(F.struct(F.coalesce("_df", F.lit(0)).alias("df"), "gram"))).alias("_by_rank")
+    last = F.coalesce("_frequent", F.array().cast("array<bigint>"))
+    ranked = F.concat(F.array_except("grams", last), last)
+    return (
+        sets.select("scope", "id", "n", "grams")
+        .join(frequent, list(STORY), "left")
+        .select("scope", "id", "n", F.posexplode(F.slice(ranked, F.lit(1), take.cast("int"))).alias("_rank", "gram"))
+        .select("scope", "gram", "id", "n", (F.col("_rank") < take_short).alias("short_side"))
     )
-    return per_story.select(
-        "scope", "id", "n", F.posexplode(F.slice("_by_rank", F.lit(1), take.cast("int"))["gram"]).alias("_rank", "gram")
-    ).select("scope", "gram", "id", "n", (F.col("_rank") < take_short).alias("short_side"))
 
 
-def _met(small: DataFrame, large: DataFrame, on: list[str], config: SimilarityConfig) -> DataFrame:
-    """Candidate pairs of a short-side row with an equal or longer story."""
-    a = small.where("short_side").select(*on, F.col("id").alias("_x"), F.col("n").alias("_nx"))
-    b = large.select(*on, F.col("id").alias("_y"), F.col("n").alias("_ny"))
-    longer = (F.col("_nx") < F.col("_ny")) | ((F.col("_nx") == F.col("_ny")) & (F.col("_x") < F.col("_y")))
-    fits = F.col("_ny") * config.num <= F.col("_nx") * config.den
-    return (
-        a.join(b, on)
-        .where(longer & fits)
-        .select("scope", F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b"))
-    )
+def _meets(small: Column, large: Column, config: SimilarityConfig) -> Column:
+    """Whether a short-side row can be close to an equal or longer story."""
+    longer = (small["n"] < large["n"]) | ((small["n"] == large["n"]) & (small["id"] < large["id"]))
+    return small["short_side"] & longer & (large["n"] * config.num <= small["n"] * config.den)
+
+
+def _ordered(x: Column, y: Column) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def _cold_pairs(postings: DataFrame, cold: DataFrame, config: SimilarityConfig) -> DataFrame:
+    """Candidates of postings no longer than ``posting_limit``; ``cold`` lists those grams.
+
+    The join leaves the rows of a gram together, so collecting them, at most
+    ``posting_limit`` by the choice of ``cold``, moves nothing.
+    """
+    row = F.struct("n", "id", "short_side")
+    grouped = postings.join(cold, ["scope", "gram"]).groupBy("scope", "gram").agg(F.collect_list(row).alias("rows"))
+    small = grouped.select("scope", "rows", F.explode(F.filter("rows", lambda r: r["short_side"])).alias("x"))
+    met = small.select("scope", "x", F.explode(F.filter("rows", lambda r: _meets(F.col("x"), r, config))).alias("y"))
+    return met.select("scope", *_ordered(F.col("x.id"), F.col("y.id"))).distinct()
+
+
+def _crowd_pairs(crowd: DataFrame, spread: int, config: SimilarityConfig) -> DataFrame:
+    """All remaining candidates of long postings, each posting cut into ``spread`` tasks."""
+    row = F.struct("n", "id", "short_side")
+    x = _salted(crowd.where("short_side"), spread).select("scope", "gram", "_salt", row.alias("x"))
+    y = _copied(crowd, spread).select("scope", "gram", "_salt", row.alias("y"))
+    met = x.join(y, ["scope", "gram", "_salt"]).where(_meets(F.col("x"), F.col("y"), config))
+    return met.select("scope", *_ordered(F.col("x.id"), F.col("y.id")))
 
 
 def _salted(df: DataFrame, spread: int) -> DataFrame:
@@ -171,14 +190,14 @@ def _hot_links(crowd: DataFrame, sets: DataFrame, config: SimilarityConfig) -> D
         across = (
             x.join(y, on)
             .where(F.col("_gx") >= F.col("_gy") - radius - slack)
-            .select("scope", F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b"))
+            .select("scope", *_ordered(F.col("_x"), F.col("_y")))
         )
         pending = across if pending is None else pending.unionByName(across)
         crowd = materialise(judged.where(~F.col("near")).select(*crowd.columns), "crowd")
         largest = crowd.groupBy("scope", "gram").count().agg(F.max("count")).first()[0] or 0
         if largest <= config.posting_limit:
             break
-    pending = pending.unionByName(_met(_salted(crowd, spread), _copied(crowd, spread), on, config))
+    pending = pending.unionByName(_crowd_pairs(crowd, spread, config))
     rest = measured(pending.distinct(), sets).where(_close(F.col("shared"), F.col("na"), F.col("nb"), config))
     return found.unionByName(rest.select("scope", "a", "b"))
 
@@ -189,6 +208,7 @@ def similar_links(sets: DataFrame, config: SimilarityConfig = SimilarityConfig()
     Equal texts and equal shingle sets are linked to their first story; only that
     one takes part in the search for near copies.
     """
+    rows, total = sets.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     repeated = (
         sets.groupBy(*SET_KEY)
         .agg(F.min("id").alias("a"), F.count("*").alias("_n"))
@@ -196,21 +216,23 @@ def similar_links(sets: DataFrame, config: SimilarityConfig = SimilarityConfig()
         .drop("_n")
     )
     copies = materialise(
-        join_skewed(sets.select(*SET_KEY, F.col("id").alias("b")), repeated, SET_KEY)
+        join_skewed(sets.select(*SET_KEY, F.col("id").alias("b")), repeated, SET_KEY, rows)
         .where("a < b")
         .select("scope", "a", "b"),
         "copies",
     )
     firsts = sets.where("n > 0").join(copies.select("scope", F.col("b").alias("id")), list(STORY), "left_anti")
-    postings = materialise(prefix_postings(firsts, config), "postings")
-    sizes = postings.groupBy("scope", "gram").agg(F.count("*").alias("_n"), F.count_if("short_side").alias("_short"))
-    hot = materialise(
-        sizes.where((F.col("_n") > config.posting_limit) & (F.col("_short") > 0)).select("scope", "gram"), "hot"
+    postings = materialise(prefix_postings(firsts, total, config), "postings")
+    sizes = materialise(
+        postings.groupBy("scope", "gram")
+        .agg(F.count("*").alias("_n"), F.count_if("short_side").alias("_short"))
+        .where("_n > 1 AND _short > 0"),
+        "sizes",
     )
-    # A row of a short posting meets at most ``posting_limit`` others.
-    cold = postings.join(hot, ["scope", "gram"], "left_anti")
-    met = _met(cold, cold, ["scope", "gram"], config).distinct()
-    links = measured(met, sets).where(_close(F.col("shared"), F.col("na"), F.col("nb"), config)).select("scope", "a", "b")
+    cold = sizes.where(F.col("_n") <= config.posting_limit).select("scope", "gram")
+    hot = sizes.where(F.col("_n") > config.posting_limit).select("scope", "gram")
+    met = measured(_cold_pairs(postings, cold, config), sets)
+    links = met.where(_close(F.col("shared"), F.col("na"), F.col("nb"), config)).select("scope", "a", "b")
     if not hot.isEmpty():
         links = links.unionByName(_hot_links(postings.join(hot, ["scope", "gram"]), sets, config))
     return materialise(copies.unionByName(links).distinct(), "links")

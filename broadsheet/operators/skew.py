@@ -12,14 +12,19 @@ from ..session import materialise
 HEAVY_ROWS = 1_000_000
 
 
-def join_skewed(left: DataFrame, right: DataFrame, on: Sequence[str], heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+def join_skewed(
+    left: DataFrame, right: DataFrame, on: Sequence[str], rows: int | None = None, heavy_rows: int = HEAVY_ROWS
+) -> DataFrame:
     """Inner join where ``right`` has one row per key and ``left`` may be skewed.
 
     Keys with more than ``heavy_rows`` rows on the left number at most
     ``rows / heavy_rows``, so their right rows are few enough to broadcast and
-    the left rows stay where they are. All other keys are shuffled as usual.
+    the left rows stay where they are. All other keys are shuffled as usual. With
+    ``rows``, the size of the left side if known, small inputs skip the check.
     """
     on = list(on)
+    if rows is not None and rows <= heavy_rows:
+        return left.join(right, on)
     heavy = left.groupBy(*on).count().where(F.col("count") > heavy_rows).select(*on)
     heavy_right = right.join(F.broadcast(heavy), on, "left_semi")
     by_broadcast = left.join(F.broadcast(heavy_right), on)

@@ -330,7 +330,7 @@ SELECT digest_date, category, rank, title, group_type, original_count, first_ite
     "news_typed", "news_items", "news_placed", "news_clusters"))
 def top_stories(spark, d):
     """Top ten stories per day and category from news mail, with duplicates merged."""
-    told, _ = deduplicate(place(V.news_items(spark, d)))
+    told, _ = deduplicate(place(materialise(V.news_items(spark, d), "news-items")))
     once = told.where(F.coalesce("placement_no", F.lit(0)) == 0)  # a repeated placement is one story
     dated = once.select(
         "category", "title", "group_type", "original_count", "first_item_id", F.to_date("received_at").alias("digest_date"))

@@ -18,7 +18,7 @@ from ..operators.grouping import (
 )
 from ..operators.similarity import exact_groups, lsh_links, measured, shingle_sets, similar_links
 from ..operators.skew import join_skewed, number_rows
-from ..session import materialise, new_folder
+from ..session import materialise, new_folder, spread
 from . import views as V
 from .views import sql, table
 
@@ -268,7 +268,7 @@ def exact_duplicates(spark, d):
 
 
 def texts(spark, d):
-    return table(spark, d, "documents").select(F.lit("all").alias("scope"), F.col("doc_id").alias("id"), "text")
+    return spread(table(spark, d, "documents")).select(F.lit("all").alias("scope"), F.col("doc_id").alias("id"), "text")
 
 
 @query("similar_pairs", sql("""

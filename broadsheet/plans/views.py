@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..operators.digest import index_items
 from ..operators.scoring import news_only
 from ..operators.stories import extract_stories, place
+from ..session import spread
 
 # Item ids pack (message, line); no text has this many lines of story length.
 LINES_PER_MESSAGE = 100_000
@@ -27,14 +28,9 @@ def received_at(doc_id: Column) -> Column:
     return F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(days, F.lit(0), minutes)
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return messages_of(table(spark, sf_dir, "documents"))
-
-
-def messages_of(docs: DataFrame) -> DataFrame:
-    """Documents, batch or stream, as messages."""
+def message_columns() -> list[Column]:
     when = received_at(F.col("doc_id"))
-    return docs.select(
+    return [
         F.concat(F.lit("acct"), (F.col("doc_id") % 2 + 1).cast("string")).alias("account"),
         F.col("doc_id").alias("message_id"),
         F.substring_index("text", "\n", 1).alias("subject"),
@@ -42,13 +38,11 @@ def messages_of(docs: DataFrame) -> DataFrame:
         F.date_format(when, "yyyy-MM-dd HH:mm").alias("date"),
         F.col("text").alias("body"),
         when.alias("received_at"),
-        "lang",
-    )
+        F.col("lang"),
+    ]
 
 
-def classification(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
-    joined = docs.join(table(spark, sf_dir, "labels"), "doc_id", "left")
+def classification_columns() -> list[Column]:
     doc_id = F.col("doc_id")
     good = F.col("quality") == 1
     # Fixture categories by language.
@@ -63,18 +57,36 @@ def classification(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(doc_id % 7 == 0, F.array(F.lit("Other"), F.lit("Sports"), F.lit("Other")))
         .otherwise(F.array().cast("array<string>"))
     )
-    return joined.select(
-        doc_id.alias("message_id"),
+    return [
         F.coalesce(good, F.lit(False)).alias("is_news"),
         F.when(good & (F.col("toxic") == 0), "high").when(good, "medium").otherwise("low").alias("confidence"),
-        F.when(F.col("quality").isNull(), "Error in analysis").when(good, "News: report").otherwise("Not News: Promotional").alias("reason"),
+        F.when(F.col("quality").isNull(), "Error in analysis").when(good, "News: report")
+        .otherwise("Not News: Promotional").alias("reason"),
         primary.alias("primary_category"),
         secondary.alias("secondary_categories"),
-    )
+    ]
+
+
+def messages_of(docs: DataFrame) -> DataFrame:
+    """Documents, batch or stream, as messages."""
+    return docs.select(*message_columns())
+
+
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return messages_of(spread(table(spark, sf_dir, "documents")))
+
+
+def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spread(table(spark, sf_dir, "documents"))
+    return docs.join(table(spark, sf_dir, "labels"), "doc_id", "left")
+
+
+def classification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labelled(spark, sf_dir).select(F.col("doc_id").alias("message_id"), *classification_columns())
 
 
 def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return messages(spark, sf_dir).join(classification(spark, sf_dir), "message_id")
+    return labelled(spark, sf_dir).select(*message_columns(), *classification_columns())
 
 
 def with_ids(items: DataFrame) -> DataFrame:

@@ -59,3 +59,14 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     path = new_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Spread the rows of a small scan over all cores; larger scans stay as they are.
+
+    A row group is read by one task, so a small table in one file would keep one
+    core busy with all its text. Spark cuts a scan into more pieces than cores
+    only from 128 MB per core, and such a scan is not shuffled here.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() <= cores else scan
