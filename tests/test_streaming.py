@@ -37,7 +37,8 @@ def test_daily_counts_close_windows(spark, tmp_path):
 
 def test_first_coverage_forgets(spark, tmp_path):
     stream = feed(spark, tmp_path, [[row(i, i / 100, "Same  text") for i in range(50)] + [row(60, 0, "other")],
-                                    [row(61, 5, "same text"), row(62, 24 * 20, "z")], [row(63, 24 * 21, "SAME TEXT")]])
+                                    [row(61, 5, "same text"), row(62, 24 * 20, "z")], [row(64, 24 * 20, "z")],
+                                    [row(63, 24 * 21, "SAME TEXT")]])
     out = jobs.run_to_table(jobs.first_coverage(stream, "body", days=7), "t").collect()
     assert sorted(r.body.lower().replace("  ", " ") for r in out) == ["other", "same text", "same text", "z"]
 
