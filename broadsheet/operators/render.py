@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import clean_url, display_url, escape_html, is_safe_url
 
-PAGE_ORDER = ["cat_pos", "sub_pos", "slot_pos", "part", "part_pos"]
+PAGE_ORDER = ["cat_pos", "sub_pos", "slot_pos", "part", "part_pos", "html"]
 
 
 def _text(c: Column, default: str = "") -> Column:
@@ -57,7 +57,7 @@ def render(
     heads: DataFrame, curated: DataFrame, sources: DataFrame | None = None,
     urls: DataFrame | None = None, key: str = "digest_date",
 ) -> DataFrame:
-    """Fragments (key, *PAGE_ORDER, html) of whole pages.
+    """Fragments (key, *PAGE_ORDER) of whole pages.
 
     ``heads``: one row per digest. ``curated``: one row per slot, with cat_pos,
     sub_pos, slot_pos, category, subcategory, intro, title, summary and
