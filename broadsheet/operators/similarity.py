@@ -80,7 +80,7 @@ def measured(pairs: DataFrame, sets: DataFrame, hub: bool = False) -> DataFrame:
 
 
 def prefix_postings(sets: DataFrame, total: int, config: SimilarityConfig) -> DataFrame:
-    """(scope, gram, id, n, short_side): the rarest grams of each story.
+    """(scope, gram, id, n, rare, short_side): the rarest grams of each story.
 
     With threshold t, a story of n grams and an equal or longer partner at or
     above t share one of the first ``n - ceil(2t/(1+t) * n) + 1`` grams of the
@@ -88,7 +88,8 @@ def prefix_postings(sets: DataFrame, total: int, config: SimilarityConfig) -> Da
     grams of the partner. Any fixed order of grams is correct; frequent grams go
     last so that postings stay short. Only grams above ``total / 100_000``
     occurrences need an exact rank, and there are fewer than 100 000 of those,
-    which bounds the broadcast. ``total`` is the number of grams of all stories.
+    which bounds the broadcast. ``total`` is the number of grams of all stories;
+    ``rare`` counts the grams of a story that are not frequent.
     """
     postings = sets.select("scope", "id", F.explode("grams").alias("gram"))
     common = (
@@ -109,8 +110,11 @@ def prefix_postings(sets: DataFrame, total: int, config: SimilarityConfig) -> Da
     return (
         sets.select("scope", "id", "n", "grams")
         .join(frequent, list(STORY), "left")
-        .select("scope", "id", "n", F.posexplode(F.slice(ranked, F.lit(1), take.cast("int"))).alias("_rank", "gram"))
-        .select("scope", "gram", "id", "n", (F.col("_rank") < take_short).alias("short_side"))
+        .select(
+            "scope", "id", "n", (n - F.size(last)).alias("rare"),
+            F.posexplode(F.slice(ranked, F.lit(1), take.cast("int"))).alias("_rank", "gram"),
+        )
+        .select("scope", "gram", "id", "n", "rare", (F.col("_rank") < take_short).alias("short_side"))
     )
 
 
@@ -157,8 +161,9 @@ def _copied(df: DataFrame, spread: int) -> DataFrame:
 def _hot_links(crowd: DataFrame, sets: DataFrame, config: SimilarityConfig) -> DataFrame:
     """Links among crowds that share a gram, without listing the crowd's pairs.
 
-    Each round the first unsettled story of a posting becomes its leader and is
-    compared with all unsettled ones. Jaccard distance is a metric, so with
+    Each round the unsettled story of a posting with the fewest grams of its own,
+    the likely original of a crowd of copies, becomes its leader and is compared
+    with all unsettled ones. Jaccard distance is a metric, so with
     radius e = 1 - t a story within e of the leader (its ball) is linked and
     settled, a story beyond 2e cannot be close to anything in the ball, and one
     in between can only be close to ball members whose own distance is at least
@@ -173,24 +178,26 @@ def _hot_links(crowd: DataFrame, sets: DataFrame, config: SimilarityConfig) -> D
     found = None
     pending = None
     for _ in range(config.leader_rounds):
-        leaders = crowd.groupBy("scope", "gram").agg(F.min("id").alias("a"))
+        leaders = crowd.groupBy("scope", "gram").agg(F.min(F.struct("rare", "id"))["id"].alias("a"))
         seated = join_skewed(crowd, leaders, ["scope", "gram"])
         asked = seated.select("scope", "a", F.col("id").alias("b")).distinct()
         known = materialise(measured(asked, sets, hub=True), "leader")
         near = _close(F.col("shared"), F.col("na"), F.col("nb"), config)
-        direct = known.where(near & (F.col("a") < F.col("b"))).select("scope", "a", "b")
+        direct = known.where(near & (F.col("a") != F.col("b"))).select("scope", *_ordered(F.col("a"), F.col("b")))
         found = direct if found is None else found.unionByName(direct)
         gap = 1.0 - F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared"))
         verdict = known.select("scope", "a", F.col("b").alias("id"), gap.alias("gap"), near.alias("near"))
         judged = materialise(seated.join(verdict, ["scope", "a", "id"]), "judged")
         ball = judged.where(F.col("near") & (F.col("gap") > 0))
         shell = judged.where(~F.col("near") & (F.col("gap") <= 2 * radius + slack))
-        x = _salted(ball, spread).select(*on, F.col("id").alias("_x"), F.col("gap").alias("_gx"))
-        y = _copied(shell, spread).select(*on, F.col("id").alias("_y"), F.col("gap").alias("_gy"))
+        row = F.struct("n", "id", "short_side", "gap")
+        x = _salted(ball, spread).select(*on, row.alias("x"))
+        y = _copied(shell, spread).select(*on, row.alias("y"))
         across = (
             x.join(y, on)
-            .where(F.col("_gx") >= F.col("_gy") - radius - slack)
-            .select("scope", *_ordered(F.col("_x"), F.col("_y")))
+            .where(F.col("x.gap") >= F.col("y.gap") - radius - slack)
+            .where(_meets(F.col("x"), F.col("y"), config) | _meets(F.col("y"), F.col("x"), config))
+            .select("scope", *_ordered(F.col("x.id"), F.col("y.id")))
         )
         pending = across if pending is None else pending.unionByName(across)
         crowd = materialise(judged.where(~F.col("near")).select(*crowd.columns), "crowd")
