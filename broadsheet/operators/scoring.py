@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import random
 import time
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -28,28 +29,47 @@ class ScoreProvider:
     def score(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         raise NotImplementedError
 
+    def at_rate(self, calls_per_minute: float) -> ScoreProvider:
+        """This provider limited to a call rate per task."""
+        raise NotImplementedError("this provider does not limit its rate")
 
-@dataclass
+
+@dataclass(frozen=True)
 class CallProvider(ScoreProvider):
     """Wraps ``call(prompt) -> text`` with retries and a per-task call rate.
 
-    A request that keeps failing, or answers with nothing, becomes a row with
-    status ``fallback``; it never fails the task, which would pay for the whole
+    Retry k uses ``step_down[k - 1]`` in place of ``call`` where given, so that a
+    failing model can be replaced by a simpler one. Waits vary by ``jitter`` and
+    retries end once they would wait longer than ``max_wait`` in total. A request
+    that keeps failing, or answers with nothing, becomes a row with status
+    ``fallback``; it never fails the task, which would pay for the whole
     partition again.
     """
 
     call: Callable[[str], str]
     attempts: int = 3
     waits: Sequence[float] = (1.0, 2.0)
+    jitter: float = 0.3
+    max_wait: float = 30.0
+    step_down: Sequence[Callable[[str], str]] = ()
     calls_per_minute: float | None = None
 
+    def at_rate(self, calls_per_minute: float) -> CallProvider:
+        return replace(self, calls_per_minute=calls_per_minute)
+
     def _once(self, prompt: str) -> tuple[str | None, int]:
-        for attempt in range(1, self.attempts + 1):
+        models = (self.call, *self.step_down)
+        waited = 0.0
+        for attempt in range(self.attempts):
             try:
-                return self.call(prompt), attempt
+                return models[min(attempt, len(models) - 1)](prompt), attempt + 1
             except Exception:  # noqa: BLE001 - any client error is retried
-                if attempt < self.attempts and self.waits:
-                    time.sleep(self.waits[min(attempt, len(self.waits)) - 1])
+                pause = self.waits[min(attempt, len(self.waits) - 1)] if self.waits else 0.0
+                pause *= random.uniform(1 - self.jitter, 1 + self.jitter)
+                if attempt + 1 == self.attempts or waited + pause > self.max_wait:
+                    return None, attempt + 1
+                time.sleep(pause)
+                waited += pause
         return None, self.attempts
 
     def score(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -73,14 +93,22 @@ def _stored(spark, path: str) -> DataFrame | None:
         return None
 
 
-def score(requests: DataFrame, provider: ScoreProvider, store_path: str, tasks: int | None = None) -> DataFrame:
+def score(
+    requests: DataFrame, provider: ScoreProvider, store_path: str, tasks: int | None = None,
+    calls_per_minute: float | None = None,
+) -> DataFrame:
     """Add ``response``, ``attempts``, ``status`` to ``requests`` by their ``prompt``.
 
     Equal prompts are scored once. Answers go to the table at ``store_path``
-    before anyone reads them, so neither retries nor a second consumer repeat a
-    call; requests answered by an earlier run are skipped, failed ones are tried
-    again. ``tasks`` bounds the number of concurrent callers.
+    before anyone reads them, so a second consumer repeats no call; requests
+    answered by an earlier run are skipped, failed ones are tried again. ``tasks``
+    bounds the concurrent callers, among whom ``calls_per_minute`` is divided.
+    Keep ``spark.speculation`` off for paid calls.
     """
+    if calls_per_minute:
+        if not tasks:
+            raise ValueError("a call rate needs a number of tasks to divide it among")
+        provider = provider.at_rate(calls_per_minute / tasks)
     spark = requests.sparkSession
     hashed = requests.withColumn("request_hash", F.sha2(F.coalesce("prompt", F.lit("")), 256))
     wanted = hashed.groupBy("request_hash").agg(F.min("prompt").alias("prompt"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialise
 
-# A key with more rows than this is joined by broadcast instead of by shuffle.
+# A key with more rows than this is split over several tasks.
 HEAVY_ROWS = 1_000_000
 
 
@@ -17,19 +17,25 @@ def join_skewed(
 ) -> DataFrame:
     """Inner join where ``right`` has one row per key and ``left`` may be skewed.
 
-    Keys with more than ``heavy_rows`` rows on the left number at most
-    ``rows / heavy_rows``, so their right rows are few enough to broadcast and
-    the left rows stay where they are. All other keys are shuffled as usual. With
-    ``rows``, the size of the left side if known, small inputs skip the check.
+    A key with more than ``heavy_rows`` rows on the left is cut into that many
+    parts of about ``heavy_rows``, and its right row is copied to each part. Only
+    the names of such keys are broadcast; there are at most ``rows / heavy_rows``
+    of them. With ``rows``, the size of the left side if known, small inputs skip
+    the check.
     """
     on = list(on)
     if rows is not None and rows <= heavy_rows:
         return left.join(right, on)
-    heavy = left.groupBy(*on).count().where(F.col("count") > heavy_rows).select(*on)
-    heavy_right = right.join(F.broadcast(heavy), on, "left_semi")
-    by_broadcast = left.join(F.broadcast(heavy_right), on)
-    by_shuffle = left.join(F.broadcast(heavy), on, "left_anti").join(right, on)
-    return by_broadcast.unionByName(by_shuffle)
+    heavy = (
+        left.groupBy(*on).agg(F.count("*").alias("_parts")).where(F.col("_parts") > heavy_rows)
+        .withColumn("_parts", F.ceil(F.col("_parts") / heavy_rows).cast("long"))
+    )
+    parts = F.coalesce("_parts", F.lit(1))
+    cut = left.join(F.broadcast(heavy), on, "left").withColumn(
+        "_part", F.pmod(F.xxhash64(*left.columns), parts)).drop("_parts")
+    copies = right.join(F.broadcast(heavy), on, "left").withColumn(
+        "_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("_parts")
+    return cut.join(copies, [*on, "_part"]).drop("_part")
 
 
 def number_rows(df: DataFrame, within: Sequence[str], order: Sequence[Column | str], name: str) -> DataFrame:

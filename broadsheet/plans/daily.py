@@ -12,6 +12,7 @@ from ..config import DigestConfig, DigestError, SimilarityConfig
 from ..operators import digest as D, render, reports
 from ..operators.grouping import Stories, deduplicate
 from ..operators.scoring import classify_rules, news_only
+from ..operators.skew import join_skewed
 from ..operators.stories import extract_stories, place
 from ..schemas import LAYOUT
 from ..session import materialise
@@ -42,8 +43,8 @@ def _members(stories: DataFrame, merged: Stories) -> tuple[DataFrame, DataFrame]
     names = stories.where("all_sources IS NULL").select(
         "category", F.col("first_item_id").alias("group_id"), F.col("idx").alias("story_key"))
     fields = ["subject", "sender", "account", "date"]
-    sources = merged.sources.join(names, ["category", "group_id"]).select("story_key", "source_pos", *fields)
-    urls = merged.urls.join(names, ["category", "group_id"]).select("story_key", F.lit(0).alias("url_pos"), "url")
+    sources = join_skewed(merged.sources, names, ["category", "group_id"]).select("story_key", "source_pos", *fields)
+    urls = join_skewed(merged.urls, names, ["category", "group_id"]).select("story_key", F.lit(0).alias("url_pos"), "url")
     single = stories.where("all_sources IS NOT NULL").withColumnRenamed("idx", "story_key")
     own = single.select("story_key", F.lit(0).cast("long").alias("source_pos"), F.inline("all_sources")).select(
         "story_key", "source_pos", *fields)

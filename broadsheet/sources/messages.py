@@ -13,6 +13,11 @@ from ..schemas import MESSAGE_EXPORT, STORY_FILE
 CORRUPT = "_corrupt_record"
 
 
+def read_messages(spark: SparkSession, path: str) -> DataFrame:
+    """Columnar landing table of exported mail, ideally partitioned by account and day."""
+    return spark.read.parquet(path)
+
+
 def read_export(spark: SparkSession, path: str) -> DataFrame:
     """Line-delimited JSON export; unreadable lines are kept in ``_corrupt_record``."""
     schema = T.StructType(MESSAGE_EXPORT.fields + [T.StructField(CORRUPT, T.StringType())])

@@ -104,3 +104,14 @@ def test_skewed_join_equals_join(spark):
     plain = left.join(right, "k")
     for got in (join_skewed(left, right, ["k"], heavy_rows=500), join_skewed(left, right, ["k"], rows=5_000)):
         assert got.exceptAll(plain).count() == 0 and got.count() == plain.count()
+
+
+def test_step_down_and_rate(spark, tmp_path):
+    def broken(prompt):
+        raise RuntimeError("no")
+
+    provider = scoring.CallProvider(broken, waits=(), step_down=(broken, str.upper))
+    requests = spark.createDataFrame([(1, "x"), (2, "y")], "id int, prompt string")
+    scored = scoring.score(requests, provider, str(tmp_path / "s"), tasks=1, calls_per_minute=6000)
+    assert {(r.response, r.attempts, r.status) for r in scored.collect()} == {("X", 3, "ok"), ("Y", 3, "ok")}
+    assert provider.at_rate(30).calls_per_minute == 30
