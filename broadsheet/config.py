@@ -25,6 +25,8 @@ class SimilarityConfig:
     # instead of pair by pair.
     posting_limit: int = 100
     leader_rounds: int = 4
+    # Leaders per shingle in every round after the first, which has one.
+    leaders: int = 8
 
 
 class DigestError(Exception):

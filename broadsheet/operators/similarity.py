@@ -9,12 +9,13 @@ shared by a crowd are resolved through leaders.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import SimilarityConfig
 from ..functions.bind import bind
 from ..functions.text import fingerprint
 from ..session import materialise
+from .components import clusters
 from .skew import join_skewed
 
 SET_KEY = ("scope", "signature")
@@ -141,72 +142,77 @@ def _cold_pairs(postings: DataFrame, cold: DataFrame, config: SimilarityConfig)
     return met.select("scope", *_ordered(F.col("x.id"), F.col("y.id"))).distinct()
 
 
-def _crowd_pairs(crowd: DataFrame, spread: int, config: SimilarityConfig) -> DataFrame:
-    """All remaining candidates of long postings, each posting cut into ``spread`` tasks."""
-    row = F.struct("n", "id", "short_side")
-    x = _salted(crowd.where("short_side"), spread).select("scope", "gram", "_salt", row.alias("x"))
-    y = _copied(crowd, spread).select("scope", "gram", "_salt", row.alias("y"))
-    met = x.join(y, ["scope", "gram", "_salt"]).where(_meets(F.col("x"), F.col("y"), config))
-    return met.select("scope", *_ordered(F.col("x.id"), F.col("y.id")))
-
+def _leaders(open_rows: DataFrame, k: int) -> DataFrame:
+    """``k`` stories per posting with the fewest grams of their own; each task keeps ``k``."""
+    order = Window.partitionBy("scope", "gram").orderBy("rare", "id")
+    return open_rows.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= k).select(
+        "scope", "gram", F.col("id").alias("a"))
 
-def _salted(df: DataFrame, spread: int) -> DataFrame:
-    return df.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(spread)))
 
+def _leader_links(crowd: DataFrame, sets: DataFrame, config: SimilarityConfig) -> tuple[DataFrame, DataFrame]:
+    """(links to leaders, distance of every row to its posting's first leader).
 
-def _copied(df: DataFrame, spread: int) -> DataFrame:
-    return df.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long"))))
+    A leader is a likely original of a crowd of copies: a story with few grams of
+    its own. It is compared with every row of its posting. Stories that found no
+    leader supply the next round's.
+    """
+    links = gaps = None
+    open_rows = crowd
+    for number in range(config.leader_rounds):
+        leaders = materialise(_leaders(open_rows, 1 if number == 0 else config.leaders), "leaders")
+        seated = join_skewed(crowd, leaders, ["scope", "gram"])
+        asked = seated.select("scope", "a", F.col("id").alias("b")).where("a <> b").distinct()
+        known = materialise(measured(asked, sets, hub=True), "compared")
+        near = known.where(_close(F.col("shared"), F.col("na"), F.col("nb"), config))
+        found = near.select("scope", *_ordered(F.col("a"), F.col("b")))
+        links = found if links is None else links.unionByName(found)
+        if gaps is None:
+            gap = 1.0 - F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared"))
+            gaps = seated.join(known.select("scope", "a", F.col("b").alias("id"), gap.alias("gap")), ["scope", "a", "id"], "left")
+        settled = near.select("scope", F.col("b").alias("id")).unionByName(leaders.select("scope", F.col("a").alias("id")))
+        open_rows = materialise(open_rows.join(settled.distinct(), list(STORY), "left_anti"), "open")
+        largest = open_rows.groupBy("scope", "gram").count().agg(F.max("count")).first()[0] or 0
+        if largest <= config.posting_limit:
+            break
+    return links.distinct(), gaps.withColumn("gap", F.coalesce("gap", F.lit(0.0))).drop("a")
 
 
-def _hot_links(crowd: DataFrame, sets: DataFrame, config: SimilarityConfig) -> DataFrame:
+def _hot_links(crowd: DataFrame, known: DataFrame, sets: DataFrame, config: SimilarityConfig) -> DataFrame:
     """Links among crowds that share a gram, without listing the crowd's pairs.
 
-    Each round the unsettled story of a posting with the fewest grams of its own,
-    the likely original of a crowd of copies, becomes its leader and is compared
-    with all unsettled ones. Jaccard distance is a metric, so with
-    radius e = 1 - t a story within e of the leader (its ball) is linked and
-    settled, a story beyond 2e cannot be close to anything in the ball, and one
-    in between can only be close to ball members whose own distance is at least
-    its distance minus e; just those pairs are measured. What is unsettled after
-    the rounds is compared pair by pair, so no link is ever missed.
+    Leaders link a crowd in linear time. Pairs whose stories ``known`` links or
+    leaders already connect need no link, so in each posting only rows outside
+    its largest component are compared with the others. Jaccard distance is a
+    metric: two stories whose distances to one leader differ by more than 1 - t
+    cannot be close and are not measured. No candidate is left out.
     """
-    radius = 1.0 - config.num / config.den
-    slack = 1e-9
     spread = 32
-    on = ["scope", "gram", "_salt"]
+    reach = 1.0 - config.num / config.den + 1e-9
     crowd = materialise(crowd, "crowd")
-    found = None
-    pending = None
-    for _ in range(config.leader_rounds):
-        leaders = crowd.groupBy("scope", "gram").agg(F.min(F.struct("rare", "id"))["id"].alias("a"))
-        seated = join_skewed(crowd, leaders, ["scope", "gram"])
-        asked = seated.select("scope", "a", F.col("id").alias("b")).distinct()
-        known = materialise(measured(asked, sets, hub=True), "leader")
-        near = _close(F.col("shared"), F.col("na"), F.col("nb"), config)
-        direct = known.where(near & (F.col("a") != F.col("b"))).select("scope", *_ordered(F.col("a"), F.col("b")))
-        found = direct if found is None else found.unionByName(direct)
-        gap = 1.0 - F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared"))
-        verdict = known.select("scope", "a", F.col("b").alias("id"), gap.alias("gap"), near.alias("near"))
-        judged = materialise(seated.join(verdict, ["scope", "a", "id"]), "judged")
-        ball = judged.where(F.col("near") & (F.col("gap") > 0))
-        shell = judged.where(~F.col("near") & (F.col("gap") <= 2 * radius + slack))
-        row = F.struct("n", "id", "short_side", "gap")
-        x = _salted(ball, spread).select(*on, row.alias("x"))
-        y = _copied(shell, spread).select(*on, row.alias("y"))
-        across = (
-            x.join(y, on)
-            .where(F.col("x.gap") >= F.col("y.gap") - radius - slack)
-            .where(_meets(F.col("x"), F.col("y"), config) | _meets(F.col("y"), F.col("x"), config))
-            .select("scope", *_ordered(F.col("x.id"), F.col("y.id")))
-        )
-        pending = across if pending is None else pending.unionByName(across)
-        crowd = materialise(judged.where(~F.col("near")).select(*crowd.columns), "crowd")
-        largest = crowd.groupBy("scope", "gram").count().agg(F.max("count")).first()[0] or 0
-        if largest <= config.posting_limit:
-            break
-    pending = pending.unionByName(_crowd_pairs(crowd, spread, config))
-    rest = measured(pending.distinct(), sets).where(_close(F.col("shared"), F.col("na"), F.col("nb"), config))
-    return found.unionByName(rest.select("scope", "a", "b"))
+    direct, gaps = _leader_links(crowd, sets, config)
+    direct = materialise(direct, "direct")
+    members = clusters(known.unionByName(direct))
+    rows = materialise(
+        gaps.join(members, list(STORY), "left").withColumn("part", F.coalesce("cluster_id", "id")).drop("cluster_id"), "rows"
+    )
+    largest = (
+        rows.groupBy("scope", "gram", "part").agg(F.count("*").alias("_n"))
+        .groupBy("scope", "gram").agg(F.max_by("part", "_n").alias("part"))
+    )
+    outside = rows.join(largest, ["scope", "gram", "part"], "left_anti")
+    row = F.struct("n", "id", "short_side", "gap", "part")
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long")))
+    x = outside.select("scope", "gram", row.alias("x"), copies.alias("_salt"))
+    y = rows.select("scope", "gram", row.alias("y"), F.pmod(F.xxhash64("id"), F.lit(spread)).alias("_salt"))
+    met = (
+        x.join(y, ["scope", "gram", "_salt"])
+        .where((F.col("x.part") != F.col("y.part")) & (F.abs(F.col("x.gap") - F.col("y.gap")) <= reach))
+        .where(_meets(F.col("x"), F.col("y"), config) | _meets(F.col("y"), F.col("x"), config))
+        .select("scope", *_ordered(F.col("x.id"), F.col("y.id")))
+        .distinct()
+    )
+    rest = measured(met, sets).where(_close(F.col("shared"), F.col("na"), F.col("nb"), config))
+    return direct.unionByName(rest.select("scope", "a", "b"))
 
 
 def similar_links(sets: DataFrame, config: SimilarityConfig = SimilarityConfig()) -> DataFrame:
@@ -241,7 +247,8 @@ def similar_links(sets: DataFrame, config: SimilarityConfig = SimilarityConfig()
     met = measured(_cold_pairs(postings, cold, config), sets)
     links = met.where(_close(F.col("shared"), F.col("na"), F.col("nb"), config)).select("scope", "a", "b")
     if not hot.isEmpty():
-        links = links.unionByName(_hot_links(postings.join(hot, ["scope", "gram"]), sets, config))
+        links = materialise(links, "cold-links")
+        links = links.unionByName(_hot_links(postings.join(hot, ["scope", "gram"]), links, sets, config))
     return materialise(copies.unionByName(links).distinct(), "links")
 
 
@@ -262,22 +269,20 @@ def lsh_links(
     linked if the exact similarity reaches the threshold. Buckets are never cut
     or dropped, and each costs one comparison per member.
     """
-    grams = bind(words(F.col("text")), lambda ws: F.when(
-        F.size(ws) >= config.width,
-        F.array_distinct(F.transform(
-            F.sequence(F.lit(0), F.size(ws) - config.width),
-            lambda i: F.array_join(F.slice(ws, i + 1, config.width), " "),
-        )),
-    ).otherwise(F.array().cast("array<string>")))
+    def gram_texts(ws: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(ws) - config.width)
+        gram = F.transform(starts, lambda i: F.array_join(F.slice(ws, i + 1, config.width), " "))
+        return F.when(F.size(ws) >= config.width, F.array_distinct(gram)).otherwise(F.array().cast("array<string>"))
+
+    def hashed(texts: Column) -> Column:
+        value = F.transform(texts, lambda g: F.conv(F.substring(F.md5(g), 1, 8), 16, 10).cast("long") % _PRIME)
+        return F.struct(value.alias("h"), F.transform(texts, lambda g: F.xxhash64(g)).alias("grams"))
+
+    both = stories.select("scope", "id", bind(bind(words(F.col("text")), gram_texts), hashed).alias("_b"))
     base = materialise(
-        stories.select("scope", "id", grams.alias("_text_grams")).where(F.size("_text_grams") > 0).select(
-            "scope", "id",
-            F.array_sort(F.transform("_text_grams", lambda g: F.conv(F.substring(F.md5(g), 1, 8), 16, 10).cast("long") % _PRIME)).alias("_h"),
-            F.transform("_text_grams", lambda g: F.xxhash64(g)).alias("grams"),
-            F.size("_text_grams").cast("long").alias("n"),
-        ),
+        both.select("scope", "id", F.col("_b.h").alias("_h"), F.col("_b.grams").alias("grams"), F.size("_b.grams").cast("long").alias("n")),
         "minhash",
-    )
+    ).where("n > 0")
     exploded = base.select("scope", "id", F.explode("_h").alias("h"))
     mins = []
     for i in range(bands * rows):

@@ -15,10 +15,10 @@ HEAVY_ROWS = 1_000_000
 def join_skewed(
     left: DataFrame, right: DataFrame, on: Sequence[str], rows: int | None = None, heavy_rows: int = HEAVY_ROWS
 ) -> DataFrame:
-    """Inner join where ``right`` has one row per key and ``left`` may be skewed.
+    """Inner join where ``right`` has a few rows per key and ``left`` may be skewed.
 
     A key with more than ``heavy_rows`` rows on the left is cut into that many
-    parts of about ``heavy_rows``, and its right row is copied to each part. Only
+    parts of about ``heavy_rows``, and its right rows are copied to each part. Only
     the names of such keys are broadcast; there are at most ``rows / heavy_rows``
     of them. With ``rows``, the size of the left side if known, small inputs skip
     the check.
