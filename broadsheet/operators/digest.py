@@ -40,22 +40,30 @@ def slots(layouts: DataFrame, key: str = "digest_date") -> DataFrame:
     )
 
 
+def _resolved(items: DataFrame, proposed: DataFrame, config: DigestConfig, key: str) -> DataFrame:
+    """Slots within the limit with the ``idx`` they ask for; negative ids count from the end."""
+    sizes = items.groupBy(key).agg(F.count("*").alias("_n"))
+    taken = proposed.where(F.col("slot_pos") < config.max_items_per_category)
+    from_end = F.when(F.col("item_id") < 0, F.col("_n") + F.col("item_id")).otherwise(F.col("item_id"))
+    return taken.join(sizes, key).withColumn("idx", from_end).drop("_n", "item_id")
+
+
 def curate(items: DataFrame, proposed: DataFrame, config: DigestConfig = DigestConfig(), key: str = "digest_date") -> DataFrame:
     """Stories in the slots of an externally proposed layout.
 
     ``proposed`` has the columns of :func:`slots`; ``items`` is numbered by
     ``idx`` in its digest. The first ``max_items_per_category`` ids of a
-    subcategory count before they are checked, so unknown ids use up slots; a
-    negative id counts from the end. Ids below ``-n`` name nothing and are left
-    out.
+    subcategory count before they are checked, so unknown ids use up slots.
     """
-    sizes = items.groupBy(key).agg(F.count("*").alias("_n"))
-    taken = proposed.where(F.col("slot_pos") < config.max_items_per_category)
-    resolved = taken.join(sizes, key).withColumn(
-        "idx", F.when(F.col("item_id") < 0, F.col("_n") + F.col("item_id")).otherwise(F.col("item_id"))
-    ).drop("_n", "item_id")
     fields = items.withColumn("title", escape_html(F.col("title"))).withColumn("summary", escape_html(F.col("summary")))
-    return resolved.join(fields, [key, "idx"]).withColumn("intro", apply_tag_policy(F.col("intro")))
+    filled = _resolved(items, proposed, config, key).join(fields, [key, "idx"])
+    return filled.withColumn("intro", apply_tag_policy(F.col("intro")))
+
+
+def lost_slots(items: DataFrame, proposed: DataFrame, config: DigestConfig = DigestConfig(), key: str = "digest_date") -> DataFrame:
+    """Per digest, how many slots within the limit name no story."""
+    unknown = _resolved(items, proposed, config, key).join(items.select(key, "idx"), [key, "idx"], "left_anti")
+    return unknown.groupBy(key).agg(F.count("*").alias("n_lost"))
 
 
 def with_empty_sections(curated: DataFrame, proposed: DataFrame, key: str = "digest_date") -> DataFrame:

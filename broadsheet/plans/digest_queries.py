@@ -104,6 +104,13 @@ def unplaced_items(spark, d):
     return D.unplaced(dated, curated).select("digest_date", "idx", "item_id")
 
 
+@query("lost_slots", sql(_CURATED + """
+SELECT digest_date, count(*) AS n_lost FROM (SELECT DISTINCT digest_date, cat_pos, sub_pos FROM section) GROUP BY ALL""", "dated_items"))
+def lost_slots(spark, d):
+    dated = materialise(V.dated_items(spark, d), "dated")
+    return D.lost_slots(dated, proposed_slots(spark, dated))
+
+
 @query("digest_metrics", sql(_CURATED + """,
  sections AS (SELECT digest_date, cat_pos, category, count(*) AS n FROM curated GROUP BY ALL),
  by_name AS (SELECT digest_date, category, arg_max(n, cat_pos) AS n_stories FROM sections GROUP BY ALL),

@@ -32,6 +32,7 @@ def test_curation_rules(spark):
     two = D.curate(items(spark), proposed, DigestConfig(max_items_per_category=2))
     assert two.where("subcategory = 'bad'").count() == 1  # the unknown id used up a slot
     assert {r.idx for r in D.unplaced(items(spark), curated).collect()} == {10}
+    assert D.lost_slots(items(spark), proposed).first().n_lost == 2  # 50 and -50
     whole = D.with_empty_sections(curated, proposed)
     by_name, totals = D.digest_metrics(whole, items(spark), proposed)
     assert {r.category: r.n_stories for r in by_name.collect()} == {"AI": 2, "Economy": 1, "Empty": 0}
