@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from ..schemas import DEFAULT_TITLE
+
 TRUNCATE_LIMIT = 8000
 TRUNCATE_MARK = "\n\n[TRUNCATED]"
 
@@ -129,7 +131,7 @@ def sender_address(sender: Column) -> Column:
 
 def fill_title(title: Column, as_of: Column) -> Column:
     """Default for a missing title, then the date placeholders in list order."""
-    default = F.concat(F.lit("Daily News Digest - "), F.date_format(as_of, SHORT_DATE))
+    default = F.concat(F.lit(DEFAULT_TITLE), F.date_format(as_of, SHORT_DATE))
     filled = F.coalesce(F.nullif(title, F.lit("")), default)
     for placeholder in DATE_PLACEHOLDERS:
         filled = F.replace(filled, F.lit(placeholder), F.date_format(as_of, LONG_DATE))

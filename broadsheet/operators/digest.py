@@ -8,12 +8,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import DigestConfig, DigestError
 from ..functions.text import SHORT_DATE, apply_tag_policy, digest_stamps, escape_html, fill_title
-from ..schemas import TAXONOMY
+from ..schemas import DEFAULT_TITLE, RULE_INTRO, RULE_SECTION, TAXONOMY
 from .skew import number_rows
 from .stories import in_taxonomy, keyword_category
 
-RULE_SECTION = "Top Stories"
-
 
 def taxonomy_position(category: Column) -> Column:
     return F.array_position(F.array(*[F.lit(c) for c in TAXONOMY]), category).cast("int")
@@ -108,13 +106,13 @@ def rule_sections(items: DataFrame) -> DataFrame:
         escaped.withColumn("cat_pos", taxonomy_position(F.col("category")) - 1)
         .withColumn("sub_pos", F.lit(0))
         .withColumn("subcategory", F.lit(RULE_SECTION))
-        .withColumn("intro", F.concat(F.lit("Latest developments in "), F.lower("category"), F.lit(":")))
+        .withColumn("intro", F.concat(F.lit(RULE_INTRO), F.lower("category"), F.lit(":")))
         .withColumn("by_keyword", ~used)
     )
 
 
 def rule_title(as_of: Column) -> Column:
-    return F.concat(F.lit("Daily News Digest - "), F.date_format(as_of, SHORT_DATE))
+    return F.concat(F.lit(DEFAULT_TITLE), F.date_format(as_of, SHORT_DATE))
 
 
 def with_rule_fallback(curated: DataFrame, items: DataFrame, laid_out: DataFrame, config: DigestConfig = DigestConfig(), key: str = "digest_date") -> DataFrame:

@@ -10,6 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import clean_url, display_url, escape_html, is_safe_url
+from ..schemas import (
+    EMPTY_DIGEST_TEXT, EMPTY_DIGEST_TITLE, EMPTY_SUBCATEGORY, SUMMARY_TITLE, UNKNOWN_SENDER, UNTITLED_CATEGORY,
+    UNTITLED_SUBCATEGORY,
+)
 
 PAGE_ORDER = ["cat_pos", "sub_pos", "slot_pos", "part", "part_pos", "html"]
 
@@ -41,7 +45,7 @@ def source_html(subject: Column, sender: Column, account: Column, date: Column)
         return F.when(filled, F.concat(F.lit(before), escape_html(c), F.lit(after))).otherwise("")
 
     return F.concat(
-        F.lit("<li>"), _text(sender, "Unknown sender"), optional(subject, " — "),
+        F.lit("<li>"), _text(sender, UNKNOWN_SENDER), optional(subject, " — "),
         optional(account, " (", ")"), optional(date, " • "), F.lit("</li>"),
     )
 
@@ -70,7 +74,7 @@ def render(
         F.lit("<!DOCTYPE html><html><body><header><h1>"), escape_html(F.col("title")), F.lit("</h1><p>"),
         F.col("display_date"), F.lit("</p></header>"),
         F.when(F.col("executive_summary") != "", F.concat(
-            F.lit("<section><h2>Executive Summary</h2><p>"), F.col("executive_summary"), F.lit("</p></section>")
+            F.lit(f"<section><h2>{SUMMARY_TITLE}</h2><p>"), F.col("executive_summary"), F.lit("</p></section>")
         )).otherwise(""),
     )
     frames = [
@@ -79,20 +83,20 @@ def render(
     ]
     empty = heads.join(curated.select(key).distinct(), key, "left_anti")
     frames.append(empty.select(key, *_at(zero, low, low, 0, zero, F.lit(
-        "<section><h2>No News Items</h2><p>We could not find any stories to share today.</p></section>"
+        f"<section><h2>{EMPTY_DIGEST_TITLE}</h2><p>{EMPTY_DIGEST_TEXT}</p></section>"
     ))))
     per_category = curated.groupBy(key, "cat_pos").agg(F.min("category").alias("category"))
     frames.append(per_category.select(key, *_at(F.col("cat_pos"), low, low, 0, zero, F.concat(
-        F.lit("<section><h2>"), _text(F.col("category"), "Untitled Category"), F.lit("</h2>")
+        F.lit("<section><h2>"), _text(F.col("category"), UNTITLED_CATEGORY), F.lit("</h2>")
     ))))
     frames.append(per_category.select(key, *_at(F.col("cat_pos"), high, low, 0, zero, F.lit("</section>"))))
     per_sub = curated.where(F.col("sub_pos").isNotNull()).groupBy(key, "cat_pos", "sub_pos").agg(
         F.min("subcategory").alias("subcategory"), F.min("intro").alias("intro"), F.count("title").alias("_n")
     )
     intro = F.when(F.coalesce("intro", F.lit("")) != "", F.concat(F.lit("<p>"), F.col("intro"), F.lit("</p>"))).otherwise("")
-    none = F.when(F.col("_n") == 0, F.lit("<p>No news items available for this subcategory.</p>")).otherwise("")
+    none = F.when(F.col("_n") == 0, F.lit(f"<p>{EMPTY_SUBCATEGORY}</p>")).otherwise("")
     frames.append(per_sub.select(key, *_at(F.col("cat_pos"), F.col("sub_pos"), low, 0, zero, F.concat(
-        F.lit("<div><h3>"), _text(F.col("subcategory"), "Highlights"), F.lit("</h3>"), intro, none
+        F.lit("<div><h3>"), _text(F.col("subcategory"), UNTITLED_SUBCATEGORY), F.lit("</h3>"), intro, none
     ))))
     frames.append(per_sub.select(key, *_at(F.col("cat_pos"), F.col("sub_pos"), high, 0, zero, F.lit("</div>"))))
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.bind import bind
 from ..functions.text import escape_html
-from ..schemas import CATCH_ALL, KEYWORD_RULES, TAXONOMY
+from ..schemas import CATCH_ALL, FALLBACK_POINT, FALLBACK_TOPIC, KEYWORD_RULES, TAXONOMY
 
 MIN_LINE = 40
 KEY_POINTS = 5
@@ -51,7 +51,7 @@ def extract_stories(messages: DataFrame) -> DataFrame:
     return exploded.select(
         F.get(sentences, F.lit(0)).alias("title"),
         F.col("line").alias("summary"),
-        F.coalesce(topic, F.lit("General")).alias("main_topic"),
+        F.coalesce(topic, F.lit(FALLBACK_TOPIC)).alias("main_topic"),
         F.array_distinct(urls).alias("source_urls"),
         F.slice(sentences, 1, KEY_POINTS).alias("key_points"),
         F.col("item_pos").cast("long").alias("item_pos"),
@@ -78,9 +78,9 @@ def fallback_items(messages: DataFrame, scored_ok: DataFrame, on: Sequence[str]
     return failed.select(
         F.col("subject").alias("title"),
         F.when(F.length(body) > 500, F.concat(F.substring(body, 1, 500), F.lit("..."))).otherwise(body).alias("summary"),
-        F.lit("General").alias("main_topic"),
+        F.lit(FALLBACK_TOPIC).alias("main_topic"),
         F.array().cast("array<string>").alias("source_urls"),
-        F.array(F.lit("Content from email body")).alias("key_points"),
+        F.array(F.lit(FALLBACK_POINT)).alias("key_points"),
         F.lit(0).cast("long").alias("item_pos"),
         *[c for c in ("received_at",) if c in messages.columns],
         *provenance(failed),

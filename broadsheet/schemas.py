@@ -21,6 +21,23 @@ KEYWORD_RULES = (
     ("Technology", ("technology", "tech", "software", "hardware", "startup")),
 )
 
+# Texts that appear in results.
+DEFAULT_TITLE = "Daily News Digest - "
+RULE_SECTION = "Top Stories"
+RULE_INTRO = "Latest developments in "
+FALLBACK_TOPIC = "General"
+FALLBACK_POINT = "Content from email body"
+UNTITLED_CATEGORY = "Untitled Category"
+UNTITLED_SUBCATEGORY = "Highlights"
+EMPTY_SUBCATEGORY = "No news items available for this subcategory."
+EMPTY_DIGEST_TITLE = "No News Items"
+EMPTY_DIGEST_TEXT = "We could not find any stories to share today."
+SUMMARY_TITLE = "Executive Summary"
+UNKNOWN_SENDER = "Unknown sender"
+NO_ACCOUNTS = "Authentication failed"
+NO_NEWS = "No news content found"
+NO_ITEMS = "No extractable news content"
+
 HEADER = T.StructType([T.StructField("name", T.StringType()), T.StructField("value", T.StringType())])
 
 MESSAGE_EXPORT = T.StructType([
