@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing
+from . import exact_dedup, license_scan, mixing, sentencepiece_bpe
 from .common import documents
 
 QUERIES = {
+    "op1_license_scan": lambda spark, sf_dir: license_scan.license_labels(documents(spark, sf_dir)),
+    "op5_sentencepiece": lambda spark, sf_dir: sentencepiece_bpe.token_digests(documents(spark, sf_dir)),
     "op9_source_mixing": lambda spark, sf_dir: mixing.mixed_sizes(documents(spark, sf_dir)),
     "op10_exact_dedup": lambda spark, sf_dir: exact_dedup.exact_dedup(documents(spark, sf_dir)),
 }
 
 ORACLES = {
+    "op1_license_scan": license_scan.sql(),
     "op9_source_mixing": mixing.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
 }
