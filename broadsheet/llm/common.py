@@ -12,8 +12,12 @@ SPACED_WORD = r"[^\x20\x09-\x0D]+"
 PLAIN_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return table(spark, sf_dir, "documents")
 
 
 def whole_text(name: str = "text") -> Column:
