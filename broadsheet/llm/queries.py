@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, license_scan, mil_quality, mixing, sentencepiece_bpe, toxicity
+from . import exact_dedup, license_scan, mil_quality, mixing, ngram_join, sentencepiece_bpe, toxicity
 from .common import documents, table
 
 QUERIES = {
     "op1_license_scan": lambda spark, sf_dir: license_scan.license_labels(documents(spark, sf_dir)),
     "op2_quality_mil": lambda spark, sf_dir: mil_quality.quality(documents(spark, sf_dir), table(spark, sf_dir, "labels")),
     "op3_toxicity": lambda spark, sf_dir: toxicity.toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels")),
+    "op4_ngram_jaccard": lambda spark, sf_dir: ngram_join.components(documents(spark, sf_dir)),
     "op5_sentencepiece": lambda spark, sf_dir: sentencepiece_bpe.token_digests(documents(spark, sf_dir)),
     "op9_source_mixing": lambda spark, sf_dir: mixing.mixed_sizes(documents(spark, sf_dir)),
     "op10_exact_dedup": lambda spark, sf_dir: exact_dedup.exact_dedup(documents(spark, sf_dir)),
