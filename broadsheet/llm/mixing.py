@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.bind import bind
 from ..session import materialise
-from .common import SPACED_WORD, whole_text
+from .common import SPACED_WORD, whole_text, words
 
 WEIGHTS = (5, 2, 1)
 #: The mix holds this share of all words, and a document at most REPEATS times.
@@ -38,11 +38,12 @@ def _block(order: Column) -> Column:
     return F.conv(F.substring(order, 1, 4), 16, 10).cast("long") % BLOCKS
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size, dice, block): one narrow row per document."""
+def sized(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, source, size, dice, block) and a struct of the columns to carry, per document."""
     dice = _hash(F.col("doc_id"))
     size = F.regexp_count(whole_text(), F.lit(SPACED_WORD)).cast("long")
-    return docs.select("doc_id", "source", size.alias("size"), dice.alias("dice"), _block(dice).alias("block"))
+    carried = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carried")] if carry else []
+    return docs.select("doc_id", "source", size.alias("size"), dice.alias("dice"), _block(dice).alias("block"), *carried)
 
 
 def targets(sizes: DataFrame) -> DataFrame:
@@ -138,19 +139,23 @@ def shard_quotas(draws: DataFrame, levels: int) -> DataFrame:
     return nodes.select((F.col("node") - 2**levels).alias("shard"), F.inline("quotas"))
 
 
-def mix(docs: DataFrame, levels: int = 4) -> tuple[DataFrame, DataFrame]:
+def mix(docs: DataFrame, levels: int = 4, carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Documents -> (documents with their source's numbers, draws).
 
     The first has doc_id, source, src, size, source_size, target, dice and block for
     every document; the second one row per document and time it is drawn: doc_id,
-    dice, src, size, words (at most size), pass, shard and ``place``, the order
-    within the shard. At most one document per source is taken in part.
+    dice, src, size, words (at most size), pass, shard, ``place``, the order within
+    the shard, and the columns to carry, as a struct ``carried``. At most one
+    document per source is taken in part.
     """
     sizes = materialise(sized(docs), "sized")
     goals = materialise(targets(sizes), "targets")
-    known = sizes.join(goals, sizes["source"].eqNullSafe(goals["source"])).select(
-        "doc_id", sizes["source"], "src", "size", "source_size", "target", "dice", "block"
-    )
+
+    def with_goals(rows: DataFrame) -> DataFrame:
+        named = goals.withColumnRenamed("source", "goal_source")
+        return rows.join(named, F.col("source").eqNullSafe(F.col("goal_source"))).drop("goal_source")
+
+    known = with_goals(sizes)
     blocks = known.groupBy("src", "block").agg(
         F.sum("size").alias("words"), F.first("source_size").alias("source_size"), F.first("target").alias("target")
     )
@@ -161,13 +166,14 @@ def mix(docs: DataFrame, levels: int = 4) -> tuple[DataFrame, DataFrame]:
         "src", "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("q") - 1)).alias("draw")
     )
     dealt = materialise(draws.join(owned, ["src", "draw"]), "dealt")
-    chosen = known.where("size > 0").join(dealt, ["src", "block"])
+    wide = with_goals(sized(docs, carry)) if carry else known.withColumn("carried", F.lit(None).cast("string"))
+    chosen = wide.where("size > 0").join(dealt, ["src", "block"])
     inside = Window.partitionBy("src", "block").orderBy("dice", "doc_id", "size")
     before = F.coalesce(F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     partly = chosen.where("NOT whole").withColumn("words", F.least("size", F.col("take") - before)).where("words > 0")
     drawn = chosen.where("whole").withColumn("words", F.col("size")).unionByName(partly)
     return known, drawn.select(
-        "doc_id", "dice", "src", "size", "words", "pass", "shard",
+        "doc_id", "dice", "src", "size", "words", "pass", "shard", "carried",
         _hash(F.col("shard"), F.col("pass"), F.col("dice")).alias("place"),
     )
 
@@ -196,6 +202,22 @@ def mixed_sizes(docs: DataFrame) -> DataFrame:
     )
 
 
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The mix itself, with the columns of the documents: a row per time a document is drawn.
+
+    A document taken in part keeps its first words, joined by single spaces; its
+    n_chars, if there is such a column, is that of the part. Rows come in the shards
+    and the order that the tree and the local shuffle give.
+    """
+    _, drawn = mix(docs, carry=tuple(docs.columns))
+    part = F.array_join(F.slice(words(whole_text("carried.text"), SPACED_WORD), F.lit(1), F.col("words").cast("int")), " ")
+    text = F.when(F.col("words") == F.col("size"), F.col("carried.text")).otherwise(part)
+    new = {"text": text, "n_chars": F.when(F.col("words") == F.col("size"), F.col("carried.n_chars")).otherwise(F.length(part))} if (
+        "n_chars" in docs.columns) else {"text": text}
+    dealt = drawn.repartition("shard", F.substring("place", 1, 2)).sortWithinPartitions("shard", "place")
+    return dealt.select(*[new[c].cast(docs.schema[c].dataType).alias(c) if c in new else F.col(f"carried.`{c}`").alias(c) for c in docs.columns])
+
+
 SQL = f"""
 WITH sizes AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, exact_dedup, license_scan, mil_quality, mixing, ngram_join, sentencepiece_bpe, suffix_dedup, toxicity
+from . import embedding_dedup, exact_dedup, license_scan, mil_quality, mixing, ngram_join, packing, sentencepiece_bpe, suffix_dedup, toxicity
 from .common import documents, table
 
 QUERIES = {
@@ -11,6 +11,7 @@ QUERIES = {
     "op3_toxicity": lambda spark, sf_dir: toxicity.toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels")),
     "op4_ngram_jaccard": lambda spark, sf_dir: ngram_join.components(documents(spark, sf_dir)),
     "op5_sentencepiece": lambda spark, sf_dir: sentencepiece_bpe.token_digests(documents(spark, sf_dir)),
+    "op6_packing": lambda spark, sf_dir: packing.packed_rows(documents(spark, sf_dir)),
     "op7_embedding_dedup": lambda spark, sf_dir: embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings")),
     "op8_suffix_dedup": lambda spark, sf_dir: suffix_dedup.removed_passages(documents(spark, sf_dir)),
     "op9_source_mixing": lambda spark, sf_dir: mixing.mixed_sizes(documents(spark, sf_dir)),
