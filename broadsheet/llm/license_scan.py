@@ -54,7 +54,9 @@ def template_runs(spark: SparkSession) -> DataFrame:
         w = text.split()
         runs = len(w) - K + 1
         rows += [(template, template < len(BASE), label, runs, t, *w[t:t + K]) for t in range(runs)]
-    return spark.createDataFrame(rows, "template int, base boolean, label string, runs int, t int, a string, b string, c string")
+    names = ("template", "base", "label", "runs", "t", "a", "b", "c")
+    listed = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows])
+    return spark.range(1).select(F.inline(listed))
 
 
 def _document_runs(docs: DataFrame) -> DataFrame:
