@@ -15,6 +15,7 @@ ALLOWED_TAGS = (
     "h1", "h2", "h3", "h4", "blockquote", "code", "pre",
 )
 ALLOWED_LINK_ATTRIBUTES = ("href", "title", "target", "rel")
+SAFE_ADDRESS = r"(?i)^\s*(?:https?://|mailto:)"
 
 # Date placeholders, replaced one after the other in this order.
 DATE_PLACEHOLDERS = ("[Date]", "[date]", "{Date}", "{date}", "{{Date}}", "{{date}}", "<<Date>>")
@@ -35,8 +36,12 @@ def header(headers: Column, name: str, default: str | None = None) -> Column:
 
 
 def decode_b64url(data: Column) -> Column:
-    """base64url -> UTF-8 text; bad bytes become U+FFFD, bad base64 becomes ''."""
-    raw = F.try_to_binary(F.translate(data, "-_", "+/"), F.lit("base64"))
+    """base64url -> UTF-8 text; bad bytes become U+FFFD, bad base64 becomes ''.
+
+    Characters outside the alphabet are skipped, as mail decoders do.
+    """
+    known = F.regexp_replace(F.translate(data, "-_", "+/"), "[^A-Za-z0-9+/]", "")
+    raw = F.try_to_binary(known, F.lit("base64"))
     return F.coalesce(F.make_valid_utf8(raw.cast("string")), F.lit(""))
 
 
@@ -67,26 +72,39 @@ def escape_html(c: Column) -> Column:
     return c
 
 
+def escape_text(c: Column) -> Column:
+    """Text between tags: stray brackets and ampersands are escaped, entities stay."""
+    for plain, escaped in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        c = F.replace(c, F.lit(plain), F.lit(escaped))
+    return F.regexp_replace(c, r"&amp;(#?[A-Za-z0-9]+;)", "&$1")
+
+
 def apply_tag_policy(html: Column) -> Column:
     """Drop tags outside the allowlist but keep their text.
 
-    The markup is split into tag and text tokens; an allowed tag is rebuilt from
-    its name, and links keep the allowed double-quoted attributes. This
-    normalises markup, it is no security filter: rendered fields are escaped.
+    The markup is split into tag and text tokens. Text is escaped, an unclosed tag
+    included. An allowed tag is rebuilt from its name; links keep the allowed
+    attributes, quoted either way or not at all, and an address only if it starts
+    with a safe scheme as it stands, so that no encoded scheme gets through.
     """
     names = "|".join(ALLOWED_TAGS)
     attributes = "|".join(ALLOWED_LINK_ATTRIBUTES)
-    tokens = F.regexp_extract_all(html, F.lit(r"<[^>]*>|[^<]+|<"), F.lit(0))
+    tokens = F.regexp_extract_all(html, F.lit(r"<[^<>]*>|[^<]+|<"), F.lit(0))
+
+    def attribute(found: Column) -> Column:
+        name = F.lower(F.regexp_extract(found, r"^\s*([A-Za-z]+)", 1))
+        value = F.regexp_replace(F.regexp_replace(found, r"^\s*[A-Za-z]+\s*=\s*", ""), r"""^["']|["']$""", "")
+        safe = (name != "href") | value.rlike(SAFE_ADDRESS)
+        return F.when(safe, F.concat(F.lit(" "), name, F.lit('="'), F.replace(escape_text(value), F.lit('"'), F.lit("&quot;")), F.lit('"'))).otherwise("")
 
     def rebuild(token: Column) -> Column:
         slash = F.regexp_extract(token, r"^<\s*(/?)", 1)
         name = F.lower(F.regexp_extract(token, r"^<\s*/?\s*([A-Za-z][A-Za-z0-9]*)", 1))
-        kept = F.regexp_extract_all(token, F.lit(rf'(?i)\s(?:{attributes})="[^"]*"'), F.lit(0))
-        link = F.when((name == "a") & (slash == ""), F.array_join(kept, "")).otherwise("")
-        is_tag = token.rlike(r"^<[^>]*>$")
+        kept = F.regexp_extract_all(token, F.lit(rf"""(?i)\s(?:{attributes})\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'<>]+)"""), F.lit(0))
+        link = F.when((name == "a") & (slash == ""), F.array_join(F.transform(kept, attribute), "")).otherwise("")
         allowed = name.rlike(rf"^(?:{names})$")
         rebuilt = F.concat(F.lit("<"), slash, name, link, F.lit(">"))
-        return F.when(~is_tag, token).when(allowed, rebuilt).otherwise("")
+        return F.when(~token.rlike(r"^<[^<>]*>$"), escape_text(token)).when(allowed, rebuilt).otherwise("")
 
     return F.coalesce(F.array_join(F.transform(tokens, rebuild), ""), F.lit(""))
 
@@ -146,6 +164,11 @@ def digest_stamps(as_of: Column) -> list[Column]:
     ]
 
 
+def word_runs(c: Column) -> Column:
+    """Lower-cased words with one space before, between and after; phrases are found by ``contains``."""
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
+
+
 def normalised(c: Column) -> Column:
     """Lower case with runs of white space collapsed; the base of fingerprints."""
     return F.trim(F.regexp_replace(F.lower(c), r"\s+", " "))

@@ -67,7 +67,7 @@ def lost_slots(items: DataFrame, proposed: DataFrame, config: DigestConfig = Dig
 def with_empty_sections(curated: DataFrame, proposed: DataFrame, key: str = "digest_date") -> DataFrame:
     """Add one row without a story for every proposed section that got none."""
     place = [key, "cat_pos", "sub_pos"]
-    sections = proposed.select(*place, "category", "subcategory", "intro").distinct()
+    sections = proposed.select(*place, "category", "subcategory", apply_tag_policy(F.col("intro")).alias("intro")).distinct()
     used = curated.select(*[F.col(c).alias("_" + c) for c in place]).distinct()
     same = F.lit(True)
     for c in place:

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.utils import AnalysisException
 
-from ..functions.text import truncate
+from ..functions.text import word_runs
 from ..schemas import CATCH_ALL, CLASSIFICATION, CONFIDENCES, KEYWORD_RULES, TAXONOMY
 from .skew import join_skewed
 
@@ -134,15 +134,18 @@ def validate_classification(response: Column, failure: str = "Failed to parse re
     the struct. ``topic_category`` has no default: the key itself must be there.
     """
     parsed = F.from_json(response, CLASSIFICATION, {"mode": "PERMISSIVE"})
-    has_topic = F.array_contains(F.json_object_keys(F.when(F.try_parse_json(response).isNotNull(), response)), "topic_category")
-    secondary = F.coalesce(parsed["secondary_categories"], F.array().cast("array<string>"))
+    empty = F.array().cast("array<string>")
+    keys = F.json_object_keys(F.when(F.try_parse_json(response).isNotNull(), response))
+    # The key may be absent, but a null is not a list.
+    secondary = F.when(~F.array_contains(keys, "secondary_categories"), empty).otherwise(parsed["secondary_categories"])
     valid = (
-        parsed["is_news"].isNotNull()
+        secondary.isNotNull()
+        & parsed["is_news"].isNotNull()
         & parsed["reason"].isNotNull()
         & parsed["confidence"].isin(*CONFIDENCES)
         & (parsed["primary_category"].isNull() | parsed["primary_category"].isin(*TAXONOMY))
         & F.forall(secondary, lambda c: F.coalesce(c.isin(*TAXONOMY), F.lit(False)))
-        & has_topic
+        & F.array_contains(keys, "topic_category")
     )
     valid = F.coalesce(valid, F.lit(False))
 
@@ -155,23 +158,22 @@ def validate_classification(response: Column, failure: str = "Failed to parse re
         kept(parsed["confidence"], F.lit("low")).alias("confidence"),
         kept(parsed["reason"], F.lit(failure)).alias("reason"),
         kept(parsed["primary_category"], none).alias("primary_category"),
-        kept(secondary, F.array().cast("array<string>")).alias("secondary_categories"),
+        kept(secondary, empty).alias("secondary_categories"),
         kept(parsed["topic_category"], none).alias("topic_category"),
         F.when(valid, "ok").otherwise("fallback").alias("parse_status"),
     )
 
 
 def classify_rules(messages: DataFrame, rules: Sequence[tuple[str, Sequence[str]]] = KEYWORD_RULES) -> DataFrame:
-    """Offline default classifier: keyword hits in subject and truncated body.
+    """Offline default classifier: keywords that stand as whole words in subject and body.
 
     The category with most distinct keywords wins, earlier rules win ties; other
     categories with at least two keywords are secondary. No hit means not news.
     """
-    text = F.lower(F.concat_ws("\n", F.col("subject"), truncate(F.col("body"))))
-    found = messages.withColumn("_text", text)
+    found = messages.withColumn("_text", word_runs(F.concat_ws("\n", F.col("subject"), F.col("body"))))
     names = [name for name, _ in rules]
     for i, (_, keywords) in enumerate(rules):
-        hits = sum((F.contains("_text", F.lit(k)).cast("int") for k in keywords), F.lit(0))
+        hits = sum((F.contains("_text", word_runs(F.lit(k))).cast("int") for k in keywords), F.lit(0))
         found = found.withColumn(f"_hits{i}", hits)
     scores = F.array(*[
         F.struct(F.col(f"_hits{i}").alias("hits"), F.lit(-i).alias("order"), F.lit(name).alias("category"))
@@ -205,7 +207,7 @@ def classify_trained(messages: DataFrame, examples: DataFrame, features: int = 1
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 
-    text = F.concat_ws("\n", F.col("subject"), truncate(F.col("body")))
+    text = F.concat_ws("\n", F.col("subject"), F.col("body"))
     stages = [
         RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"[^\p{L}\p{N}]+"),
         HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features),

@@ -10,7 +10,6 @@ from ..functions.bind import bind
 from ..functions.text import escape_html
 from ..schemas import CATCH_ALL, FALLBACK_POINT, FALLBACK_TOPIC, KEYWORD_RULES, TAXONOMY
 
-MIN_LINE = 40
 KEY_POINTS = 5
 BOILERPLATE = r"(?i)unsubscribe|privacy policy|view in (your )?browser|all rights reserved"
 
@@ -33,15 +32,15 @@ def provenance(df: DataFrame) -> list[Column]:
 
 
 def extract_stories(messages: DataFrame) -> DataFrame:
-    """Offline default: each substantial body line is one story.
+    """Offline default: each body line is one story.
 
-    Lines below ``MIN_LINE`` characters and boilerplate are ignored. A message
+    Blank lines and boilerplate are ignored. A message
     without stories yields no rows. Provenance travels along with the row, so
     there is neither a join nor a shuffle.
     """
     lines = F.filter(
         F.split("body", r"\n"),
-        lambda line: (F.length(line) >= MIN_LINE) & ~line.rlike(BOILERPLATE),
+        lambda line: line.rlike(r"[^\s\x0b]") & ~line.rlike(BOILERPLATE),
     )
     carried = [c for c in ("received_at",) if c in messages.columns]
     exploded = messages.select("*", F.posexplode(lines).alias("item_pos", "line"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import scoring, stories
@@ -130,7 +132,7 @@ def rolling_call_rate(spark, d):
 
 def _rule_hits(name: str) -> str:
     words = dict(stories.KEYWORD_RULES)[name]
-    return " + ".join(f"contains(t, '{w}')::INT" for w in words)
+    return " + ".join(f"contains(t, ' {' '.join(re.findall(r'[^' + chr(92) + 'W_]+', w.lower()))} ')::INT" for w in words)
 
 
 _HITS = ", ".join(
@@ -147,7 +149,7 @@ SELECT message_id, best.hits > 0 AS is_news,
     lambda x: x.category), ',') ELSE '' END AS secondary
 FROM (SELECT *, list_sort(s, 'DESC')[1] AS best FROM (
   SELECT message_id, subject, [{_HITS}] AS s FROM (
-    SELECT message_id, subject, lower(subject || chr(10) || CASE WHEN length(body) > 8000 THEN substr(body, 1, 8000) || chr(10) || chr(10) || '[TRUNCATED]' ELSE body END) AS t
+    SELECT message_id, subject, ' ' || trim(regexp_replace(lower(subject || chr(10) || body), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) || ' ' AS t
     FROM messages)))""", "messages"))
 def classify_rules(spark, d):
     return scoring.classify_rules(V.messages(spark, d)).select(

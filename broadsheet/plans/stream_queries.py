@@ -33,8 +33,21 @@ def mail_stream(spark, d) -> DataFrame:
     return mail.withColumn("received_at", F.col("received_at").cast("timestamp"))
 
 
-def event_stream(spark, d) -> DataFrame:
-    return table_stream(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+def in_batches(df: DataFrame, at: str) -> DataFrame:
+    """The rows as a stream of several batches in event order, closed at its end."""
+    path = new_folder(df.sparkSession, "in-order")
+    jobs.write_in_order(df, path, at)
+    return jobs.read_files(df.sparkSession, path, df.schema, files_per_batch=1)
+
+
+def ordered_mail(spark, d) -> DataFrame:
+    mail = V.messages(spark, d).withColumn("received_at", F.col("received_at").cast("timestamp"))
+    return in_batches(mail.select("account", "message_id", "received_at", "lang"), "received_at")
+
+
+def ordered_events(spark, d) -> DataFrame:
+    events = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    return in_batches(events.select("user_id", "event_type", "ts"), "ts")
 
 
 def zoneless(df: DataFrame, *columns: str) -> DataFrame:
@@ -43,9 +56,9 @@ def zoneless(df: DataFrame, *columns: str) -> DataFrame:
     return df
 
 
-@query("stream_ingest", sql("""
+@query("stream_ingest", sql(r"""
 SELECT account, message_id, line AS summary FROM (SELECT account, message_id, unnest(string_split(body, chr(10))) AS line FROM messages)
-WHERE length(line) >= 40 AND NOT regexp_matches(line, '(?i)unsubscribe|privacy policy|view in (your )?browser|all rights reserved')""", "messages"))
+WHERE regexp_matches(line, '[^\s\x0b]') AND NOT regexp_matches(line, '(?i)unsubscribe|privacy policy|view in (your )?browser|all rights reserved')""", "messages"))
 def stream_ingest(spark, d):
     """Stories extracted from a message stream by the batch projection."""
     told = extract_stories(mail_stream(spark, d))
@@ -63,20 +76,18 @@ def stream_dedup(spark, d):
 
 
 @query("stream_daily_counts", sql("""
-SELECT * FROM (SELECT date_trunc('day', received_at)::TIMESTAMP AS window_start, date_trunc('day', received_at)::TIMESTAMP + INTERVAL 1 DAY AS window_end,
-   lang, count(*) AS n FROM messages GROUP BY ALL)
-WHERE window_end <= (SELECT max(received_at) FROM messages) - INTERVAL 1 HOUR""", "messages"))
+SELECT date_trunc('day', received_at)::TIMESTAMP AS window_start, date_trunc('day', received_at)::TIMESTAMP + INTERVAL 1 DAY AS window_end,
+   lang, count(*) AS n FROM messages GROUP BY ALL""", "messages"))
 def stream_daily_counts(spark, d):
-    counted = jobs.window_counts(mail_stream(spark, d), "lang", "received_at")
+    counted = jobs.window_counts(ordered_mail(spark, d), "lang", "received_at")
     return zoneless(jobs.run_to_table(counted, "daily"), "window_start", "window_end")
 
 
 @query("sliding_counts", """
-SELECT * FROM (SELECT window_end - INTERVAL 24 HOUR AS window_start, window_end, event_type, count(*) AS n
-  FROM (SELECT event_type, date_trunc('hour', ts)::TIMESTAMP + to_hours(unnest(range(1, 25))) AS window_end FROM events) GROUP BY ALL)
-WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
+SELECT window_end - INTERVAL 24 HOUR AS window_start, window_end, event_type, count(*) AS n
+FROM (SELECT event_type, date_trunc('hour', ts)::TIMESTAMP + to_hours(unnest(range(1, 25))) AS window_end FROM events) GROUP BY ALL""")
 def sliding_counts(spark, d):
-    counted = jobs.window_counts(event_stream(spark, d), "event_type", "ts", "1 day", "1 hour")
+    counted = jobs.window_counts(ordered_events(spark, d), "event_type", "ts", "1 day", "1 hour")
     return zoneless(jobs.run_to_table(counted, "sliding"), "window_start", "window_end")
 
 
@@ -85,9 +96,9 @@ WITH marked AS (SELECT user_id, ts, CASE WHEN ts >= lag(ts) OVER w + INTERVAL 30
                 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
  numbered AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS session FROM marked),
  grouped AS (SELECT user_id, session, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS n FROM numbered GROUP BY ALL)
-SELECT user_id, session_start, session_end, n FROM grouped WHERE session_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
+SELECT user_id, session_start, session_end, n FROM grouped""")
 def sender_sessions(spark, d):
-    bursts = jobs.sessions(event_stream(spark, d), "user_id", "ts")
+    bursts = jobs.sessions(ordered_events(spark, d), "user_id", "ts")
     return zoneless(jobs.run_to_table(bursts, "sessions"), "session_start", "session_end")
 
 

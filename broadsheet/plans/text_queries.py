@@ -114,7 +114,10 @@ def b64url(c):
 
 @query("decode_body", "SELECT doc_id, md5(text) AS body_md5, length(text) AS n_chars FROM documents")
 def decode_body(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", b64url(F.col("text")).alias("data"))
+    """Every third body carries characters that are not base64, which decoders skip."""
+    data = b64url(F.col("text"))
+    stray = F.when(F.col("doc_id") % 3 == 0, F.concat(F.substring("data", 1, 5), F.lit("! .*"), F.expr("substring(data, 6)"), F.lit("~"))).otherwise(F.col("data"))
+    docs = table(spark, d, "documents").withColumn("data", data).select("doc_id", stray.alias("data"))
     body = T.decode_b64url(F.col("data"))
     return docs.select("doc_id", F.md5(body).alias("body_md5"), F.length(body).cast("long").alias("n_chars"))
 
@@ -199,16 +202,37 @@ def tag_policy_audit(spark, d):
         "tag", F.col("tag").isin(*T.ALLOWED_TAGS).alias("allowed"), "n")
 
 
+# Markup put behind each page: script links, both kinds of quotes, unclosed tags, stray characters.
+_NASTY = (
+    """<a href="javascript:alert(1)" title='a "b"'>x</a>""", "<a href='https://ok.example/?a=1&b=2' rel=nofollow>y</a> & <b",
+    """<img src=x onerror=alert(1)>1 < 2 > 0 &amp; &#106; <a href=" &#106;avascript:x">z</a>""", "<a HREF=mailto:a@b.example>m</a><img src=x onerror=",
+)
+_NASTY_SQL = "CASE page_id % 4 " + " ".join(
+    f"WHEN {k} THEN '{text.replace(chr(39), chr(39) * 2)}'" for k, text in enumerate(_NASTY)) + " END"
+
+
+def _escape_text_sql(c: str) -> str:
+    return f"regexp_replace(replace(replace(replace({c}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '&amp;(#?[A-Za-z0-9]+;)', '&\\1', 'g')"
+
+
+_VALUE_SQL = r"""regexp_replace(regexp_replace(x, '^\s*[A-Za-z]+\s*=\s*', ''), '^["'']|["'']$', '', 'g')"""
+
+
 @query("tag_policy_strip", rf"""
-SELECT page_id, array_to_string(list_transform(regexp_extract_all(html, '<[^>]*>|[^<]+|<'), lambda t:
-  CASE WHEN NOT regexp_matches(t, '^<[^>]*>$') THEN t
+SELECT page_id, array_to_string(list_transform(regexp_extract_all(html || {_NASTY_SQL}, '<[^<>]*>|[^<]+|<'), lambda t:
+  CASE WHEN NOT regexp_matches(t, '^<[^<>]*>$') THEN {_escape_text_sql('t')}
        WHEN lower(regexp_extract(t, '^<\s*/?\s*([A-Za-z][A-Za-z0-9]*)', 1)) IN ({_TAG_LIST}) THEN
          '<' || regexp_extract(t, '^<\s*(/?)', 1) || lower(regexp_extract(t, '^<\s*/?\s*([A-Za-z][A-Za-z0-9]*)', 1)) ||
-         CASE WHEN regexp_matches(t, '(?i)^<\s*a\b') THEN
-           array_to_string(regexp_extract_all(t, '(?i)\s(?:href|title|target|rel)="[^"]*"'), '') ELSE '' END || '>'
+         CASE WHEN regexp_matches(t, '(?i)^<\s*a\b') THEN array_to_string(list_transform(
+             regexp_extract_all(t, '(?i)\s(?:href|title|target|rel)\s*=\s*(?:"[^"]*"|''[^'']*''|[^\s"''<>]+)'), lambda x:
+             CASE WHEN lower(regexp_extract(x, '^\s*([A-Za-z]+)', 1)) = 'href' AND NOT regexp_matches({_VALUE_SQL}, '(?i)^\s*(?:https?://|mailto:)') THEN ''
+                  ELSE ' ' || lower(regexp_extract(x, '^\s*([A-Za-z]+)', 1)) || '="' || replace({_escape_text_sql(_VALUE_SQL)}, '"', '&quot;') || '"' END), '')
+           ELSE '' END || '>'
        ELSE '' END), '') AS kept FROM pages""")
 def tag_policy_strip(spark, d):
-    return table(spark, d, "pages").select("page_id", T.apply_tag_policy(F.col("html")).alias("kept"))
+    """Pages with added markup that a filter must not let through."""
+    nasty = F.element_at(F.array(*map(F.lit, _NASTY)), (F.col("page_id") % 4 + 1).cast("int"))
+    return table(spark, d, "pages").select("page_id", T.apply_tag_policy(F.concat("html", nasty)).alias("kept"))
 
 
 @query("clean_url", r"""
@@ -233,7 +257,7 @@ def extract_urls(spark, d):
     return table(spark, d, "pages").select("page_id", F.explode(T.extract_urls(text)).alias("url"))
 
 
-_TITLES = ("[Date]", "[date]", "{Date}", "{date}", "{{Date}}", "{{date}}", "<<Date>>", None, "")
+_TITLES = (*T.DATE_PLACEHOLDERS, None, "")
 
 
 def digest_titles(spark, d):

@@ -13,8 +13,8 @@ from ..operators.scoring import news_only
 from ..operators.stories import extract_stories, place
 from ..session import spread
 
-# Item ids pack (message, line); no text has this many lines of story length.
-LINES_PER_MESSAGE = 100_000
+# Item ids pack (message, line); a text is shorter than this, so ids never collide.
+LINES_PER_MESSAGE = 1 << 31
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -140,7 +140,7 @@ SQL = {
         FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""),
     "classified": (("messages", "classification"), """
         SELECT m.*, c.* EXCLUDE (message_id) FROM messages m JOIN classification c ON m.message_id = c.message_id"""),
-    "items": (("classified",), r"""
+    "items": (("classified",), rf"""
         SELECT split(line, '. ')[1] AS title, line AS summary, coalesce(primary_category, 'General') AS main_topic,
                ['https://' || split_part(sender, ' ', 1) || '.example.com/' || message_id] AS source_urls,
                split(line, '. ')[1:5] AS key_points, item_pos, received_at,
@@ -148,9 +148,9 @@ SQL = {
                account AS source_account, message_id AS original_email_id,
                primary_category AS email_primary_category, secondary_categories AS email_secondary_categories,
                confidence AS email_classification_confidence, reason AS email_classification_reason,
-               message_id * 100000 + item_pos AS item_id
+               message_id * {LINES_PER_MESSAGE} + item_pos AS item_id
         FROM (SELECT *, generate_subscripts(lines, 1) - 1 AS item_pos, unnest(lines) AS line
-              FROM (SELECT *, list_filter(string_split(body, chr(10)), lambda x: length(x) >= 40 AND NOT regexp_matches(x,
+              FROM (SELECT *, list_filter(string_split(body, chr(10)), lambda x: regexp_matches(x, '[^\s\x0b]') AND NOT regexp_matches(x,
                         '(?i)unsubscribe|privacy policy|view in (your )?browser|all rights reserved')) AS lines
                     FROM classified))"""),
     "placed": (("items",), """

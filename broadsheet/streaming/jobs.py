@@ -12,11 +12,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..functions.text import fingerprint
 from ..session import new_folder
 
-# Merges a sender's neighbouring events inside each task before the shuffle, so
-# that a busy sender does not move row by row to one task.
-MERGE_SESSIONS = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
-
-
 def read_files(
     spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
     name_filter: str | None = None, files_per_batch: int | None = None,
@@ -61,13 +56,35 @@ def window_counts(
 
 def sessions(stream: DataFrame, by: str, at: str, gap: str = "30 minutes", delay: str = "1 hour") -> DataFrame:
     """Bursts of one sender separated by ``gap``."""
-    stream.sparkSession.conf.set(MERGE_SESSIONS, "true")
     return (
         stream.withWatermark(at, delay).groupBy(F.session_window(at, gap).alias("span"), by).agg(F.count("*").alias("n"))
         .select(F.col("span.start").alias("session_start"), F.col("span.end").alias("session_end"), by, "n")
     )
 
 
+def write_in_order(df: DataFrame, path: str, at: str, slices: int = 5, closing: str = "4 days") -> None:
+    """Files under ``path`` that a stream reads one by one in the order of ``at``.
+
+    A last file holds one row, with ``at`` after everything else and all else null.
+    It moves the watermark past every window, so that windows still open when the
+    input ends come out too; its own windows stay open and never do.
+    """
+    spark = df.sparkSession
+    cuts = df.agg(F.percentile_approx(F.unix_micros(at), [k / slices for k in range(1, slices)], 10_000)).first()[0] or []
+    micros = F.unix_micros(at)
+    bounds = [None, *sorted(set(cuts)), None]
+    for low, high in zip(bounds, bounds[1:]):
+        inside = F.lit(True)
+        if low is not None:
+            inside = inside & (micros > low)
+        if high is not None:
+            inside = inside & (micros <= high)
+        df.where(inside).coalesce(1).write.mode("append").parquet(path)
+    end = df.agg(F.max(at).alias(at)).select((F.col(at) + F.expr(f"INTERVAL {closing}")).alias(at))
+    rest = [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema if f.name != at]
+    end.select(at, *rest).select(*df.columns).coalesce(1).write.mode("append").parquet(path)
+
+
 def run_to_table(stream: DataFrame, label: str) -> DataFrame:
     """Process what is available into a new table in the shared folder and read it."""
     spark = stream.sparkSession

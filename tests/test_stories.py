@@ -5,14 +5,14 @@ from broadsheet.operators.skew import join_skewed, number_rows
 
 
 def test_extraction_and_fallback(spark):
-    body = "\n".join(["short", "A" * 45 + ". Second sentence. Third", "Click here to UNSUBSCRIBE from this newsletter now ok"])
+    body = "\n".join(["short", " \t", "", "A" * 45 + ". Second sentence. Third", "Click here to UNSUBSCRIBE from this newsletter now ok"])
     mail = spark.createDataFrame(
         [("a", 1, "s1", body, "AI"), ("a", 2, "s2", "tiny", None), ("a", 3, "s3", "z" * 600, None)],
         "account string, message_id long, subject string, body string, primary_category string")
     rows = stories.extract_stories(mail).collect()
     assert [(r.original_email_id, r.item_pos, r.title, r.main_topic) for r in rows] == [
-        (1, 0, "A" * 45, "AI"), (3, 0, "z" * 600, "General")]
-    assert rows[0].key_points == ["A" * 45, "Second sentence", "Third"]
+        (1, 0, "short", "AI"), (1, 1, "A" * 45, "AI"), (2, 0, "tiny", "General"), (3, 0, "z" * 600, "General")]
+    assert rows[1].key_points == ["A" * 45, "Second sentence", "Third"]
     ok = spark.createDataFrame([("a", 1), ("a", 2)], "account string, message_id long")
     (only,) = stories.fallback_items(mail, ok).collect()
     assert (only.title, only.summary, only.main_topic, only.key_points) == ("s3", "z" * 500 + "...", "General", ["Content from email body"])

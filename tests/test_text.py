@@ -27,8 +27,8 @@ def test_header_rules(spark):
 def test_decode_b64url(spark):
     url_safe = base64.urlsafe_b64encode("ÿ~?>>é".encode()).decode().rstrip("=")
     broken = base64.urlsafe_b64encode(b"ok\xff!").decode()
-    got = values(spark, ["aGk", url_safe, broken, "a", None], T.decode_b64url)
-    assert got == ["hi", "ÿ~?>>é", "ok�!", "", ""]
+    got = values(spark, ["aGk", url_safe, broken, "a", None, "aGVs!bG8=", " aG\nk=\r"], T.decode_b64url)
+    assert got == ["hi", "ÿ~?>>é", "ok�!", "", "", "hello", "hi"]
 
 
 def test_html_to_text(spark):
@@ -54,8 +54,15 @@ def test_escape_order(spark):
 
 
 def test_tag_policy(spark):
-    got = values(spark, ["<P onclick=x>a<u>b</u></P><a href=\"u\" onclick=\"y\">l</a><br/>1<2"], T.apply_tag_policy)
-    assert got == ["<p>ab</p><a href=\"u\">l</a><br>1<2"]
+    rows = [
+        "<P onclick=x>a<u>b</u></P><a href=\"http://u\" onclick=\"y\">l</a><br/>1<2",
+        "<a href=\"javascript:alert(1)\">x</a>", "<img src=x onerror=alert(1)", "a & b &amp; c > d",
+        "<a href='https://u' rel=nofollow title='say \"hi\"'>l</a>", "<a href=\"java&#115;cript:x\">l</a>", "<a <b>c</b>", None,
+    ]
+    assert values(spark, rows, T.apply_tag_policy) == [
+        "<p>ab</p><a href=\"http://u\">l</a><br>1&lt;2", "<a>x</a>", "&lt;img src=x onerror=alert(1)", "a &amp; b &amp; c &gt; d",
+        "<a href=\"https://u\" rel=\"nofollow\" title=\"say &quot;hi&quot;\">l</a>", "<a>l</a>", "&lt;a <b>c</b>", "",
+    ]
 
 
 def test_urls(spark):
