@@ -283,17 +283,14 @@ def lsh_links(
         both.select("scope", "id", F.col("_b.h").alias("_h"), F.col("_b.grams").alias("grams"), F.size("_b.grams").cast("long").alias("n")),
         "minhash",
     ).where("n > 0")
-    exploded = base.select("scope", "id", F.explode("_h").alias("h"))
-    mins = []
-    for i in range(bands * rows):
-        a, b = _hash_pair(i)
-        mins.append(F.min((F.col("h") * F.lit(a).cast("long") + F.lit(b).cast("long")) % _PRIME).alias(f"m{i}"))
-    signatures = exploded.groupBy("scope", "id").agg(*mins)
-    buckets = signatures.select(
+    def least(i: int) -> Column:
+        a, b = (F.lit(x).cast("long") for x in _hash_pair(i))
+        return F.array_min(F.transform("_h", lambda h: (h * a + b) % _PRIME)).cast("string")
+
+    buckets = base.select(
         "scope", "id",
         F.posexplode(F.array(*[
-            F.concat_ws("-", *[F.col(f"m{band * rows + r}").cast("string") for r in range(rows)])
-            for band in range(bands)
+            F.concat_ws("-", *[least(band * rows + r) for r in range(rows)]) for band in range(bands)
         ])).alias("band", "bucket"),
     )
     buckets = materialise(buckets, "buckets")

@@ -145,22 +145,26 @@ def keyword_category(
     Keywords match as substrings of the escaped lower-case fields; pass
     ``word_boundary=True`` to match whole words instead.
     """
-    fields = [F.lower(escape_html(c)) for c in (title, summary)]
-
-    def hit(keyword: str) -> Column:
-        found = F.lit(False)
-        for c in fields:
-            one = c.rlike(rf"(?U)\b{keyword}\b") if word_boundary else F.contains(c, F.lit(keyword))
-            found = found | F.coalesce(one, F.lit(False))
-        return found
-
-    choice = F.when(in_taxonomy(known), known) if known is not None else None
-    for category, keywords in rules:
-        matched = F.lit(False)
-        for keyword in keywords:
-            matched = matched | hit(keyword)
-        choice = F.when(matched, category) if choice is None else choice.when(matched, category)
-    return choice.otherwise(CATCH_ALL)
+    def first_hit(fields: Column) -> Column:
+        def hit(keyword: str) -> Column:
+            found = F.lit(False)
+            for c in (fields["title"], fields["summary"]):
+                one = c.rlike(rf"(?U)\b{keyword}\b") if word_boundary else F.contains(c, F.lit(keyword))
+                found = found | F.coalesce(one, F.lit(False))
+            return found
+
+        choice = None
+        for category, keywords in rules:
+            matched = F.lit(False)
+            for keyword in keywords:
+                matched = matched | hit(keyword)
+            choice = F.when(matched, category) if choice is None else choice.when(matched, category)
+        return choice.otherwise(CATCH_ALL)
+
+    # Both fields are escaped and lower-cased once, not once per keyword.
+    both = F.struct(F.lower(escape_html(title)).alias("title"), F.lower(escape_html(summary)).alias("summary"))
+    by_keyword = bind(both, first_hit)
+    return by_keyword if known is None else F.when(in_taxonomy(known), known).otherwise(by_keyword)
 
 
 BASE_PROMPT = (

@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..config import SimilarityConfig
 from ..operators import scoring, stories
 from ..operators.components import clusters
 from ..operators.grouping import (
@@ -319,6 +320,13 @@ def text_members(spark, d):
     return clusters(similar_links(sets)).join(sets.select("scope", "id", "fingerprint"), ["scope", "id"])
 
 
+@query("crowd_clusters", sql("SELECT id, cluster_id FROM text_clusters", "text_clusters"))
+def crowd_clusters(spark, d):
+    """story_clusters by the path of very frequent shingles, taken for all that three texts share."""
+    sets = shingle_sets(texts(spark, d))
+    return clusters(similar_links(sets, SimilarityConfig(posting_limit=2))).select("id", "cluster_id")
+
+
 @query("story_clusters", sql("SELECT id, cluster_id FROM text_clusters", "text_clusters"))
 def story_clusters(spark, d):
     return text_members(spark, d).select("id", "cluster_id")

@@ -31,10 +31,14 @@ def outbox(
     Recipients are joined into one To line per message; a long list is split over
     as many messages as it needs, so no line and no task grows with the list.
     """
-    addressed = digests.join(recipients.select(on, "recipient"), on, "left").withColumn(
-        "recipient", F.coalesce("recipient", F.lit(default_recipient))
-    )
     keys = [c for c in digests.columns]
+    listed = recipients.select(on, "recipient")
+    # An inner join from the long side: its hot categories can be split, or the few digests broadcast.
+    addressed = listed.join(digests, on).select(
+        *keys, F.coalesce("recipient", F.lit(default_recipient)).alias("recipient")
+    ).unionByName(
+        digests.join(listed.select(on).distinct(), on, "left_anti").select(*keys, F.lit(default_recipient).alias("recipient"))
+    )
     numbered = number_rows(addressed, keys, ["recipient"], "_n")
     batch = F.floor(F.col("_n") / recipients_per_message).cast("long")
     return (
