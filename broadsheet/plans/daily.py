@@ -69,7 +69,7 @@ def run(
     The judgement steps are arguments: ``classify`` adds the classification
     columns, ``extract`` returns items with their provenance, ``layout`` maps the
     numbered stories to nested layouts (``LAYOUT`` plus ``digest_date``); without
-    it sections follow the keyword rules. Each is written out before it is used,
+    it, or if it returns none, sections follow the keyword rules. Each is written out before it is used,
     so a provider that costs money is asked once.
     """
     day = F.lit(as_of.date())
@@ -88,8 +88,8 @@ def run(
     sources, urls = _members(stories, merged)
     # The section is chosen anew; the placement only scoped the search for copies.
     sectioned = stories.drop("category")
-    if layout is not None:
-        layouts = D.require_valid(materialise(layout(sectioned), "layouts"))
+    layouts = None if layout is None else D.require_valid(materialise(layout(sectioned), "layouts"))
+    if layouts is not None and not layouts.isEmpty():
         proposed = D.slots(layouts)
         curated = D.with_empty_sections(D.curate(sectioned, proposed, config), proposed)
     elif config.fallback_to_keywords:
@@ -98,7 +98,7 @@ def run(
         proposed = stories.select("digest_date").limit(0)
         curated = D.rule_sections(sectioned)
     else:
-        raise DigestError("no layout given and the keyword fallback is off")
+        raise DigestError("there is no layout and the keyword fallback is off")
     curated = materialise(curated.withColumn("story_key", F.col("idx")), "digest-items")
     by_name, totals = D.digest_metrics(curated, stories, proposed)
     counted = reports.funnel({

@@ -52,6 +52,28 @@ def test_layout_run(spark, mail):
     assert out.metrics.first().n_stories == 2
 
 
+def test_layout_that_returns_nothing(spark, mail):
+    schema = "digest_date date, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in LAYOUT)
+    nothing = lambda stories: spark.createDataFrame([], schema)
+    out = broadsheet.run(mail, NOW, layout=nothing)
+    assert out.digest_items.count() == out.stories.count() > 0
+    assert out.totals.first().fallback_categorized_count == out.stories.count()
+    with pytest.raises(broadsheet.DigestError):
+        broadsheet.run(mail, NOW, broadsheet.DigestConfig(fallback_to_keywords=False), layout=nothing)
+
+
+def test_no_markup_from_a_layout_runs(spark, mail):
+    schema = "digest_date date, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in LAYOUT)
+    nasty = '<a href="javascript:alert(1)">x</a><img src=x onerror=alert(1)'
+
+    def layout(stories):
+        return spark.createDataFrame(
+            [(NOW.date(), "News", nasty, [("Front", [("Main", [0], nasty), ("Empty", [99], nasty)])])], schema)
+
+    html = "".join(r.html for r in broadsheet.run(mail, NOW, layout=layout).pages().collect())
+    assert "javascript:" not in html and "<img" not in html
+
+
 def test_quiet_days(spark, mail):
     out = broadsheet.run(mail, NOW + timedelta(days=30))
     assert out.funnel.first().message == "No news content found"
