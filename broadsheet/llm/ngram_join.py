@@ -7,8 +7,8 @@ two sets are compared, a bound from above is taken from hashed bitmaps: bits in
 which they differ stand for different elements, so the overlap is at most
 (n + m - differing bits) / 2. What passes is intersected as sorted arrays.
 
-Rarity comes from document counts of all shingles in BUCKETS hash buckets, a table
-of fixed size; any order finds all links, this one keeps tiles small. Equal sets are
+Rarity comes from document counts of all shingles in 2**BUCKET_BITS hash buckets, a
+table of fixed size; any order finds all links, this one keeps tiles small. Equal sets are
 one set from the start. In each tile all sets are first compared with one leader, so
 crowds of copies are joined at one comparison each; from then on only pairs whose
 sets are not connected yet are left. Small tiles compare these directly; crowded
@@ -31,8 +31,10 @@ from ..operators.components import clusters
 from ..session import materialise
 from .common import SPACED_WORD, lower_ascii, whole_text, words
 
-BUCKET_BITS = 16
+BUCKET_BITS = 20
 BITMAP_WORDS = 16
+#: Bits of the bitmap of ids that keeps most other texts from being moved to their sets.
+FILTER_BITS = 23
 #: Tiles with more rows than this are compared in blocks.
 CROWD = 128
 #: Rows in a chunk of a crowded tile.
@@ -84,35 +86,50 @@ def _sets(part: pa.RecordBatch, width: int) -> Iterator[np.ndarray]:
 
 def bucket_counts(hashed: DataFrame, width: int) -> np.ndarray:
     """Documents per hash bucket of their shingles: 2**BUCKET_BITS numbers, whatever the input."""
-    rows, each = 64, (1 << BUCKET_BITS) // 64
+    rows, size = 64, 1 << BUCKET_BITS
+    each = size // rows
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << BUCKET_BITS, np.int64)
+        total = np.zeros(size, np.int64)
         for part in parts:
             for s in _sets(part, width):
                 np.add.at(total, (s >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), 1)
-        values = pa.ListArray.from_arrays(np.arange(0, len(total) + 1, each, dtype=np.int32), pa.array(total))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(rows, dtype=np.int32)), values], ["part", "counts"])
+        # A byte each: what exceeds 255 follows in further rows, so that no count is cut.
+        while total.any():
+            low = np.minimum(total, 255)
+            total -= low
+            data = [part.tobytes() for part in low.astype(np.uint8).reshape(rows, each)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(rows, dtype=np.int32)), pa.array(data, pa.binary())], ["part", "counts"])
+            if (total > 0).sum() < each:
+                at = np.flatnonzero(total)
+                pairs = np.stack([at, total[at]], axis=1).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([pairs.tobytes()], pa.binary())], ["part", "counts"])
+                break
 
     def add(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[int, np.ndarray] = {}
         for part in parts:
             for k, counts in zip(part["part"], part["counts"]):
-                total[k] = total.get(k, 0) + np.asarray(counts)
-        yield pd.DataFrame({"part": list(total), "counts": list(total.values())})
-
-    shape = "part int, counts array<bigint>"
+                if k >= 0:
+                    total[k] = total.get(k, 0) + np.frombuffer(counts, np.uint8).astype(np.int64)
+                else:
+                    for at, n in np.frombuffer(counts, np.int64).reshape(-1, 2):
+                        k, j = divmod(int(at), each)
+                        total.setdefault(k, np.zeros(each, np.int64))
+                        total[k][j] += n
+        yield pd.DataFrame({"part": list(total), "counts": [t.tobytes() for t in total.values()]})
+
+    shape = "part int, counts binary"
     summed = hashed.mapInArrow(count, shape).repartition("part").mapInPandas(add, shape)
-    out = np.zeros(1 << BUCKET_BITS, np.int64)
-    for row in summed.collect():  # 64 rows of 1,024 numbers
-        out[row["part"] * each:(row["part"] + 1) * each] = row["counts"]
-    return out
+    out = np.zeros(size, np.int64)
+    for row in summed.collect():  # a few hundred rows of 16,384 numbers
+        out[row["part"] * each:(row["part"] + 1) * each] += np.frombuffer(row["counts"], np.int64)
+    # Only the order matters: ranks of the different counts keep the table small.
+    return np.minimum(np.unique(out, return_inverse=True)[1], 65_535).astype(np.uint16)
 
 
 def features(hashed: DataFrame, counts: np.ndarray, spec: Spec) -> DataFrame:
     """(doc_id, n, key, rare, bits): set size, identity of the set, its rarest shingles, its bitmap."""
-    counts = counts.astype(np.int64)
-
     def describe(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             n, keys, rare, bits = [], [], [], []
@@ -134,16 +151,17 @@ def features(hashed: DataFrame, counts: np.ndarray, spec: Spec) -> DataFrame:
     return hashed.mapInArrow(describe, "doc_id long, n int, key binary, rare array<bigint>, bits array<bigint>")
 
 
-def tiles(sets: DataFrame, spec: Spec) -> DataFrame:
+def tiles(prefixes: DataFrame, sets: DataFrame, spec: Spec) -> DataFrame:
     """(token, band, id, n, guest): rows of the tiles that hold more than one set.
 
     A set is at home in its own size band and a guest in the next larger one.
     """
-    postings = sets.select(F.explode("rare").alias("token"), "id", "n")
-    shared = postings.groupBy("token").agg(F.count("*").alias("df")).where("df > 1").select("token")
+    postings = prefixes.select(F.explode("rare").alias("token"), "id")
+    shared = postings.groupBy("token").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("token")
+    found = materialise(postings.join(shared, "token"), "postings").join(sets.select("id", "n"), "id")
     band = F.floor(F.log(F.col("n")) / float(np.log(spec.den / spec.num))).cast("int")
     places = F.array(F.struct(F.lit(0).alias("up"), F.lit(False).alias("guest")), F.struct(F.lit(1).alias("up"), F.lit(True).alias("guest")))
-    rows = postings.join(shared, "token").select("token", band.alias("own"), "id", "n", F.explode(places).alias("at")).select(
+    rows = found.select("token", band.alias("own"), "id", "n", F.explode(places).alias("at")).select(
         "token", (F.col("own") + F.col("at.up")).alias("band"), "id", "n", "at.guest"
     )
     return _live(rows, "id")
@@ -234,25 +252,47 @@ def _rest_pairs(rows: DataFrame, sets: DataFrame, spec: Spec) -> DataFrame:
     return pairs.unionByName(_crowd_pairs(known.where(F.col("rows") > CROWD).drop("rows"), sets, spec)).distinct()
 
 
-def _with_components(rows: DataFrame, links: DataFrame) -> DataFrame:
-    comps = clusters(links.select(F.lit(0).alias("scope"), "a", "b")).select("id", F.col("cluster_id").alias("comp"))
+def _grown(comps: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(id, comp) of all sets with links so far: new links only join components that are still apart."""
+    edges = links.select("a", "b")
+    if comps is not None:
+        for side in "ab":
+            named = comps.select(F.col("id").alias(side), F.col("comp").alias("c"))
+            edges = edges.join(named, side, "left").withColumn(side, F.coalesce("c", side)).drop("c")
+    edges = materialise(edges.where("a <> b").distinct(), "joining")
+    if comps is not None and edges.isEmpty():
+        return comps
+    joined = clusters(edges.select(F.lit(0).alias("scope"), "a", "b")).select("id", F.col("cluster_id").alias("comp"))
+    if comps is not None:
+        joined = materialise(joined, "joined")
+        moved = comps.join(joined.select(F.col("id").alias("comp"), F.col("comp").alias("to")), "comp", "left")
+        joined = moved.select("id", F.coalesce("to", "comp").alias("comp")).unionByName(joined.join(comps, "id", "left_anti"))
+    return materialise(joined, "components")
+
+
+def _with_components(rows: DataFrame, comps: DataFrame) -> DataFrame:
     return rows.drop("comp").join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
 
 
-def similar_sets(docs: DataFrame, spec: Spec = Spec()) -> tuple[DataFrame, DataFrame]:
-    """Documents -> (features of all, links between sets); a set goes by the smallest id that has it.
+def _arrays(docs: DataFrame, wanted: DataFrame, spec: Spec) -> DataFrame:
+    """(id, set): sorted shingles of the wanted documents.
 
-    The links found connect exactly the sets that all links would connect.
+    A bitmap of hashed ids, of fixed size, is applied where the texts are read; the
+    join decides.
     """
-    hashed = word_hashes(docs)
-    described = materialise(features(hashed, bucket_counts(hashed, spec.width), spec), "shingle-sets")
-    firsts = described.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("id"))
-    sets = materialise(
-        described.join(firsts, (described["key"] == firsts["key"]) & (described["doc_id"] == firsts["id"]))
-        .select("id", "n", "rare", "bits").dropDuplicates(["id", "n"]), "sets",
+    def hashed(column: str):
+        return F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS))
+
+    bit = F.lit(1 << 15)
+    maps = wanted.select(hashed("id").alias("h")).groupBy(F.floor(F.col("h") / bit).alias("part")).agg(
+        F.bitmap_construct_agg(F.col("h") % bit).alias("map")
     )
-    rows = materialise(tiles(sets, spec), "tiles")
-    wanted = rows.select("id").distinct()
+    h = hashed("doc_id")
+    byte = F.conv(F.hex(F.substring("map", F.floor((F.col("h") % bit) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    likely = docs.where("doc_id IS NOT NULL").withColumn("h", h).withColumn("part", F.floor(F.col("h") / bit)).select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", "h", "part"
+    ).join(F.broadcast(maps), "part").where(byte.bitwiseAND(F.expr("shiftleft(1, cast(h % 8 as int))")) != 0)
+    kept = likely.join(wanted, F.col("doc_id") == wanted["id"], "left_semi").select("doc_id", "text")
 
     def store(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -260,15 +300,23 @@ def similar_sets(docs: DataFrame, spec: Spec = Spec()) -> tuple[DataFrame, DataF
                 [part.column("doc_id"), pa.array([s.tobytes() for s in _sets(part, spec.width)], pa.binary())], ["id", "set"]
             )
 
-    kept = docs.join(wanted, docs["doc_id"] == wanted["id"], "left_semi")
-    arrays = materialise(word_hashes(kept).mapInArrow(store, "id long, set binary").dropDuplicates(["id"]), "set-arrays")
-    links = None
+    return word_hashes(kept).mapInArrow(store, "id long, set binary").dropDuplicates(["id"])
+
+
+def similar_sets(docs: DataFrame, spec: Spec = Spec()) -> tuple[DataFrame, DataFrame]:
+    """Documents -> (features of all, (id, comp) of the sets with links); a set goes by the smallest id that has it."""
+    hashed = word_hashes(docs)
+    described = materialise(features(hashed, bucket_counts(hashed, spec.width), spec), "shingle-sets")
+    firsts = described.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("id"))
+    own = described.join(firsts.withColumnRenamed("key", "k"), (F.col("key") == F.col("k")) & (F.col("doc_id") == F.col("id")))
+    sets = materialise(own.select("id", "n", "bits").dropDuplicates(["id", "n"]), "sets")
+    rows = materialise(tiles(own.select("id", "rare"), sets, spec), "tiles")
+    arrays = materialise(_arrays(docs, rows.select("id").distinct(), spec), "set-arrays")
+    comps = None
     for turn in range(2):
-        found = verified(leader_pairs(rows, turn, spec), sets, arrays, spec)
-        links = materialise(found if links is None else links.unionByName(found).distinct(), "links")
-        rows = materialise(_live(_with_components(rows, links), "comp"), "tiles")
-    rest = verified(_rest_pairs(rows, sets, spec), sets, arrays, spec)
-    return described, materialise(links.unionByName(rest).distinct(), "links")
+        comps = _grown(comps, verified(leader_pairs(rows, turn, spec), sets, arrays, spec))
+        rows = materialise(_live(_with_components(rows, comps), "comp"), "tiles")
+    return described, _grown(comps, verified(_rest_pairs(rows, sets, spec), sets, arrays, spec))
 
 
 def components(docs: DataFrame, spec: Spec = Spec()) -> DataFrame:
@@ -280,9 +328,9 @@ def components(docs: DataFrame, spec: Spec = Spec()) -> DataFrame:
     several texts should not occur, each of its rows follows its own text or, for
     sets of one size, the first. Other columns are not read.
     """
-    described, links = similar_sets(docs, spec)
+    described, comps = similar_sets(docs, spec)
     firsts = described.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("id"))
-    named = _with_components(firsts, links).select("key", "comp")
+    named = _with_components(firsts, comps).select("key", "comp")
     out = described.select("doc_id", "n", "key").join(named, "key", "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("comp", "doc_id").alias("component_id")
     )
