@@ -203,44 +203,61 @@ def verified(pairs: DataFrame, sets: DataFrame, arrays: DataFrame, spec: Spec) -
         for part in parts:
             hit = []
             for x, y in zip(part.column("set_a"), part.column("set_b")):
-                x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
-                at = np.searchsorted(y, x)
-                both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-                hit.append(spec.den * both >= spec.num * (len(x) + len(y) - both))
+                hit.append(_linked(*(np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y)), spec))
             yield part.select(["a", "b"]).filter(pa.array(hit, pa.bool_()))
 
     return passed.select("a", "b", "set_a", "set_b").mapInArrow(exact, "a long, b long")
 
 
-def _crowd_pairs(rows: DataFrame, sets: DataFrame, spec: Spec) -> DataFrame:
-    """Pairs from crowded tiles that their bitmaps allow: rows outside the largest component against every chunk."""
+def _linked(x: np.ndarray, y: np.ndarray, spec: Spec) -> bool:
+    """Exact intersection of two sorted arrays against the threshold."""
+    at = np.searchsorted(y, x)
+    both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
+    return spec.den * both >= spec.num * (len(x) + len(y) - both)
+
+
+def _crowd_links(rows: DataFrame, sets: DataFrame, arrays: DataFrame, spec: Spec) -> DataFrame:
+    """Links from crowded tiles: rows outside the largest component against every chunk.
+
+    A row needs one link to each other component at most, so it is compared until
+    it has one; components that a chunk has joined count as one from then on.
+    """
     by_part = rows.groupBy("token", "band", "comp").agg(F.count("*").alias("c"))
     main = by_part.groupBy("token", "band").agg(F.max(F.struct("c", "comp"))["comp"].alias("main"), F.sum("c").alias("rows"))
     cut = rows.join(main, ["token", "band"]).withColumn("chunks", F.ceil(F.col("rows") / CHUNK).cast("int"))
     each = cut.withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks").cast("int")).withColumn("probe", F.lit(False))
     probes = cut.where("comp <> main").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn("probe", F.lit(True))
     columns = ["token", "band", "chunk", "probe", "id", "n", "comp", "guest"]
-    dealt = each.select(*columns).unionByName(probes.select(*columns)).join(sets.select("id", "bits"), "id")
+    dealt = each.select(*columns).unionByName(probes.select(*columns)).join(sets.select("id", "bits"), "id").join(arrays, "id")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         probe = group[group["probe"]]
         rest = group[~group["probe"]]
-        n, comp, ids, guest = (rest[c].to_numpy() for c in ("n", "comp", "id", "guest"))
+        n, comp, ids, guest, held = (rest[c].to_numpy() for c in ("n", "comp", "id", "guest", "set"))
+        comp = comp.copy()
         bits = np.stack(rest["bits"].to_list()).view(np.uint64) if len(rest) else np.empty((0, BITMAP_WORDS), np.uint64)
+        joined: dict[int, int] = {}
         found: list[tuple[int, int]] = []
-        for i, m, c, g, b in zip(probe["id"], probe["n"], probe["comp"], probe["guest"], probe["bits"]):
+        for i, m, c, g, b, raw in zip(*(probe[k] for k in ("id", "n", "comp", "guest", "bits", "set"))):
+            while c in joined:
+                c = joined[c]
             use = (comp != c) & ~(guest & g) & (spec.num * np.maximum(n, m) <= spec.den * np.minimum(n, m))
             at = np.flatnonzero(use)
             differ = np.bitwise_count(bits[at] ^ np.asarray(b).view(np.uint64)).sum(1, dtype=np.int64)
             most = (n[at] + m - differ) // 2
-            found += [(min(i, j), max(i, j)) for j in ids[at[spec.den * most >= spec.num * (n[at] + m - most)]]]
+            own = np.frombuffer(raw, np.uint64)
+            for j in at[spec.den * most >= spec.num * (n[at] + m - most)]:
+                if comp[j] != c and _linked(own, np.frombuffer(held[j], np.uint64), spec):
+                    found.append((min(i, ids[j]), max(i, ids[j])))
+                    joined[comp[j]] = c
+                    comp[comp == comp[j]] = c
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return dealt.groupBy("token", "band", "chunk").applyInPandas(compare, "a long, b long").distinct()
 
 
-def _rest_pairs(rows: DataFrame, sets: DataFrame, spec: Spec) -> DataFrame:
-    """Pairs of different components that share a tile."""
+def _rest_links(rows: DataFrame, sets: DataFrame, arrays: DataFrame, spec: Spec) -> DataFrame:
+    """Links between different components that share a tile."""
     size = rows.groupBy("token", "band").agg(F.count("*").alias("rows"))
     known = materialise(rows.join(size, ["token", "band"]), "tile-rows")
     few = known.where(F.col("rows") <= CROWD)
@@ -249,7 +266,8 @@ def _rest_pairs(rows: DataFrame, sets: DataFrame, spec: Spec) -> DataFrame:
     near = spec.num * F.greatest("x.n", "y.n") <= spec.den * F.least("x.n", "y.n")
     direct = x.join(y, meet & near & (F.col("y.guest") | (F.col("x.id") < F.col("y.id"))))
     pairs = _sized(direct.select(F.col("x.id").alias("a"), F.col("x.n").alias("n_a"), F.col("y.id").alias("b"), F.col("y.n").alias("n_b")), spec)
-    return pairs.unionByName(_crowd_pairs(known.where(F.col("rows") > CROWD).drop("rows"), sets, spec)).distinct()
+    crowded = _crowd_links(known.where(F.col("rows") > CROWD).drop("rows"), sets, arrays, spec)
+    return verified(pairs, sets, arrays, spec).unionByName(crowded)
 
 
 def _grown(comps: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -316,7 +334,7 @@ def similar_sets(docs: DataFrame, spec: Spec = Spec()) -> tuple[DataFrame, DataF
     for turn in range(2):
         comps = _grown(comps, verified(leader_pairs(rows, turn, spec), sets, arrays, spec))
         rows = materialise(_live(_with_components(rows, comps), "comp"), "tiles")
-    return described, _grown(comps, verified(_rest_pairs(rows, sets, spec), sets, arrays, spec))
+    return described, _grown(comps, _rest_links(rows, sets, arrays, spec))
 
 
 def components(docs: DataFrame, spec: Spec = Spec()) -> DataFrame:
