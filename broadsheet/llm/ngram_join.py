@@ -11,9 +11,12 @@ Rarity comes from document counts of all shingles in 2**BUCKET_BITS hash buckets
 table of fixed size; any order finds all links, this one keeps tiles small. Equal sets are
 one set from the start. In each tile all sets are first compared with one leader, so
 crowds of copies are joined at one comparison each; from then on only pairs whose
-sets are not connected yet are left. Small tiles compare these directly; crowded
-tiles are cut into chunks, and the rows outside the tile's largest component meet
-every chunk in blocks of bitmaps.
+sets are not connected yet are left. Small tiles compare these directly. The rows of
+crowded tiles are cut into chunks, those of the tile's largest component and the
+others apart; pairs of chunks are compared by bitmaps, and only sets that a bitmap
+leaves are fetched, once for each pair of chunks. A crowd of texts that are all just
+below the threshold still costs its pairs. The join gives the components of the
+link graph, not all its links.
 """
 
 from __future__ import annotations
@@ -39,6 +42,8 @@ FILTER_BITS = 23
 CROWD = 128
 #: Rows in a chunk of a crowded tile.
 CHUNK = 2048
+#: Bytes of set arrays in a chunk, unless a single set is larger.
+CHUNK_BYTES = 1 << 24
 
 
 @dataclass(frozen=True)
@@ -216,44 +221,90 @@ def _linked(x: np.ndarray, y: np.ndarray, spec: Spec) -> bool:
     return spec.den * both >= spec.num * (len(x) + len(y) - both)
 
 
+def _meetings(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """(token, band, x, y, chunk, ids, ns, comps, guests, bits): the chunks of crowded tiles that meet, one row each.
+
+    Two sets of different components are not both in the tile's largest one, so
+    chunks of the other rows meet each other and those of the largest component.
+    Sets in a tile are of about one size, and a chunk holds so many that their
+    arrays stay within CHUNK_BYTES.
+    """
+    tile = ["token", "band"]
+    by_part = rows.groupBy(*tile, "comp").agg(F.count("*").alias("c"), F.max("n").alias("n"))
+    main = by_part.groupBy(*tile).agg(
+        F.max(F.struct("c", "comp")).alias("main"), F.sum("c").alias("rows"),
+        F.greatest(F.lit(1), F.least(F.lit(CHUNK), F.floor(F.lit(CHUNK_BYTES) / (8 * F.max("n"))))).alias("each"),
+    ).select(
+        *tile, F.col("main.comp").alias("main"), F.ceil(F.col("main.c") / F.col("each")).alias("of_main"),
+        F.ceil((F.col("rows") - F.col("main.c")) / F.col("each")).alias("of_rest"),
+    )
+    dice = F.xxhash64("id")
+    chunk = F.when(F.col("comp") == F.col("main"), F.col("of_rest") + F.pmod(dice, "of_main")).otherwise(F.pmod(dice, "of_rest")).cast("int")
+    packed = materialise(rows.join(main, tile).withColumn("chunk", chunk).join(sets.select("id", "bits"), "id").groupBy(
+        *tile, "of_rest", "of_main", "chunk"
+    ).agg(
+        F.collect_list("id").alias("ids"), F.collect_list("n").alias("ns"), F.collect_list("comp").alias("comps"),
+        F.collect_list("guest").alias("guests"), F.flatten(F.collect_list("bits")).alias("bits"),
+    ), "chunks")
+    last = F.when(F.col("chunk") < F.col("of_rest"), F.col("of_rest") + F.col("of_main")).otherwise(F.col("of_rest")) - 1
+    return packed.withColumn("other", F.explode(F.sequence(F.lit(0), last.cast("int")))).select(
+        *tile, F.least("chunk", "other").alias("x"), F.greatest("chunk", "other").alias("y"), "chunk", "ids", "ns", "comps", "guests", "bits"
+    )
+
+
+def _bounded(i: int, n: np.ndarray, guest: np.ndarray, bits: np.ndarray, at: np.ndarray, spec: Spec) -> np.ndarray:
+    """Those of the rows ``at`` whose size and bitmap allow a link with row i."""
+    at = at[~(guest[at] & guest[i]) & (spec.num * np.maximum(n[at], n[i]) <= spec.den * np.minimum(n[at], n[i]))]
+    most = (n[at] + n[i] - np.bitwise_count(bits[at] ^ bits[i]).sum(1, dtype=np.int64)) // 2
+    return at[spec.den * most >= spec.num * (n[at] + n[i] - most)]
+
+
 def _crowd_links(rows: DataFrame, sets: DataFrame, arrays: DataFrame, spec: Spec) -> DataFrame:
-    """Links from crowded tiles: rows outside the largest component against every chunk.
+    """Links from crowded tiles, chunk against chunk: bitmaps first, then the sets that bitmaps leave.
 
-    A row needs one link to each other component at most, so it is compared until
-    it has one; components that a chunk has joined count as one from then on.
+    A group never holds more than two chunks. A row needs one link to each other
+    component at most, so it is compared until it has one; components that a pair of
+    chunks has joined count as one from then on.
     """
-    by_part = rows.groupBy("token", "band", "comp").agg(F.count("*").alias("c"))
-    main = by_part.groupBy("token", "band").agg(F.max(F.struct("c", "comp"))["comp"].alias("main"), F.sum("c").alias("rows"))
-    cut = rows.join(main, ["token", "band"]).withColumn("chunks", F.ceil(F.col("rows") / CHUNK).cast("int"))
-    each = cut.withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks").cast("int")).withColumn("probe", F.lit(False))
-    probes = cut.where("comp <> main").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn("probe", F.lit(True))
-    columns = ["token", "band", "chunk", "probe", "id", "n", "comp", "guest"]
-    dealt = each.select(*columns).unionByName(probes.select(*columns)).join(sets.select("id", "bits"), "id").join(arrays, "id")
+    key = ["token", "band", "x", "y"]
+
+    def bound(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("chunk")
+        ids, n, comp, guest, bits = (np.concatenate(group[c].to_list()) for c in ("ids", "ns", "comps", "guests", "bits"))
+        n, guest, bits = n.astype(np.int64), guest.astype(bool), bits.view(np.uint64).reshape(-1, BITMAP_WORDS)
+        first = len(group["ids"].iat[0])
+        needed = np.zeros(len(ids), bool)
+        for i in range(first):
+            at = np.arange(first if len(group) > 1 else i + 1, len(ids))
+            at = _bounded(i, n, guest, bits, at[comp[at] != comp[i]], spec)
+            needed[at] = True
+            needed[i] |= len(at) > 0
+        at = np.flatnonzero(needed)
+        out = {c: np.repeat(group[c].iat[0], len(at)) for c in key}
+        return pd.DataFrame(out | {
+            "id": ids[at], "n": n[at], "comp": comp[at], "guest": guest[at], "first": at < first,
+            "bits": pd.Series([row.view(np.int64) for row in bits[at]], dtype=object),
+        })
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        probe = group[group["probe"]]
-        rest = group[~group["probe"]]
-        n, comp, ids, guest, held = (rest[c].to_numpy() for c in ("n", "comp", "id", "guest", "set"))
-        comp = comp.copy()
-        bits = np.stack(rest["bits"].to_list()).view(np.uint64) if len(rest) else np.empty((0, BITMAP_WORDS), np.uint64)
-        joined: dict[int, int] = {}
+        group = group.sort_values(["first", "id"], ascending=[False, True])
+        ids, n, comp, guest, held = (group[c].to_numpy() for c in ("id", "n", "comp", "guest", "set"))
+        comp, bits = comp.copy(), np.stack(group["bits"].to_list()).view(np.uint64)
+        first = int(group["first"].sum())
         found: list[tuple[int, int]] = []
-        for i, m, c, g, b, raw in zip(*(probe[k] for k in ("id", "n", "comp", "guest", "bits", "set"))):
-            while c in joined:
-                c = joined[c]
-            use = (comp != c) & ~(guest & g) & (spec.num * np.maximum(n, m) <= spec.den * np.minimum(n, m))
-            at = np.flatnonzero(use)
-            differ = np.bitwise_count(bits[at] ^ np.asarray(b).view(np.uint64)).sum(1, dtype=np.int64)
-            most = (n[at] + m - differ) // 2
-            own = np.frombuffer(raw, np.uint64)
-            for j in at[spec.den * most >= spec.num * (n[at] + m - most)]:
-                if comp[j] != c and _linked(own, np.frombuffer(held[j], np.uint64), spec):
-                    found.append((min(i, ids[j]), max(i, ids[j])))
-                    joined[comp[j]] = c
-                    comp[comp == comp[j]] = c
+        for i in range(first):
+            at = np.arange(first if group["x"].iat[0] < group["y"].iat[0] else i + 1, len(ids))
+            at = _bounded(i, n, guest, bits, at[comp[at] != comp[i]], spec)
+            own = np.frombuffer(held[i], np.uint64)
+            for j in at:
+                if comp[j] != comp[i] and _linked(own, np.frombuffer(held[j], np.uint64), spec):
+                    found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+                    comp[comp == comp[j]] = comp[i]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    return dealt.groupBy("token", "band", "chunk").applyInPandas(compare, "a long, b long").distinct()
+    shape = "token long, band int, x int, y int, id long, n long, comp long, guest boolean, first boolean, bits array<bigint>"
+    needed = materialise(_meetings(rows, sets).groupBy(*key).applyInPandas(bound, shape), "chunk-rows")
+    return needed.join(arrays, "id").groupBy(*key).applyInPandas(compare, "a long, b long").distinct()
 
 
 def _rest_links(rows: DataFrame, sets: DataFrame, arrays: DataFrame, spec: Spec) -> DataFrame:

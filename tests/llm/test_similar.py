@@ -71,6 +71,34 @@ def test_ngram_groups(spark, odd_docs, no_docs, sf_docs, texts, crowded, monkeyp
         assert ngram_join.components(no_docs, spec).count() == 0
 
 
+def test_groups_of_a_crowded_tile_hold_two_chunks(spark, monkeypatch):
+    """Unlinked texts that share rare shingles: no pandas group takes more than two chunks of rows."""
+    from pyspark.sql.group import GroupedData
+
+    monkeypatch.setattr(ngram_join, "CROWD", 8)
+    monkeypatch.setattr(ngram_join, "CHUNK", 16)
+    common = [f"c{k}" for k in range(90)]
+    made = [(i, " ".join(common + [f"u{i}x{k}" for k in range(12)])) for i in range(200)]
+    made += [(1000 + i, t.replace(f"u{i}x11", "other")) for i, t in made[:20]]
+    most, own = [], GroupedData.applyInPandas
+
+    def watched(self, func, schema):
+        if func.__name__ in ("bound", "compare"):
+            def sizes(group):
+                n = int(group["ids"].map(len).sum()) if "ids" in group else len(group)
+                return type(group)({"n": [n]})
+
+            most.extend(r.n for r in own(self, sizes, "n long").collect())
+        return own(self, func, schema)
+
+    monkeypatch.setattr(GroupedData, "applyInPandas", watched)
+    docs = spark.createDataFrame(made, "doc_id long, text string")
+    spec = ngram_join.Spec()
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.components(docs, spec).collect()}
+    assert got == brute_groups(made, spec)
+    assert most and max(most) <= 4 * 16  # chunks are cut by hash: twice their size at most
+
+
 def test_one_document_of_each_group_stays(odd_docs):
     kept = ngram_join.keep_representatives(odd_docs, ngram_join.Spec(5, 80, 100))
     assert kept.columns == odd_docs.columns
