@@ -1,7 +1,8 @@
 """Token ids packed into fixed rows by best-fit decreasing.
 
-Documents are dealt to shards by the hash of their id; each shard packs its own. A
-document is its byte-level BPE ids and an end mark; what is longer than a row is
+Documents are dealt to shards by the hash of their id and text, and frequent equal
+rows evenly over all shards, so no key binds its rows to one shard; each shard packs
+its own. A document is its byte-level BPE ids and an end mark; what is longer than a row is
 split into whole rows and a rest, so no id is lost. Pieces go, longest first, into
 the fullest row that still has room, which a segment tree over the free capacities
 finds. A packed row holds the id matrix row, the cumulative segment lengths, and
@@ -28,8 +29,9 @@ from .common import whole_text
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 END, PAD = 50256, 50256
 ROW_IDS = 2048
-#: Text per shard.
+#: Text per shard, a row counting as so many bytes besides its text.
 SHARD_BYTES = 1 << 24
+ROW_BYTES = 64
 REMEMBERED = 300_000
 
 
@@ -124,18 +126,41 @@ def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     return row, offset
 
 
-def tokens(docs: DataFrame, shards: int, ranks: str = RANKS) -> DataFrame:
-    """(doc_id, shard, ids): the document's ids and the end mark, as little-endian 16-bit numbers."""
+def tokens(docs: DataFrame, ranks: str = RANKS) -> DataFrame:
+    """(doc_id, key, copies, ids) for (doc_id, key, copies, text): the ids and the end mark, as little-endian 16-bit numbers."""
     def encode(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, end = tokenizer(ranks), np.array([END], np.uint16)
         for part in parts:
             ids = [np.r_[own.encode(t), end].tobytes() for t in part.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("shard"), pa.array(ids, pa.binary())], ["doc_id", "shard", "ids"])
+            kept = ["doc_id", "key", "copies"]
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(ids, pa.binary())], [*kept, "ids"])
 
-    shard = F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), shard.alias("shard"), whole_text().alias("text")).mapInArrow(
-        encode, "doc_id long, shard int, ids binary"
-    )
+    return docs.select("doc_id", "key", "copies", "text").mapInArrow(encode, "doc_id long, key long, copies long, ids binary")
+
+
+def dealt(docs: DataFrame, ranks: str = RANKS) -> DataFrame:
+    """(shard, doc_id, copies, ids): rows by the hash of id and text, frequent equal rows as copies over all shards.
+
+    Rows count as frequent from a quarter of a shard on, so their keys are few.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
+    by_key = rows.groupBy("key").agg(F.sum(F.octet_length("text") + ROW_BYTES).alias("n"))
+    frequent = F.when(F.col("n") > SHARD_BYTES // 4, F.col("key"))
+    whole = by_key.agg(F.sum("n").alias("n"), F.collect_list(frequent).alias("frequent")).first()
+    shards = max(1, -(-(whole["n"] or 0) // SHARD_BYTES))
+
+    def placed(encoded: DataFrame, turn) -> DataFrame:
+        return encoded.withColumn("shard", F.pmod(F.pmod("key", F.lit(shards)) + turn, F.lit(shards)).cast("int")).select("shard", "doc_id", "copies", "ids")
+
+    once = F.lit(1).cast("long").alias("copies")
+    if not whole["frequent"] or shards == 1:
+        return placed(tokens(rows.select("*", once), ranks), F.lit(0))
+    hot = F.broadcast(docs.sparkSession.createDataFrame([(k,) for k in whole["frequent"]], "key long"))
+    many = rows.join(hot, "key", "left_semi").groupBy("doc_id", "key", "text").agg(F.count("*").alias("copies"))
+    turns = tokens(many, ranks).withColumn("turn", F.explode(F.sequence(F.lit(0).cast("long"), F.least("copies", F.lit(shards)) - 1)))
+    share = F.floor(F.col("copies") / shards) + (F.col("turn") < F.col("copies") % shards).cast("long")
+    few = placed(tokens(rows.join(hot, "key", "left_anti").select("*", once), ranks), F.lit(0))
+    return few.unionByName(placed(turns.withColumn("copies", share), F.col("turn")))
 
 
 PACKED = "shard int, row int, ids binary, cu_seqlens array<int>, position_ids binary, doc_ids array<long>, starts array<long>"
@@ -147,17 +172,14 @@ def pack(docs: DataFrame, capacity: int = ROW_IDS, ranks: str = RANKS) -> DataFr
     ``ids`` and ``position_ids`` are rows of the matrices, ``capacity`` little-endian
     16-bit numbers padded at the end; segment k lies between entries k and k + 1 of
     ``cu_seqlens`` and holds the ids of document ``doc_ids[k]`` from ``starts[k]``
-    on. An empty or null text is one end mark. Documents without an id share one
-    shard and stay apart as segments; rows that repeat an id are packed each. Other
-    columns are not read. The same input gives the same rows.
+    on. An empty or null text is one end mark. Documents without an id stay apart as
+    segments; rows that repeat an id are packed each. Other columns are not read. The same input gives the same rows.
     """
     if capacity > 65536:
         raise ValueError("position ids are 16-bit numbers")
-    whole = docs.select(F.sum(F.octet_length(whole_text())).alias("n")).first()["n"] or 0
-    shards = max(1, -(-whole // SHARD_BYTES))
 
     def fill(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["doc_id", "ids"], na_position="last")
+        group = group.loc[group.index.repeat(group["copies"])].sort_values(["doc_id", "ids"], na_position="last")
         ids = [np.frombuffer(raw, np.uint16) for raw in group["ids"]]
         names = [None if pd.isna(i) else int(i) for i in group["doc_id"]]
         doc, start, size = split(np.fromiter(map(len, ids), np.int64, len(ids)), capacity)
@@ -175,7 +197,7 @@ def pack(docs: DataFrame, capacity: int = ROW_IDS, ranks: str = RANKS) -> DataFr
                         places.tobytes(), [names[d] for d in doc[at]], start[at].tolist()))
         return pd.DataFrame(out, columns=["shard", "row", "ids", "cu_seqlens", "position_ids", "doc_ids", "starts"])
 
-    return tokens(docs, shards, ranks).groupBy("shard").applyInPandas(fill, PACKED)
+    return dealt(docs, ranks).groupBy("shard").applyInPandas(fill, PACKED)
 
 
 def write_packed(docs: DataFrame, folder: str, capacity: int = ROW_IDS) -> None:

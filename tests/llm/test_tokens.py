@@ -88,3 +88,19 @@ def test_packing_round_trip(odd_docs, no_docs, texts):
             assert sorted(back[i][0]) == want
     assert packing.pack(no_docs).count() == 0
     assert sorted(map(str, packed)) == sorted(map(str, packing.pack(odd_docs.repartition(5), capacity).collect()))
+
+
+def test_no_key_binds_its_rows_to_one_shard(spark, monkeypatch):
+    """Null ids, one id with many texts, and one row many times: all are spread, and none is lost."""
+    monkeypatch.setattr(packing, "SHARD_BYTES", 4096)
+    rows = [(None, f"text {k}") for k in range(300)] + [(7, f"other {k}") for k in range(300)] + [(8, "the same row")] * 300 + [(None, None)] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    packed = packing.pack(docs.repartition(3), 64).collect()
+    by_id = defaultdict(lambda: defaultdict(int))
+    for r in packed:
+        for i in r.doc_ids:
+            by_id[i][r.shard] += 1
+    assert {i: sum(n.values()) for i, n in by_id.items()} == {None: 600, 7: 300, 8: 300}
+    assert len({r.shard for r in packed}) > 10
+    assert all(max(n.values()) < sum(n.values()) / 5 for n in by_id.values())
+    assert sorted(map(str, packed)) == sorted(map(str, packing.pack(docs.repartition(5), 64).collect()))
