@@ -1,8 +1,9 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries are trained, one on toxic and one on ordinary text: both
-hold the strings that are common in all text, and where the toxic one adds strings
-that mark toxic documents, the ordinary one has filler of the same length. A window
+hold the strings that are common in all text, the toxic one adds strings that mark
+toxic documents, and the ordinary one, by the same rule, those that mark ordinary
+documents; the shorter one is filled up to the same length. A window
 of text that the toxic dictionary packs into fewer bytes than the ordinary one
 speaks like toxic text. Windows are single words, since a saving of a few bytes is
 lost in longer ones; every window is followed by a string that both dictionaries
@@ -29,9 +30,9 @@ from .labelled import remainder, sample
 
 #: Labelled documents of each kind that the model is fitted on, at most.
 TRAIN_PER_CLASS = 3_000
-#: Strings in the dictionaries: those common in all text, and those that mark toxic text.
+#: Strings in the dictionaries: those common in all text, and those that mark one kind.
 COMMON, MARKS = 800, 1_200
-#: Standard deviations by which a marking string must be more usual in toxic documents.
+#: Standard deviations by which a marking string must be more usual in documents of its kind.
 SIGNIFICANT = 5.0
 LEVEL = 9
 WINDOW_BYTES = 64
@@ -39,14 +40,15 @@ WINDOW_BYTES = 64
 REMEMBERED = 300_000
 ANCHOR = bytes((37 * k) % 128 + 128 for k in range(64))
 TAIL = ANCHOR + bytes(range(1, 9))
-#: Savings, in bytes, from which a window counts.
-THRESHOLDS = (1, 2, 3, 4, 5, 6)
+#: Thresholds of a model: savings, in bytes, from which a window counts.
+THRESHOLDS = 6
 
 
 @dataclass(frozen=True)
 class Model:
     toxic: bytes
     ordinary: bytes
+    thresholds: tuple[int, ...]
     mean: tuple[float, ...]
     spread: tuple[float, ...]
     weights: tuple[float, ...]
@@ -76,16 +78,34 @@ def train_dictionaries(texts: list[str], toxic: list[int]) -> tuple[bytes, bytes
         seen[label].update(_strings(text))
 
     def lean(s: bytes) -> float:
-        a, b = seen[1][s], seen[0][s]
-        p = (a + b) / sum(docs)
-        return (a / docs[1] - b / docs[0]) / math.sqrt(max(p * (1 - p), 1e-12) * (1 / docs[1] + 1 / docs[0]))
+        return deviations(seen[1][s], seen[0][s], docs[1], docs[0])
 
-    marks = sorted((-lean(s), s) for s, n in seen[1].items() if n >= 3)
-    marks = [s for z, s in marks if -z > SIGNIFICANT][:MARKS]
-    common = [s for n, s in sorted((-n, s) for s, n in seen[0].items() if n >= 3) if lean(s) < 1.5][:COMMON]
+    def marks(label: int) -> bytes:
+        sign = 1 if label else -1
+        found = sorted((-sign * lean(s), s) for s, n in seen[label].items() if n >= 3)
+        return b"".join(reversed([s for z, s in found if -z > SIGNIFICANT][:MARKS]))
+
+    common = [s for n, s in sorted((-n, s) for s, n in seen[0].items() if n >= 3) if abs(lean(s)) < 1.5][:COMMON]
     shared = b"".join(reversed(common))
-    added = b"".join(reversed(marks))
-    return shared + added + ANCHOR, shared + bytes(len(added)) + ANCHOR
+    added = (marks(0), marks(1))
+    length = max(map(len, added))
+    ordinary, toxic_bytes = (shared + bytes(length - len(own)) + own + ANCHOR for own in added)
+    return toxic_bytes, ordinary
+
+
+def deviations(a: int, b: int, of_a: int, of_b: int) -> float:
+    """Standard deviations by which a share of a in of_a is above one of b in of_b."""
+    p = (a + b) / (of_a + of_b)
+    return (a / of_a - b / of_b) / math.sqrt(max(p * (1 - p), 1e-12) * (1 / of_a + 1 / of_b))
+
+
+def calibrate(saved: list[np.ndarray], toxic: list[int]) -> tuple[int, ...]:
+    """The savings from which having a window tells toxic sample documents best from ordinary ones, ascending."""
+    most, y = np.array([max(0, int(x.max())) if len(x) else 0 for x in saved]), np.array(toxic)
+    told = [(-deviations(int((most[y == 1] >= t).sum()), int((most[y == 0] >= t).sum()), int((y == 1).sum()), int((y == 0).sum())), t)
+            for t in range(1, max(1, int(most.max())) + 1)]
+    best = sorted(t for _, t in sorted(told)[:THRESHOLDS])
+    return tuple(best + best[-1:] * (THRESHOLDS - len(best)))
 
 
 class Savings:
@@ -118,10 +138,10 @@ class Savings:
         return np.fromiter(map(known.__getitem__, parts), np.int64, len(parts))
 
 
-def features(saved: np.ndarray) -> list[float]:
+def features(saved: np.ndarray, thresholds: tuple[int, ...]) -> list[float]:
     if not len(saved):
         saved = np.zeros(1, np.int64)
-    over = [(saved >= t).sum() for t in THRESHOLDS]
+    over = [(saved >= t).sum() for t in thresholds]
     shares = [n / len(saved) for n in over]
     return [float(saved.max()), float(saved.mean()), saved[saved > 0].sum() / len(saved), *shares,
             *(math.sqrt(s) for s in shares[3:]), *(math.log1p(n) for n in (over[1], *over[3:])), math.sqrt(len(saved)) / 10]
@@ -148,10 +168,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     texts, toxic = rows["text"].tolist(), rows["label"].tolist()
     toxic_bytes, ordinary = train_dictionaries(texts, toxic)
     savings = Savings(toxic_bytes, ordinary)
-    x = np.array([features(savings.of(t)) for t in texts])
+    saved = [savings.of(t) for t in texts]
+    thresholds = calibrate(saved, toxic)
+    x = np.array([features(s, thresholds) for s in saved])
     y = np.array(toxic, float)
     mean, spread, weights = fit_logistic(x, y)
-    return Model(toxic_bytes, ordinary, *(tuple(map(float, v)) for v in (mean, spread, weights)))
+    return Model(toxic_bytes, ordinary, thresholds, *(tuple(map(float, v)) for v in (mean, spread, weights)))
 
 
 @lru_cache(maxsize=2)
@@ -194,7 +216,7 @@ def judge(model: Model):
         savings = _savings(model.toxic, model.ordinary)
         mean, spread, weights = (np.array(v) for v in (model.mean, model.spread, model.weights))
         for part in texts:
-            x = np.array([features(savings.of(text)) for text in part]).reshape(len(part), len(mean))
+            x = np.array([features(savings.of(text), model.thresholds) for text in part]).reshape(len(part), len(mean))
             z = np.c_[(x - mean) / spread, np.ones(len(x))] @ weights
             yield pd.Series(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 

@@ -80,3 +80,19 @@ def test_passages_of_any_text():
 def test_windows_hold_all_words():
     text = "Aé " + "b" * 200 + " c"
     assert b"".join(w[1:-1] for w in toxicity.windows(text)) == text.lower().replace(" ", "").encode()
+
+
+def test_both_dictionaries_hold_strings_of_their_kind():
+    texts = [f"the common words {'vilest' if k % 2 else 'gardening'} here {k}" for k in range(200)]
+    toxic = [k % 2 for k in range(200)]
+    own, ordinary = toxicity.train_dictionaries(texts, toxic)
+    assert b" vilest " in own and b" vilest " not in ordinary
+    assert b" gardening " in ordinary and b" gardening " not in own
+    assert len(own) == len(ordinary)
+    savings = toxicity.Savings(own, ordinary)
+    assert savings.of("vilest")[0] > 0 > savings.of("gardening")[0]
+
+
+def test_thresholds_come_from_the_sample():
+    saved = [np.array([0, 9 if k % 2 else 4]) for k in range(100)]
+    assert set(toxicity.calibrate(saved, [k % 2 for k in range(100)])) >= {5, 6, 7, 8, 9}
