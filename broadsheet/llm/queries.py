@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, exact_dedup, license_scan, mil_quality, mixing, ngram_join, packing, sentencepiece_bpe, suffix_dedup, toxicity
+from . import conv_trie, embedding_dedup, exact_dedup, license_scan, mil_quality, mixing, ngram_join, packing, sentencepiece_bpe, suffix_dedup, toxicity
 from .common import documents, table
 
 QUERIES = {
@@ -16,10 +16,12 @@ QUERIES = {
     "op8_suffix_dedup": lambda spark, sf_dir: suffix_dedup.removed_passages(documents(spark, sf_dir)),
     "op9_source_mixing": lambda spark, sf_dir: mixing.mixed_sizes(documents(spark, sf_dir)),
     "op10_exact_dedup": lambda spark, sf_dir: exact_dedup.exact_dedup(documents(spark, sf_dir)),
+    "op13_conv_trie": lambda spark, sf_dir: conv_trie.prefix_trie(table(spark, sf_dir, "conversations")),
 }
 
 ORACLES = {
     "op1_license_scan": license_scan.sql(),
     "op9_source_mixing": mixing.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
+    "op13_conv_trie": conv_trie.SQL,
 }
