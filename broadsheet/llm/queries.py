@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import conv_trie, embedding_dedup, exact_dedup, license_scan, mil_quality, mixing, ngram_join, packing, sentencepiece_bpe, suffix_dedup, toxicity, word_bpe
+from . import conv_trie, embedding_dedup, exact_dedup, license_scan, mil_quality, mixing, ngram_join, packing, periodic_runs, sentencepiece_bpe, suffix_dedup, toxicity, word_bpe
 from .common import documents, table
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_suffix_dedup": lambda spark, sf_dir: suffix_dedup.removed_passages(documents(spark, sf_dir)),
     "op9_source_mixing": lambda spark, sf_dir: mixing.mixed_sizes(documents(spark, sf_dir)),
     "op10_exact_dedup": lambda spark, sf_dir: exact_dedup.exact_dedup(documents(spark, sf_dir)),
+    "op11_periodic_runs": lambda spark, sf_dir: periodic_runs.run_digests(documents(spark, sf_dir)),
     "op12_word_bpe": lambda spark, sf_dir: word_bpe.token_digests(documents(spark, sf_dir)),
     "op13_conv_trie": lambda spark, sf_dir: conv_trie.prefix_trie(table(spark, sf_dir, "conversations")),
 }
