@@ -9,10 +9,10 @@ from dataclasses import dataclass, replace
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..functions.text import word_runs
 from ..schemas import CATCH_ALL, CLASSIFICATION, CONFIDENCES, KEYWORD_RULES, TAXONOMY
+from ..session import read_if_there
 from .skew import join_skewed
 
 RESPONSE = "request_hash string, response string, attempts int, status string"
@@ -86,13 +86,6 @@ class CallProvider(ScoreProvider):
             yield pd.DataFrame(rows, columns=["request_hash", "response", "attempts", "status"])
 
 
-def _stored(spark, path: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(RESPONSE).parquet(path)
-    except AnalysisException:
-        return None
-
-
 def score(
     requests: DataFrame, provider: ScoreProvider, store_path: str, tasks: int | None = None,
     calls_per_minute: float | None = None,
@@ -112,7 +105,7 @@ def score(
     spark = requests.sparkSession
     hashed = requests.withColumn("request_hash", F.sha2(F.coalesce("prompt", F.lit("")), 256))
     wanted = hashed.groupBy("request_hash").agg(F.min("prompt").alias("prompt"))
-    done = _stored(spark, store_path)
+    done = read_if_there(spark, store_path, RESPONSE)
     if done is not None:
         wanted = wanted.join(done.where("status = 'ok'").select("request_hash").distinct(), "request_hash", "left_anti")
     if tasks:

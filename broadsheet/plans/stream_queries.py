@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.stories import extract_stories
-from ..session import new_folder
-from ..streaming import jobs
+from ..streaming import jobs, memory, sink
 from . import views as V
 from .views import sql, table
 
@@ -33,21 +32,16 @@ def mail_stream(spark, d) -> DataFrame:
     return mail.withColumn("received_at", F.col("received_at").cast("timestamp"))
 
 
-def in_batches(df: DataFrame, at: str) -> DataFrame:
-    """The rows as a stream of several batches in event order, closed at its end."""
-    path = new_folder(df.sparkSession, "in-order")
-    jobs.write_in_order(df, path, at)
-    return jobs.read_files(df.sparkSession, path, df.schema, files_per_batch=1)
+def timed(df: DataFrame, at: str = "received_at") -> DataFrame:
+    return df.withColumn(at, F.col(at).cast("timestamp"))
 
 
-def ordered_mail(spark, d) -> DataFrame:
-    mail = V.messages(spark, d).withColumn("received_at", F.col("received_at").cast("timestamp"))
-    return in_batches(mail.select("account", "message_id", "received_at", "lang"), "received_at")
+def mail(spark, d) -> DataFrame:
+    return timed(V.messages(spark, d))
 
 
 def ordered_events(spark, d) -> DataFrame:
-    events = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    return in_batches(events.select("user_id", "event_type", "ts"), "ts")
+    return timed(table(spark, d, "events").select("user_id", "event_type", "ts"), "ts")
 
 
 def zoneless(df: DataFrame, *columns: str) -> DataFrame:
@@ -68,27 +62,30 @@ def stream_ingest(spark, d):
 
 @query("stream_dedup", sql("SELECT account, message_id, received_at FROM messages", "messages"))
 def stream_dedup(spark, d):
-    """Every third message is delivered twice and comes out once."""
-    times = F.when(F.col("message_id") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    mail = mail_stream(spark, d).select("account", "message_id", "received_at", F.explode(times).alias("delivery"))
-    out = jobs.run_to_table(jobs.drop_redelivered(mail), "dedup")
-    return zoneless(out.select("account", "message_id", "received_at"), "received_at")
+    """Every third message is delivered again 40 minutes later, often in a later batch, and comes out once."""
+    again = F.when(F.col("message_id") % 3 == 0, F.array(F.lit(0), F.lit(40))).otherwise(F.array(F.lit(0)))
+    delivered = mail(spark, d).select("account", "message_id", "received_at", F.explode(again).alias("late")).select(
+        "account", "message_id", "received_at", (F.col("received_at") + F.make_dt_interval(mins=F.col("late"))).alias("delivered_at"))
+    once = jobs.replayed_table(delivered, "delivered_at", lambda s: jobs.drop_redelivered(s, at="delivered_at"), closing=None)
+    return zoneless(once.select("account", "message_id", "received_at"), "received_at")
 
 
 @query("stream_daily_counts", sql("""
 SELECT date_trunc('day', received_at)::TIMESTAMP AS window_start, date_trunc('day', received_at)::TIMESTAMP + INTERVAL 1 DAY AS window_end,
    lang, count(*) AS n FROM messages GROUP BY ALL""", "messages"))
 def stream_daily_counts(spark, d):
-    counted = jobs.window_counts(ordered_mail(spark, d), "lang", "received_at")
-    return zoneless(jobs.run_to_table(counted, "daily"), "window_start", "window_end")
+    told = mail(spark, d).select("received_at", "lang")
+    counted = jobs.replayed_table(told, "received_at", lambda s: jobs.window_counts(s, "lang", "received_at"))
+    return zoneless(counted, "window_start", "window_end")
 
 
 @query("sliding_counts", """
 SELECT window_end - INTERVAL 24 HOUR AS window_start, window_end, event_type, count(*) AS n
 FROM (SELECT event_type, date_trunc('hour', ts)::TIMESTAMP + to_hours(unnest(range(1, 25))) AS window_end FROM events) GROUP BY ALL""")
 def sliding_counts(spark, d):
-    counted = jobs.window_counts(ordered_events(spark, d), "event_type", "ts", "1 day", "1 hour")
-    return zoneless(jobs.run_to_table(counted, "sliding"), "window_start", "window_end")
+    events = ordered_events(spark, d).select("event_type", "ts")
+    counted = jobs.replayed_table(events, "ts", lambda s: jobs.window_counts(s, "event_type", "ts", "1 day", "1 hour"))
+    return zoneless(counted, "window_start", "window_end")
 
 
 @query("sender_sessions", """
@@ -98,21 +95,53 @@ WITH marked AS (SELECT user_id, ts, CASE WHEN ts >= lag(ts) OVER w + INTERVAL 30
  grouped AS (SELECT user_id, session, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS n FROM numbered GROUP BY ALL)
 SELECT user_id, session_start, session_end, n FROM grouped""")
 def sender_sessions(spark, d):
-    bursts = jobs.sessions(ordered_events(spark, d), "user_id", "ts")
-    return zoneless(jobs.run_to_table(bursts, "sessions"), "session_start", "session_end")
+    events = ordered_events(spark, d).select("user_id", "ts")
+    bursts = jobs.replayed_table(events, "ts", lambda s: jobs.sessions(s, "user_id", "ts"))
+    return zoneless(bursts, "session_start", "session_end")
 
 
-@query("story_memory", r"""
-SELECT DISTINCT sha256(trim(regexp_replace(lower(text), '\s+', ' ', 'g'))) AS fingerprint FROM documents""")
-def story_memory(spark, d):
-    fresh = jobs.first_coverage(mail_stream(spark, d).select("body", "received_at"), "body")
-    return jobs.run_to_table(fresh, "memory").select("fingerprint")
+def covered(spark, d) -> DataFrame:
+    """Every message three times, at fifty minutes per message: again after three days, and after nine quiet ones."""
+    later, minutes = F.col("later"), F.col("message_id") * 50
+    at = F.lit(V.START).cast("timestamp") + F.make_dt_interval(
+        days=later + F.floor(minutes / 1440).cast("int"), mins=(minutes % 1440).cast("int"))
+    again = F.explode(F.array(*map(F.lit, COVERED_DAYS))).alias("later")
+    return V.messages(spark, d).select("message_id", "body", again).select(
+        (F.col("message_id") * 100 + later).alias("story_id"), "body", at.alias("received_at"))
+
+
+COVERED_DAYS = (0, 3, 12)
+_COVERED_SQL = f"""
+ covered AS (SELECT doc_id * 100 + later AS story_id, text AS body, TIMESTAMP '2024-01-01' + to_days(later::INT) + to_minutes(50 * doc_id) AS received_at
+   FROM documents, (VALUES {', '.join(f'({k})' for k in COVERED_DAYS)}) again(later))"""
 
 
-@query("digest_sink", sql("SELECT CAST(received_at AS DATE) AS digest_date, count(*) AS n FROM items GROUP BY ALL", "items"))
+@query("story_memory", rf"""WITH {_COVERED_SQL},
+ printed AS (SELECT *, sha256(trim(regexp_replace(lower(body), '\s+', ' ', 'g'))) AS fingerprint FROM covered)
+SELECT fingerprint, received_at, story_id FROM printed
+QUALIFY coalesce(received_at >= lag(received_at) OVER (PARTITION BY fingerprint ORDER BY received_at, story_id) + INTERVAL 7 DAY, true)""")
+def story_memory(spark, d):
+    """Texts that come after seven quiet days or for the first time, over months of mail in several batches."""
+    told = jobs.replayed_table(
+        covered(spark, d), "received_at", lambda s: memory.first_coverage(s, "body", ("story_id",)), slices=3)
+    return zoneless(told, "received_at")
+
+
+@query("digest_sink", sql(_COVERED_SQL.replace("covered AS", "WITH covered AS", 1).lstrip() + r""",
+ printed AS (SELECT *, story_id // 100 AS doc_id, sha256(trim(regexp_replace(lower(body), '\s+', ' ', 'g'))) AS fingerprint FROM covered),
+ near AS (SELECT a, b FROM text_pairs UNION SELECT b, a FROM text_pairs UNION
+   SELECT p.doc_id, q.doc_id FROM printed p JOIN printed q USING (fingerprint)),
+ latest AS (SELECT x.story_id, max(y.received_at) AS before FROM printed x JOIN near ON a = x.doc_id JOIN printed y ON y.doc_id = b
+   WHERE (y.received_at, y.story_id) < (x.received_at, x.story_id) AND y.received_at > x.received_at - INTERVAL 7 DAY GROUP BY ALL)
+SELECT story_id, CAST(received_at AS DATE) AS digest_date, received_at FROM printed WHERE story_id NOT IN (SELECT story_id FROM latest)""".replace("\\s", "\s"), "text_pairs"))
 def digest_sink(spark, d):
-    """Stories of a message stream archived by date, batch by batch."""
-    told = extract_stories(mail_stream(spark, d)).select("title", "summary", F.to_date("received_at").alias("digest_date"))
-    path = new_folder(spark, "digest-sink")
-    jobs.archive_batches(told, f"{path}/table", f"{path}/progress").awaitTermination()
-    return spark.read.parquet(f"{path}/table").groupBy("digest_date").agg(F.count("*").alias("n"))
+    """Stories archived by date, batch by batch, unless an equal or similar text came in the seven days before."""
+    told = covered(spark, d).withColumn("digest_date", F.to_date("received_at"))
+    archive = []
+
+    def start(stream: DataFrame, folder: str) -> None:
+        sink.archive_stories(stream, f"{folder}/archive", f"{folder}/progress", text="body")
+        archive[:] = [f"{folder}/archive/stories"]
+
+    jobs.replay(told, "received_at", start, slices=3, closing=None)
+    return zoneless(spark.read.parquet(archive[0]).select("story_id", "digest_date", "received_at"), "received_at")

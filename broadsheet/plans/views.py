@@ -21,11 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+START = "2024-01-01 00:00:00"
+
+
 def received_at(doc_id: Column) -> Column:
     """Five minutes per message, from 2024-01-01, without a time zone."""
     days = F.floor(doc_id / 288).cast("int")
     minutes = ((doc_id % 288) * 5).cast("int")
-    return F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(days, F.lit(0), minutes)
+    return F.lit(START).cast("timestamp_ntz") + F.make_dt_interval(days, F.lit(0), minutes)
 
 
 def message_columns() -> list[Column]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs in this package are written for.
@@ -66,6 +67,16 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """The Parquet table at ``path``, or None if nothing was ever written there; any other failure is raised."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Spread the rows of a small scan over all cores; larger scans stay as they are.
 

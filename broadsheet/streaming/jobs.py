@@ -7,11 +7,13 @@ until a sink is started.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.text import fingerprint
 from ..session import new_folder
 
+
 def read_files(
     spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
     name_filter: str | None = None, files_per_batch: int | None = None,
@@ -30,19 +32,6 @@ def drop_redelivered(stream: DataFrame, delay: str = "2 days", at: str = "receiv
     return stream.withWatermark(at, delay).dropDuplicatesWithinWatermark(list(key))
 
 
-def first_coverage(stream: DataFrame, text: str, days: int = 7, at: str = "received_at", spread: int = 16) -> DataFrame:
-    """A story text only the first time it is seen within ``days``.
-
-    A text that floods in is thinned out in ``spread`` places before the copies
-    of one text meet, so no task sees more than a few of them per batch.
-    """
-    marked = stream.withColumn("fingerprint", fingerprint(F.col(text))).withColumn(
-        "_salt", F.pmod(F.xxhash64(at), F.lit(spread))
-    )
-    thinned = marked.withWatermark(at, f"{days} days").dropDuplicatesWithinWatermark(["fingerprint", "_salt"])
-    return thinned.dropDuplicatesWithinWatermark(["fingerprint"]).drop("_salt")
-
-
 def window_counts(
     stream: DataFrame, by: str, at: str, size: str = "1 day", slide: str | None = None, delay: str = "1 hour"
 ) -> DataFrame:
@@ -62,39 +51,71 @@ def sessions(stream: DataFrame, by: str, at: str, gap: str = "30 minutes", delay
     )
 
 
-def write_in_order(df: DataFrame, path: str, at: str, slices: int = 5, closing: str = "4 days") -> None:
-    """Files under ``path`` that a stream reads one by one in the order of ``at``.
-
-    A last file holds one row, with ``at`` after everything else and all else null.
-    It moves the watermark past every window, so that windows still open when the
-    input ends come out too; its own windows stay open and never do.
+def sliced(df: DataFrame, at: str, slices: int) -> tuple[DataFrame, list[int]]:
+    """(rows written once with their slice number ``_slice``, the numbers in order): equal parts by ``at``, null times first."""
+    micros = F.unix_micros(F.col(at).cast("timestamp"))
+    shares = [k / slices for k in range(1, slices)]
+    cuts = (df.agg(F.percentile_approx(micros, shares, 10_000)).first()[0] or []) if shares else []
+    number = F.lit(0)
+    for cut in sorted(set(cuts)):
+        number = number + F.coalesce(micros > cut, F.lit(False)).cast("int")
+    folder = new_folder(df.sparkSession, "slices")
+    df.withColumn("_slice", number).write.partitionBy("_slice").parquet(folder)
+    return df.sparkSession.read.parquet(folder), list(range(len(set(cuts)) + 1))
+
+
+def replay(
+    df: DataFrame, at: str, start: Callable[[DataFrame, str], None], slices: int = 2, closing: str | None = "4 days",
+) -> None:
+    """Feed a table to a streaming job in the order of ``at``, a slice per run, all runs on the job's one checkpoint.
+
+    ``start(stream, folder)`` runs the job over what is available; it keeps its table and progress under
+    ``folder``. Every slice is written and read by as many tasks as it needs, and its order does not hang on file
+    times: the next slice is put into the inbox when the run before has ended. Rows without ``at`` come with the
+    first slice. With ``closing`` the last slice also has a row with ``at`` that much after everything else and all
+    else null. It moves the watermark past every window, so that windows still open when the input ends come out
+    too; its own windows stay open and never do.
     """
     spark = df.sparkSession
-    cuts = df.agg(F.percentile_approx(F.unix_micros(at), [k / slices for k in range(1, slices)], 10_000)).first()[0] or []
-    micros = F.unix_micros(at)
-    bounds = [None, *sorted(set(cuts)), None]
-    for low, high in zip(bounds, bounds[1:]):
-        inside = F.lit(True)
-        if low is not None:
-            inside = inside & (micros > low)
-        if high is not None:
-            inside = inside & (micros <= high)
-        df.where(inside).coalesce(1).write.mode("append").parquet(path)
-    end = df.agg(F.max(at).alias(at)).select((F.col(at) + F.expr(f"INTERVAL {closing}")).alias(at))
-    rest = [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema if f.name != at]
-    end.select(at, *rest).select(*df.columns).coalesce(1).write.mode("append").parquet(path)
+    whole, numbers = sliced(df, at, slices)
+    folder = new_folder(spark, "replay")
+    for number in numbers:
+        part = whole.where(F.col("_slice") == number).select(*df.columns)
+        if closing and number == numbers[-1]:
+            end = df.agg(F.max(at).alias(at)).select((F.col(at) + F.expr(f"INTERVAL {closing}")).alias(at))
+            rest = [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema if f.name != at]
+            part = part.unionByName(end.select(at, *rest))
+        part.write.parquet(f"{folder}/inbox/{number}")
+        start(read_files(spark, f"{folder}/inbox/*", df.schema), folder)
+
+
+def replayed_table(df: DataFrame, at: str, transform: Callable[[DataFrame], DataFrame], slices: int = 2, closing: str | None = "4 days") -> DataFrame:
+    """What a stateful transformation of the stream has put into its table after :func:`replay`."""
+    written = []
+
+    def start(stream: DataFrame, folder: str) -> None:
+        out = transform(stream)
+        append_to_table(out, folder)
+        written[:] = [out.schema, f"{folder}/table"]
+
+    replay(df, at, start, slices, closing)
+    return df.sparkSession.read.schema(written[0]).parquet(written[1])
+
+
+def append_to_table(stream: DataFrame, folder: str) -> None:
+    """Process what is available into ``folder/table``, with the progress beside it."""
+    (
+        stream.writeStream.format("parquet").outputMode("append")
+        .option("path", f"{folder}/table").option("checkpointLocation", f"{folder}/progress")
+        .trigger(availableNow=True).start().awaitTermination()
+    )
 
 
 def run_to_table(stream: DataFrame, label: str) -> DataFrame:
     """Process what is available into a new table in the shared folder and read it."""
     spark = stream.sparkSession
     path = new_folder(spark, label)
-    running = (
-        stream.writeStream.format("parquet").outputMode("append")
-        .option("path", f"{path}/table").option("checkpointLocation", f"{path}/progress")
-        .trigger(availableNow=True).start()
-    )
-    running.awaitTermination()
+    append_to_table(stream, path)
     return spark.read.schema(stream.schema).parquet(f"{path}/table")
 
 
