@@ -61,21 +61,27 @@ def id_lists(rows: list[bytes]) -> pa.ListArray:
 
 
 class WordTable(dict):
-    """Ids of words met before, as bytes; bounded by its size in bytes, after which it starts anew.
+    """Ids of words met before, as bytes; bounded by its size in bytes.
 
-    Long words are encoded whenever they come and not kept.
+    When half the size is full, the words so far become the older half, and what was in that
+    half and not asked for since is forgotten. Frequent words so stay, whatever number
+    of rare ones comes between. Long words are encoded whenever they come and not kept.
     """
 
-    def __init__(self, encode: Callable[[str], Iterable[int]], size: int = 48 << 20, longest: int = 1000) -> None:
+    def __init__(self, encode: Callable[[str], Iterable[int]], size: int = 96 << 20, longest: int = 1000) -> None:
         super().__init__()
         self.encode, self.size, self.longest, self.held = encode, size, longest, 0
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = array("i", self.encode(word)).tobytes()
+        ids = self.older.get(word)
+        if ids is None:
+            ids = array("i", self.encode(word)).tobytes()
         if len(word) <= self.longest:
             # An entry is a string, a bytes object and their place in the table.
             cost = 200 + 4 * len(word) + len(ids)
-            if self.held + cost > self.size:
+            if self.held + cost > self.size // 2:
+                self.older = dict(self)
                 self.clear()
                 self.held = 0
             self[word] = ids

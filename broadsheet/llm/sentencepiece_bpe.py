@@ -9,7 +9,7 @@ tried twice. The matches of all places come from one Aho-Corasick pass, and the
 answers of the compatibility check are kept.
 
 Texts are cut into words where no piece of the vocabulary can reach across, so
-the cut changes nothing; a bounded table keeps the words met before.
+the cut changes nothing; a table bounded in bytes keeps the words met before.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import ahocorasick
 import pyarrow as pa
@@ -25,13 +24,14 @@ import public_tokenizers
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
-from .common import whole_text
+from .common import WordTable, by_bytes, id_lists, whole_text
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁"
-#: Words, and pairs of tokens, that a Python worker remembers; a full table starts anew.
+#: Pairs of tokens that a Python worker remembers; a full table starts anew.
 REMEMBERED = 300_000
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n+")
+_BYTES = re.compile("[\udc80-\udcff]")
 
 
 class Encoder:
@@ -51,7 +51,10 @@ class Encoder:
             self.matches.add_word(piece, (len(piece), i))
         self.matches.make_automaton()
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.words: dict[str, list[int]] = {}
+        self.words = WordTable(self.word)
+        # Bytes beyond ASCII stand as lone surrogates until their characters are whole.
+        raw = {i: bytes([b]).decode("utf-8", "surrogateescape") for b, i in self.bytes.items()}
+        self.shown = {i: piece.replace(SPACE, " ") for i, piece in self.pieces.items()} | raw
         self.ends: dict[str, tuple] = {}
 
     def compatible(self, left: int, right: int) -> bool:
@@ -163,29 +166,20 @@ class Encoder:
             if len(part) == 1 and part not in self.ids:
                 out += [self.bytes[b] for b in part.encode()]
             else:
-                known = self.words.get(part)
-                out += self.backtrack(part) if known is None else known
+                out += self.backtrack(part)
         return out
 
+    def packed(self, text: str) -> bytes:
+        """All ids of a text, as little-endian 32-bit numbers."""
+        return b"".join(map(self.words.__getitem__, _CHUNK.findall(SPACE + text.replace(" ", SPACE)))) if text else b""
+
     def encode(self, text: str) -> list[int]:
-        if not text:
-            return []
-        words = self.words
-        chunks = _CHUNK.findall(SPACE + text.replace(" ", SPACE))
-        for chunk in chunks:
-            if chunk not in words:
-                if len(words) >= REMEMBERED:
-                    return list(chain.from_iterable(self.keep(c) for c in chunks))
-                words[chunk] = self.word(chunk)
-        return list(chain.from_iterable(map(words.__getitem__, chunks)))
-
-    def keep(self, chunk: str) -> list[int]:
-        known = self.words.get(chunk)
-        if known is None:
-            if len(self.words) >= REMEMBERED:
-                self.words.clear()
-            known = self.words[chunk] = self.word(chunk)
-        return known
+        return memoryview(self.packed(text)).cast("i").tolist()
+
+    def unpacked(self, ids: bytes) -> str:
+        """The text of ids that :meth:`packed` gave: the pieces without the first space, bytes joined to characters."""
+        text = "".join(map(self.shown.__getitem__, memoryview(ids).cast("i")))[1:]
+        return text if text.isascii() or not _BYTES.search(text) else text.encode("utf-8", "surrogateescape").decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=2)
@@ -201,12 +195,10 @@ def encode_decode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(model)
-        for part in parts:
-            ids = [own.encode(text) for text in part.column("text").to_pylist()]
+        for part in by_bytes(parts):
+            ids = [own.packed(text) for text in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), pa.array(own.library.decode(ids) if ids else [], pa.string())],
-                ["doc_id", "ids", "decoded"],
-            )
+                [part.column("doc_id"), id_lists(ids), pa.array(map(own.unpacked, ids), pa.string())], ["doc_id", "ids", "decoded"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).mapInArrow(
         batches, "doc_id long, ids array<int>, decoded string"
