@@ -6,6 +6,7 @@ from pyspark.sql import Column, functions as F
 
 from ..schemas import DEFAULT_TITLE
 
+# The classifier's input bound and its mark.
 TRUNCATE_LIMIT = 8000
 TRUNCATE_MARK = "\n\n[TRUNCATED]"
 
@@ -54,6 +55,7 @@ def html_to_text(html: Column, drop_script_style: bool = False) -> Column:
     """Block-level tags open a line, other tags vanish, blank runs shrink to one."""
     if drop_script_style:
         html = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>", "")
+    # The three patterns, applied in this order.
     lines = F.regexp_replace(html, r"(?iU)<\s*(br|p|div|li|tr|td)\b[^>]*>", "\n")
     bare = F.regexp_replace(lines, r"<[^>]+>", "")
     return F.coalesce(strip(F.regexp_replace(bare, r"\n\n+", "\n\n")), F.lit(""))

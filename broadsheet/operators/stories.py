@@ -167,44 +167,33 @@ def keyword_category(
     return by_keyword if known is None else F.when(in_taxonomy(known), known).otherwise(by_keyword)
 
 
-BASE_PROMPT = (
-    "Split the mail below into its separate news stories.",
-    "Give each story a factual title, a full summary, three to five key points and every link it mentions.",
-    "Return an empty list if the mail reports nothing, and skip footers, adverts and legal notices.",
-    "Answer with one JSON object holding a list called 'items'.",
+#: Fields of a story that a model is asked for, with what each holds.
+STORY_FIELDS = (
+    ("title", "text"), ("summary", "text"), ("main_topic", "text"), ("source_urls", "list of text"), ("key_points", "list of text"),
 )
-
-# category, what to look for, what to record
-PROMPT_FOCUS = (
-    ("AI", "Model launches, research results and strategy around machine learning.",
-     "Names of models, measured results, people and companies."),
-    ("Economy", "Macro figures and central bank decisions.",
-     "Figures with unit, period and publishing body."),
-    ("Stocks", "Earnings, ratings and deals that move prices.",
-     "Companies with ticker, amounts and analysts."),
-    ("Private Equity", "Deals, funds and changes of key people.",
-     "Buyers, sellers, funds and amounts."),
-    ("Politics", "Laws, rules and decisions of government.",
-     "Bills, agencies and office holders."),
-    ("Technology", "Products, platforms and partnerships.",
-     "Products, versions, features and dates."),
+BASE_PROMPT = (
+    "Below is one mail. List the stories it tells.",
+    "Reply in JSON: an object with the list 'items', empty if there are none; every entry has "
+    + ", ".join(f"{name} ({kind})" for name, kind in STORY_FIELDS) + ".",
 )
+#: Category, words that mark it; a caller's own table may hold any other wording.
+PROMPT_FOCUS = tuple((category, ", ".join(keywords)) for category, keywords in KEYWORD_RULES)
 
 
 def prompt_rules(spark: SparkSession) -> DataFrame:
-    """Six fixed rows; Spark knows the size of the local table and broadcasts it."""
-    return spark.createDataFrame(list(PROMPT_FOCUS), "category string, focus string, extract string")
+    """One row per keyword rule; Spark knows the size of the local table and broadcasts it."""
+    return spark.createDataFrame(list(PROMPT_FOCUS), "category string, focus string")
 
 
 def route_prompt(messages: DataFrame, rules: DataFrame) -> DataFrame:
-    """Instruction text per message: base, category header, focus where defined.
+    """Instruction text per message: base, the mail's category, and the focus that ``rules`` (category, focus) has for it.
 
     A null ``is_classified`` flag or false means base instructions only.
     """
     base = "\n".join(BASE_PROMPT)
     topic = F.coalesce("primary_category", F.lit(CATCH_ALL))
-    head = F.concat(F.lit("\n\n## Focus on "), topic)
-    focus = F.concat(F.lit("\nFocus: "), F.col("focus"), F.lit("\nExtract: "), F.col("extract"))
+    head = F.concat(F.lit("\nThe mail was filed under "), topic, F.lit("."))
+    focus = F.concat(F.lit("\nMarks of that category: "), F.col("focus"))
     routed = messages.withColumn("_topic", topic).join(
         rules.withColumnRenamed("category", "_topic"), "_topic", "left"
     )

@@ -16,7 +16,7 @@ from ..session import materialise, new_folder
 from ..sources import archive
 from . import views as V
 from .story_queries import TAXONOMY_SQL, keyword_sql, merged_stories
-from .text_queries import _ESCAPED, S as TEXT_SQL
+from .text_queries import _ESCAPED, S as TEXT_SQL, nasty_pages
 from .views import sql, table
 
 Q: dict = {}
@@ -179,7 +179,7 @@ SELECT k.page_id, 'Tuesday, January 30, 2024 page ' || k.page_id AS title, kept
        'Tuesday, January 30, 2024 08:00:00' AS generated_at, 'light' AS theme
 FROM ({TEXT_SQL['tag_policy_strip']}) k""")
 def digest_heads(spark, d):
-    proposed = table(spark, d, "pages").select(
+    proposed = nasty_pages(spark, d).select(
         "page_id", F.concat(F.lit("[Date] page "), F.col("page_id").cast("string")).alias("newsletter_title"),
         F.col("html").alias("executive_summary"))
     heads = D.digest_heads(proposed, CLOCK, key="page_id")

@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import SimilarityConfig
-from ..operators import scoring, stories
+from ..operators import answers, scoring, stories
 from ..operators.components import clusters
 from ..operators.grouping import (
     consolidate as consolidate_groups,
@@ -28,7 +28,7 @@ from .views import sql, table
 Q: dict = {}
 S: dict[str, str] = {}
 
-TAXONOMY_SQL = "('AI','Economy','Stocks','Private Equity','Politics','Technology','Other')"
+TAXONOMY_SQL = V.TAXONOMY_SQL
 
 
 def query(name: str, oracle: str | None = None):
@@ -86,6 +86,84 @@ def validate_scores(spark, d):
     )
 
 
+def broken_answers(spark, d, each, name: str, around: str, breaks: dict[int, tuple[str, str]]) -> DataFrame:
+    """One JSON answer per document: a list called ``name`` with an entry for every line, within ``around``.
+
+    ``breaks`` replaces a part of the text, wherever it stands, in the documents of that remainder modulo 9. Remainders 6, 7 and 8
+    give a list that is none, a text cut short and a list around the whole; a remainder not named stays good.
+    """
+    entries = F.to_json(F.transform(F.split("text", "\n"), lambda line, i: each(line, i)))
+    good = F.concat(F.lit("{" + around), F.lit(f'"{name}":'), entries, F.lit("}"))
+    rest = F.col("doc_id") % 9
+    answer = F.when(rest == 6, F.lit("{" + around + f'"{name}":{{}}}}')).when(rest == 7, F.expr("left(good, length(good) - 1)")).when(
+        rest == 8, F.concat(F.lit("["), F.col("good"), F.lit("]")))
+    for k, (part, other) in breaks.items():
+        answer = answer.when(rest == k, F.replace("good", F.lit(part), F.lit(other)))
+    docs = spread(table(spark, d, "documents")).withColumn("good", good)
+    return docs.select("doc_id", answer.otherwise(F.col("good")).alias("response"))
+
+
+def _broken_sql(name: str, each: dict[int, list[tuple[str, str]]], whole: dict[int, list[tuple[str, str]]]) -> str:
+    """What :func:`broken_answers` departs in: per line (``[n]`` its number) or once per document."""
+    per_line = " ".join(f"WHEN {k} THEN [{', '.join(f'{{{chr(39)}path{chr(39)}: {p!r}, {chr(39)}rule{chr(39)}: {r!r}}}' for p, r in rows)}]" for k, rows in each.items())
+    once = {6: [(f"$.{name}", "not a list")], 7: [("$", "not json")], 8: [("$", "not an object")], **whole}
+    per_doc = " UNION ALL ".join(
+        f"SELECT doc_id, '{p}' AS path, '{r}' AS rule FROM documents WHERE doc_id % 9 = {k}" for k, rows in once.items() for p, r in rows)
+    return f"""
+SELECT doc_id, replace(found.path, '[n]', '[' || n || ']') AS path, found.rule AS rule FROM (
+  SELECT doc_id, n, unnest(CASE doc_id % 9 {per_line} ELSE [] END) AS found
+  FROM (SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS n FROM documents))
+UNION ALL {per_doc}"""
+
+
+@query("validate_items", _broken_sql("items", {
+    1: [("$.items[n].title", "missing")], 2: [("$.items[n].source_urls", "not a list")], 3: [("$.items[n].key_points[1]", "not a string")],
+    4: [("$.items[n].main_topic", "not a string"), ("$.items[n].key_points", "missing")]}, {}))
+def validate_items(spark, d):
+    """Extraction answers that are broken in each way, and what is wrong with them."""
+    def item(line, i):
+        one = lambda text: F.array(F.lit(text))
+        return F.struct(line.alias("title"), line.alias("summary"), F.lit("t").alias("main_topic"), one("u").alias("source_urls"), one("k").alias("key_points"))
+
+    told = broken_answers(spark, d, item, "items", "", {
+        1: ('"title":', '"headline":'), 2: ('"source_urls":["u"]', '"source_urls":"u"'), 3: ('"key_points":["k"]', '"key_points":["k",7]'),
+        4: ('"main_topic":"t","source_urls":["u"],"key_points":["k"]', '"main_topic":null,"source_urls":["u"]')})
+    return answers.violations(told, answers.ITEMS, ["doc_id"])
+
+
+@query("validate_groups", _broken_sql("groups", {
+    1: [("$.groups[n].type", "not in list")], 2: [("$.groups[n].item_ids[1]", "not an integer"), ("$.groups[n].item_ids[2]", "not an integer")],
+    3: [("$.groups[n].group_title", "missing"), ("$.groups[n].group_summary", "not a string")], 4: [("$.groups[n].item_ids", "not a list")]}, {}))
+def validate_groups(spark, d):
+    """Grouping answers; ids may be written as text or with a zero behind the point, but not otherwise."""
+    def group(line, i):
+        return F.struct(F.lit("similar").alias("type"), F.array(F.lit(0), F.lit(1)).alias("item_ids"), F.lit("t").alias("group_title"), line.alias("group_summary"))
+
+    told = broken_answers(spark, d, group, "groups", "", {
+        0: ('"item_ids":[0,1]', '"item_ids":["0",1.0]'), 1: ('"type":"similar"', '"type":"same"'), 2: ('"item_ids":[0,1]', '"item_ids":[0,1.5,"one"]'),
+        3: ('"group_title":"t","group_summary":', '"group_summary":0,"more":'), 4: ('"item_ids":[0,1]', '"item_ids":0')})
+    return answers.violations(told, answers.GROUPS, ["doc_id"])
+
+
+@query("validate_layout", _broken_sql("categories", {
+    1: [("$.categories[n].subcategories[1].intro_text", "not a string")], 2: [("$.categories[n].subcategories", "not a list")],
+    3: [("$.categories[n].subcategories[0]", "not an object")], 4: [("$.categories[n].subcategories[0].item_ids[1]", "not an integer")]},
+    {5: [("$.executive_summary", "missing")]}))
+def validate_layout(spark, d):
+    """Layout answers, three lists deep."""
+    def section(line, i):
+        sub = lambda name: F.struct(F.lit(name).alias("subcategory_name"), F.array(i, i + 1).alias("item_ids"), F.lit("in " + name).alias("intro_text"))
+        return F.struct(line.alias("category_name"), F.array(sub("a"), sub("b")).alias("subcategories"))
+
+    spoil = '"subcategories":[{"subcategory_name":"a","item_ids":['
+    told = broken_answers(spark, d, section, "categories", '"newsletter_title":"n","executive_summary":"e",', {
+        1: ('"intro_text":"in b"', '"intro_text":5'), 2: ('"subcategories":[', '"subcategories":null,"others":['), 3: (spoil, '"subcategories":["a",{"subcategory_name":"a","item_ids":['),
+        4: (spoil, spoil + 'null,null,"'), 5: ('"executive_summary":"e",', "")})
+    told = told.withColumn("response", F.when(F.col("doc_id") % 9 == 4, F.regexp_replace(
+        "response", r'null,null,"[0-9]+,[0-9]+', "0,null")).otherwise(F.col("response")))
+    return answers.violations(told, answers.LAYOUTS, ["doc_id"])
+
+
 def length_answer(prompt: str) -> str:
     """Offline stand-in for a model: judges a mail by its first letter and length."""
     return f'{{"first": "{prompt[:1] if prompt[:1].isalnum() else "-"}", "chars": {len(prompt)}}}'
@@ -179,13 +257,11 @@ def extract_stories(spark, d):
 
 
 def _focus_sql() -> str:
-    cases = " ".join(
-        f"WHEN '{c}' THEN chr(10) || 'Focus: {f}' || chr(10) || 'Extract: {e}'" for c, f, e in stories.PROMPT_FOCUS
-    )
+    cases = " ".join(f"WHEN '{c}' THEN chr(10) || 'Marks of that category: {f}'" for c, f in stories.PROMPT_FOCUS)
     base = " || chr(10) || ".join("'" + line.replace("'", "''") + "'" for line in stories.BASE_PROMPT)
     return f"""
-SELECT message_id, {base} || CASE WHEN reason = 'Error in analysis' THEN '' ELSE chr(10) || chr(10) || '## Focus on ' ||
-  coalesce(primary_category, 'Other') || CASE primary_category {cases} ELSE '' END END AS instructions FROM classified"""
+SELECT message_id, {base} || CASE WHEN reason = 'Error in analysis' THEN '' ELSE chr(10) || 'The mail was filed under ' ||
+  coalesce(primary_category, 'Other') || '.' || CASE primary_category {cases} ELSE '' END END AS instructions FROM classified"""
 
 
 @query("route_prompt", sql(_focus_sql(), "classified"))

@@ -211,6 +211,12 @@ _NASTY_SQL = "CASE page_id % 4 " + " ".join(
     f"WHEN {k} THEN '{text.replace(chr(39), chr(39) * 2)}'" for k, text in enumerate(_NASTY)) + " END"
 
 
+def nasty_pages(spark, d) -> DataFrame:
+    """Pages with added markup that a filter must not let through."""
+    nasty = F.element_at(F.array(*map(F.lit, _NASTY)), (F.col("page_id") % 4 + 1).cast("int"))
+    return table(spark, d, "pages").select("page_id", F.concat("html", nasty).alias("html"))
+
+
 def _escape_text_sql(c: str) -> str:
     return f"regexp_replace(replace(replace(replace({c}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '&amp;(#?[A-Za-z0-9]+;)', '&\\1', 'g')"
 
@@ -230,9 +236,7 @@ SELECT page_id, array_to_string(list_transform(regexp_extract_all(html || {_NAST
            ELSE '' END || '>'
        ELSE '' END), '') AS kept FROM pages""")
 def tag_policy_strip(spark, d):
-    """Pages with added markup that a filter must not let through."""
-    nasty = F.element_at(F.array(*map(F.lit, _NASTY)), (F.col("page_id") % 4 + 1).cast("int"))
-    return table(spark, d, "pages").select("page_id", T.apply_tag_policy(F.concat("html", nasty)).alias("kept"))
+    return nasty_pages(spark, d).select("page_id", T.apply_tag_policy(F.col("html")).alias("kept"))
 
 
 @query("clean_url", r"""

@@ -11,8 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..operators.digest import index_items
 from ..operators.scoring import news_only
 from ..operators.stories import extract_stories, place
+from ..schemas import TAXONOMY
 from ..session import spread
 
+TAXONOMY_SQL = "(" + ", ".join(f"'{c}'" for c in TAXONOMY) + ")"
+
 # Item ids pack (message, line); a text is shorter than this, so ids never collide.
 LINES_PER_MESSAGE = 1 << 31
 
@@ -156,14 +159,14 @@ SQL = {
               FROM (SELECT *, list_filter(string_split(body, chr(10)), lambda x: regexp_matches(x, '[^\s\x0b]') AND NOT regexp_matches(x,
                         '(?i)unsubscribe|privacy policy|view in (your )?browser|all rights reserved')) AS lines
                     FROM classified))"""),
-    "placed": (("items",), """
+    "placed": (("items",), f"""
         SELECT * FROM (
-          SELECT items.*, unnest(CASE WHEN email_primary_category IN ('AI','Economy','Stocks','Private Equity','Politics','Technology','Other')
-            THEN list_concat([{'category': email_primary_category, 'is_secondary_category': false}],
+          SELECT items.*, unnest(CASE WHEN email_primary_category IN {TAXONOMY_SQL}
+            THEN list_concat([{{'category': email_primary_category, 'is_secondary_category': false}}],
                  list_transform(list_filter(email_secondary_categories, lambda c: c <> email_primary_category AND
-                     c IN ('AI','Economy','Stocks','Private Equity','Politics','Technology','Other')),
-                     lambda c: {'category': c, 'is_secondary_category': true}))
-            ELSE [{'category': 'Other', 'is_secondary_category': false}] END, recursive := true)
+                     c IN {TAXONOMY_SQL}),
+                     lambda c: {{'category': c, 'is_secondary_category': true}}))
+            ELSE [{{'category': 'Other', 'is_secondary_category': false}}] END, recursive := true)
           FROM items)"""),
     # Story pairs at or above 0.8 similarity or with equal normalised text.
     "texts": ((), """SELECT 'all' AS scope, doc_id AS id, text FROM documents"""),

@@ -52,6 +52,7 @@ MESSAGE_EXPORT = T.StructType([
     ]))),
 ])
 
+# The field names below are the answer and file formats.
 CLASSIFICATION = T.StructType([
     T.StructField("is_news", T.BooleanType()),
     T.StructField("confidence", T.StringType()),
