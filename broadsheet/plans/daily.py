@@ -60,6 +60,7 @@ def run(
     classify: Callable[[DataFrame], DataFrame] = classify_rules,
     extract: Callable[[DataFrame], DataFrame] = extract_stories,
     layout: Callable[[DataFrame], DataFrame] | None = None,
+    group: Callable[[DataFrame], DataFrame] | None = None,
     excluded: Iterable[str] = (),
     days: int = 1,
 ) -> Run:
@@ -67,7 +68,8 @@ def run(
 
     ``messages``: account, message_id, received_at, subject, sender, date, body.
     The judgement steps are arguments: ``classify`` adds the classification
-    columns, ``extract`` returns items with their provenance, ``layout`` maps the
+    columns, ``extract`` returns items with their provenance, ``group`` proposes groups of the placed
+    items (without it similar ones are searched), ``layout`` maps the
     numbered stories to nested layouts (``LAYOUT`` plus ``digest_date``); without
     it, or if it returns none, sections follow the keyword rules. Each is written out before it is used,
     so a provider that costs money is asked once.
@@ -78,7 +80,7 @@ def run(
     news = news_only(judged)
     items = materialise(extract(news).withColumn("digest_date", day), "items")
     items = D.index_items(items, ["received_at", "source_account", "original_email_id", "item_pos"], name="item_id")
-    told, merged = deduplicate(place(items), similarity)
+    told, merged = deduplicate(place(items), similarity, group)
     told = told.withColumn("digest_date", day).withColumn("_order", D.taxonomy_position(F.col("category")))
     tie_break = F.coalesce("placement_no", F.lit(0))
     stories = materialise(

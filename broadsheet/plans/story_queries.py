@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import SimilarityConfig
-from ..operators import answers, scoring, stories
+from ..operators import answers, model_steps, scoring, stories
 from ..operators.components import clusters
 from ..operators.grouping import (
     consolidate as consolidate_groups,
@@ -23,6 +24,7 @@ from ..operators.similarity import exact_groups, lsh_links, measured, shingle_se
 from ..operators.skew import join_skewed, number_rows
 from ..session import materialise, new_folder, spread
 from . import views as V
+from .daily import run
 from .views import sql, table
 
 Q: dict = {}
@@ -532,3 +534,51 @@ def dedup_stories(spark, d):
     stories_, _ = deduplicate(V.placed(spark, d))
     return stories_.select(
         "category", "title", "summary", "group_type", "original_count", "first_item_id", "email_primary_category")
+
+
+# ---- groups proposed by a model -------------------------------------------
+
+def same_title_groups(prompt: str) -> str:
+    """Offline stand-in for a model: groups stories with one title; some blocks get no usable answer."""
+    rows = [json.loads(line) for line in prompt.split("\n\n", 1)[1].splitlines()]
+    if rows[0]["id"] % 7 == 3:
+        return "I could not find any groups."
+    if rows[0]["id"] % 7 == 4:
+        return json.dumps({"groups": [{"type": "similar", "item_ids": [-1], "group_title": "t", "group_summary": "s"}]})
+    by_title: dict[str, list[dict]] = {}
+    for row in rows:
+        by_title.setdefault(row["title"], []).append(row)
+    return json.dumps({"groups": [{
+        "type": "duplicate" if len({r["summary"] for r in same}) == 1 else "similar", "item_ids": sorted(r["id"] for r in same),
+        "group_title": "Merged: " + title, "group_summary": f"{len(same)} reports",
+    } for title, same in by_title.items() if len(same) > 1]})
+
+
+_CUT = f"CASE WHEN length({{c}}) > {model_steps.FIELD_CHARS} THEN substr({{c}}, 1, {model_steps.FIELD_CHARS}) || chr(10) || chr(10) || '[TRUNCATED]' ELSE {{c}} END"
+
+
+@query("model_groups_run", sql(rf"""
+WITH told AS (SELECT category, row_number() OVER (PARTITION BY item_id, category) - 1 AS placement_no, dense_rank() OVER (ORDER BY item_id) - 1 AS id, title, summary,
+    trim(regexp_replace(lower(title), '\s+', ' ', 'g')) AS key FROM news_placed),
+ keyed AS (SELECT *, 0 AS ordering, key AS k FROM told WHERE placement_no = 0
+   UNION ALL SELECT *, 1, array_to_string(list_sort(string_split(key, ' ')), ' ') FROM told WHERE placement_no = 0),
+ blocks AS (SELECT *, first_value(id) OVER (PARTITION BY category, ordering, block ORDER BY k, id) AS first_id FROM (
+   SELECT *, (row_number() OVER (PARTITION BY category, ordering ORDER BY k, id) - 1) // {model_steps.BLOCK_ITEMS} AS block FROM keyed)),
+ cut AS (SELECT category, ordering, block, id, {_CUT.format(c='title')} AS title, {_CUT.format(c='summary')} AS summary FROM blocks WHERE first_id % 7 NOT IN (3, 4)),
+ groups AS (SELECT category, ordering, title, list(id) AS ids, count(*) AS n, min(summary) = max(summary) AS same FROM cut
+   GROUP BY category, ordering, block, title HAVING count(*) > 1),
+ first AS (SELECT category, unnest(ids) AS id FROM groups WHERE ordering = 0),
+ accepted AS (SELECT * FROM groups g WHERE ordering = 0 OR NOT EXISTS (SELECT 1 FROM first f WHERE f.category = g.category AND list_contains(g.ids, f.id))),
+ grouped AS (SELECT category, unnest(ids) AS id FROM accepted)
+SELECT category, 'Merged: ' || title AS title, n || ' reports' AS summary, CASE WHEN same THEN 'duplicate' ELSE 'similar' END AS group_type,
+  n AS original_count, list_min(ids) AS first_item_id FROM accepted
+UNION ALL SELECT category, title, summary, 'unique', 1, id FROM told t
+WHERE NOT EXISTS (SELECT 1 FROM grouped g WHERE g.category = t.category AND g.id = t.id)""".replace("\\s", "\s"), "news_placed"))
+def model_groups_run(spark, d):
+    """A whole run over all mail in which a provider proposes the groups, block by block, some without success."""
+    labels = V.classification(spark, d)
+    mail = V.messages(spark, d)
+    newest = mail.agg(F.max("received_at")).first()[0]
+    group = model_steps.group_with(scoring.CallProvider(same_title_groups, waits=()), new_folder(spark, "group-answers"))
+    done = run(mail, newest, classify=lambda m: m.join(labels, "message_id"), group=group, days=100_000)
+    return done.stories.select("category", "title", "summary", "group_type", "original_count", "first_item_id")
