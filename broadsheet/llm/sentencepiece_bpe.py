@@ -30,7 +30,6 @@ MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁"
 #: Pairs of tokens that a Python worker remembers; a full table starts anew.
 REMEMBERED = 300_000
-_CHUNK = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n+")
 _BYTES = re.compile("[\udc80-\udcff]")
 
 
@@ -46,6 +45,13 @@ class Encoder:
         self.inner = {piece[k:k + 2] for piece in self.ids for k in range(len(piece) - 1)}
         if any(pair[1] == SPACE != pair[0] or "\n" in pair for pair in self.inner):
             raise ValueError("a piece of this vocabulary reaches across words")
+        # Where no piece holds a letter beside another character, words are cut there too.
+        letters = {c for pair in self.inner for c in pair if c.isalpha()}
+        if any((a in letters) != (b in letters) for a, b in self.inner if a != SPACE):
+            letters = set()
+        known = re.escape("".join(sorted(letters)))
+        word = f"(?:[{known}]+|[^{known}{SPACE}\n]+)" if letters else f"[^{SPACE}\n]+"
+        self.cut = re.compile(f"{SPACE}*{word}|{SPACE}+|\n+")
         self.matches = ahocorasick.Automaton()
         for piece, i in self.ids.items():
             self.matches.add_word(piece, (len(piece), i))
@@ -171,7 +177,7 @@ class Encoder:
 
     def packed(self, text: str) -> bytes:
         """All ids of a text, as little-endian 32-bit numbers."""
-        return b"".join(map(self.words.__getitem__, _CHUNK.findall(SPACE + text.replace(" ", SPACE)))) if text else b""
+        return b"".join(map(self.words.__getitem__, self.cut.findall(SPACE + text.replace(" ", SPACE)))) if text else b""
 
     def encode(self, text: str) -> list[int]:
         return memoryview(self.packed(text)).cast("i").tolist()
