@@ -12,19 +12,18 @@ position ids that begin anew in every segment.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
-import regex
 import tiktoken
 from pyspark.sql import DataFrame, functions as F
 
-from .common import whole_text
+from .common import by_bytes, whole_text
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 END, PAD = 50256, 50256
@@ -32,29 +31,18 @@ ROW_IDS = 2048
 #: Text per shard, a row counting as so many bytes besides its text.
 SHARD_BYTES = 1 << 24
 ROW_BYTES = 64
-REMEMBERED = 300_000
 
 
 class Tokenizer:
-    """The rank file's own encoding, with a bounded table of the parts met before."""
+    """The rank file's own encoding."""
 
     def __init__(self, ranks: str) -> None:
         with open(ranks, "rb") as lines:
             known = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.library = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=known, special_tokens={})
-        self.parts = regex.compile(public_tokenizers.PATTERN)
-        self.known: dict[str, list[int]] = {}
 
     def encode(self, text: str) -> np.ndarray:
-        known, parts = self.known, self.parts.findall(text)
-        new = {p for p in parts if p not in known}
-        if new:
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = set(parts)
-            for p in new:
-                known[p] = self.library.encode_ordinary(p)
-        return np.fromiter(chain.from_iterable(map(known.__getitem__, parts)), np.uint16)
+        return np.frombuffer(array("H", self.library.encode_ordinary(text)), np.uint16)
 
 
 @lru_cache(maxsize=2)
@@ -130,7 +118,7 @@ def tokens(docs: DataFrame, ranks: str = RANKS) -> DataFrame:
     """(doc_id, key, copies, ids) for (doc_id, key, copies, text): the ids and the end mark, as little-endian 16-bit numbers."""
     def encode(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, end = tokenizer(ranks), np.array([END], np.uint16)
-        for part in parts:
+        for part in by_bytes(parts):
             ids = [np.r_[own.encode(t), end].tobytes() for t in part.column("text").to_pylist()]
             kept = ["doc_id", "key", "copies"]
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(ids, pa.binary())], [*kept, "ids"])
@@ -139,7 +127,7 @@ def tokens(docs: DataFrame, ranks: str = RANKS) -> DataFrame:
 
 
 def dealt(docs: DataFrame, ranks: str = RANKS) -> DataFrame:
-    """(shard, doc_id, copies, ids): rows by the hash of id and text, frequent equal rows as copies over all shards.
+    """(shard, doc_id, copies, ids): rows by the hash of id and text, frequent equal rows as copies over all shards, a task to a shard.
 
     Rows count as frequent from a quarter of a shard on, so their keys are few.
     """
@@ -154,13 +142,13 @@ def dealt(docs: DataFrame, ranks: str = RANKS) -> DataFrame:
 
     once = F.lit(1).cast("long").alias("copies")
     if not whole["frequent"] or shards == 1:
-        return placed(tokens(rows.select("*", once), ranks), F.lit(0))
+        return placed(tokens(rows.select("*", once), ranks), F.lit(0)).repartitionById(shards, "shard")
     hot = F.broadcast(docs.sparkSession.createDataFrame([(k,) for k in whole["frequent"]], "key long"))
     many = rows.join(hot, "key", "left_semi").groupBy("doc_id", "key", "text").agg(F.count("*").alias("copies"))
     turns = tokens(many, ranks).withColumn("turn", F.explode(F.sequence(F.lit(0).cast("long"), F.least("copies", F.lit(shards)) - 1)))
     share = F.floor(F.col("copies") / shards) + (F.col("turn") < F.col("copies") % shards).cast("long")
     few = placed(tokens(rows.join(hot, "key", "left_anti").select("*", once), ranks), F.lit(0))
-    return few.unionByName(placed(turns.withColumn("copies", share), F.col("turn")))
+    return few.unionByName(placed(turns.withColumn("copies", share), F.col("turn"))).repartitionById(shards, "shard")
 
 
 PACKED = "shard int, row int, ids binary, cu_seqlens array<int>, position_ids binary, doc_ids array<long>, starts array<long>"
