@@ -15,7 +15,8 @@ from ..operators.scoring import classify_rules, news_only
 from ..operators.skew import join_skewed
 from ..operators.stories import extract_stories, place
 from ..schemas import LAYOUT
-from ..session import materialise
+from ..session import materialise, metered
+from ..sources import archive
 from ..sources.messages import exclude_senders, trailing
 
 
@@ -63,6 +64,7 @@ def run(
     group: Callable[[DataFrame], DataFrame] | None = None,
     excluded: Iterable[str] = (),
     days: int = 1,
+    deliver: Callable[[Run], DataFrame] | None = None,
 ) -> Run:
     """Digest of the mail received in the ``days`` before ``as_of``.
 
@@ -72,20 +74,22 @@ def run(
     items (without it similar ones are searched), ``layout`` maps the
     numbered stories to nested layouts (``LAYOUT`` plus ``digest_date``); without
     it, or if it returns none, sections follow the keyword rules. Each is written out before it is used,
-    so a provider that costs money is asked once.
+    so a provider that costs money is asked once. ``deliver`` gets the finished run and returns the messages
+    it made, with ``sent``; see :func:`deliver_to`.
     """
     day = F.lit(as_of.date())
     recent = exclude_senders(trailing(messages, as_of, days), excluded)
-    judged = materialise(classify(recent), "classified")
-    news = news_only(judged)
-    items = materialise(extract(news).withColumn("digest_date", day), "items")
+    # Stages are counted while they are written.
+    n = F.count(F.lit(1))
+    judged, mail = metered(classify(recent), "classified", n=n, news=F.count_if("is_news"))
+    items, extracted = metered(extract(news_only(judged)).withColumn("digest_date", day), "items", n=n)
     items = D.index_items(items, ["received_at", "source_account", "original_email_id", "item_pos"], name="item_id")
     told, merged = deduplicate(place(items), similarity, group)
     told = told.withColumn("digest_date", day).withColumn("_order", D.taxonomy_position(F.col("category")))
     tie_break = F.coalesce("placement_no", F.lit(0))
-    stories = materialise(
+    stories, kept = metered(
         D.index_items(told.withColumn("_again", tie_break), ["_order", "first_item_id", "_again"]).drop("_order", "_again"),
-        "stories",
+        "stories", n=n,
     )
     sources, urls = _members(stories, merged)
     # The section is chosen anew; the placement only scoped the search for copies.
@@ -103,9 +107,38 @@ def run(
         raise DigestError("there is no layout and the keyword fallback is off")
     curated = materialise(curated.withColumn("story_key", F.col("idx")), "digest-items")
     by_name, totals = D.digest_metrics(curated, stories, proposed)
-    counted = reports.funnel({
-        "accounts": messages.select("account").distinct(), "total_emails": judged, "news_emails": news,
-        "news_items_extracted": items, "after_deduplication": stories, "categories": curated.select("cat_pos").distinct(),
-    })
     heads = D.digest_heads(layouts, as_of, config)
-    return Run(stories, sources, urls, heads, curated, by_name, totals, reports.run_status(counted))
+    counts = {
+        "accounts": messages.select("account").distinct().count(), "total_emails": mail["n"], "news_emails": mail["news"],
+        "news_items_extracted": extracted["n"], "after_deduplication": kept["n"], "categories": curated.select("cat_pos").distinct().count(),
+    }
+    done = Run(stories, sources, urls, heads, curated, by_name, totals, reports.funnel(stories.sparkSession, counts))
+    sent = 0
+    if deliver is not None:
+        _, delivered = metered(deliver(done), "delivered", n=F.count_if("sent"))
+        sent = delivered["n"]
+    done.funnel = reports.run_status(reports.funnel(stories.sparkSession, {**counts, "sent": sent}))
+    return done
+
+
+def deliver_to(
+    path: str, recipients: DataFrame | None = None, default_recipient: str = "editor@example.com",
+) -> Callable[[Run], DataFrame]:
+    """A last step for :func:`run`: archive, pages and outbox under ``path``; returns the outbox with ``sent``.
+
+    Whatever sends the messages reads the outbox, of which a repeated run replaces its own dates. ``recipients`` has one column, recipient.
+    A digest without stories is archived but not sent.
+    """
+    def step(done: Run) -> DataFrame:
+        archive.write_archive(done.digest_items, f"{path}/items")
+        archive.write_pages(done.pages(), f"{path}/pages", render.PAGE_ORDER)
+        # A run makes the digest of one day.
+        day = F.lit(done.digest.first()["digest_date"])
+        told = done.digest_items.where("story_key IS NOT NULL").select("digest_date").distinct()
+        heads = done.digest.select("digest_date", "title").join(told, "digest_date", "left_semi")
+        listed = heads.sparkSession.createDataFrame([], "recipient string") if recipients is None else recipients
+        out = archive.outbox(heads, listed.select(day.alias("digest_date"), "recipient"), default_recipient, on="digest_date")
+        archive.write_archive(out, f"{path}/outbox")
+        return out.withColumn("sent", F.lit(True))
+
+    return step

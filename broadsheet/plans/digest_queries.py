@@ -10,9 +10,10 @@ from ..functions.text import fingerprint
 from ..operators import digest as D, render, reports
 from ..operators.grouping import deduplicate
 from ..operators.skew import join_skewed, number_rows
-from ..operators.stories import in_taxonomy, place
+from ..operators.scoring import news_only
+from ..operators.stories import extract_stories, in_taxonomy, place
 from ..schemas import CATCH_ALL, LAYOUT, TAXONOMY
-from ..session import materialise, new_folder
+from ..session import materialise, metered, new_folder
 from ..sources import archive
 from . import views as V
 from .story_queries import TAXONOMY_SQL, keyword_sql, merged_stories
@@ -234,18 +235,15 @@ def classification_summary(spark, d):
     return reports.classification_summary(V.news(spark, d))
 
 
-def _funnel(spark, d):
-    mail = V.messages(spark, d)
-    news_items = materialise(V.news_items(spark, d), "news-items")
-    told = materialise(deduplicate(place(news_items))[0].select("category"), "stories")
-    return reports.funnel({
-        "accounts": mail.select("account").distinct(),
-        "total_emails": mail,
-        "news_emails": V.news(spark, d),
-        "news_items_extracted": news_items,
-        "after_deduplication": told,
-        "categories": told.distinct(),
-    })
+def _stages(spark, d) -> tuple[dict[str, int], DataFrame]:
+    """Counts of a run's first stages, each gathered while the stage is written."""
+    n = F.count(F.lit(1))
+    judged, mail = metered(V.classified(spark, d), "classified", n=n, news=F.count_if("is_news"))
+    told, items = metered(V.with_ids(extract_stories(news_only(judged))), "news-items", n=n)
+    return {
+        "accounts": judged.select("account").distinct().count(), "total_emails": mail["n"], "news_emails": mail["news"],
+        "news_items_extracted": items["n"],
+    }, told
 
 
 _FUNNEL_SQL = """
@@ -253,12 +251,18 @@ SELECT (SELECT count(DISTINCT account) FROM messages) AS accounts, (SELECT count
   (SELECT count(*) FROM news) AS news_emails, (SELECT count(*) FROM news_items) AS news_items_extracted,
   (SELECT count(DISTINCT (scope, cluster_id)) FROM news_clusters) + (SELECT count(*) FROM news_placed p WHERE NOT EXISTS (
      SELECT 1 FROM news_clusters c WHERE c.scope = p.category AND c.id = p.item_id)) AS after_deduplication,
-  (SELECT count(DISTINCT category) FROM news_placed) AS categories"""
+  (SELECT count(DISTINCT category) FROM news_placed) AS categories, (SELECT count(DISTINCT category) FROM news_placed) AS sent"""
 
 
 @query("funnel", sql(_FUNNEL_SQL, "messages", "news_clusters", "news_placed", "news_items"))
 def funnel(spark, d):
-    return _funnel(spark, d)
+    """Sent is one message to the default address for each category, as there are no recipients."""
+    counts, items = _stages(spark, d)
+    stories, n = metered(deduplicate(place(items))[0].select("category"), "stories", n=F.count(F.lit(1)))
+    digests = stories.distinct().withColumn("title", F.col("category"))
+    nobody = spark.createDataFrame([], "category string, recipient string")
+    _, sent = metered(archive.outbox(digests, nobody, "editor@example.com"), "outbox", n=F.count(F.lit(1)))
+    return reports.funnel(spark, {**counts, "after_deduplication": n["n"], "categories": stories.distinct().count(), "sent": sent["n"]})
 
 
 @query("run_status", sql(
@@ -267,11 +271,8 @@ def funnel(spark, d):
     f"SELECT (SELECT count(*) FROM news) AS news_emails, (SELECT count(*) FROM news_items) AS news_items_extracted))",
     "news", "news_items"))
 def run_status(spark, d):
-    counted = reports.funnel({
-        "accounts": V.messages(spark, d).select("account").distinct(),
-        "news_emails": V.news(spark, d), "news_items_extracted": V.news_items(spark, d),
-    })
-    return reports.run_status(counted).select("status", "message")
+    counts, _ = _stages(spark, d)
+    return reports.run_status(reports.funnel(spark, counts)).select("status", "message")
 
 
 @query("source_attribution", sql("""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import text as T
 from ..operators.mime import select_bodies
-from ..session import new_folder
+from ..session import materialise, new_folder
 from ..sources import messages as M
 from . import views as V
 from .views import sql, table
@@ -48,6 +48,33 @@ def trailing_window(spark, d):
     return M.trailing(mail, as_of(mail)).select("account", "message_id", "received_at")
 
 
+def landing(spark, d) -> str:
+    path = new_folder(spark, "landing")
+    M.write_landing(V.messages(spark, d).select("account", "message_id", "subject", "received_at"), path)
+    return path
+
+
+@query("landing_window", sql(
+    "SELECT account, message_id, received_at, CAST(received_at AS DATE) AS received_date FROM messages "
+    "WHERE received_at > (SELECT max(received_at) FROM messages) - INTERVAL 1 DAY", "messages"))
+def landing_window(spark, d):
+    """The trailing day of a table with a folder per account and day; folders before it are not listed."""
+    mail = M.read_messages(spark, landing(spark, d))
+    return M.trailing(mail, as_of(mail)).select("account", "message_id", "received_at", "received_date")
+
+
+@query("account_window", sql("""
+SELECT account, message_id, received_at FROM messages m JOIN (
+  SELECT account, max(received_at) - CASE account WHEN 'acct1' THEN INTERVAL 2 DAY ELSE INTERVAL 0 DAY END AS clock FROM messages GROUP BY account) USING (account)
+WHERE received_at > clock - INTERVAL 1 DAY AND CAST(received_at AS DATE) <= CAST(clock AS DATE)""", "messages"))
+def account_window(spark, d):
+    """The day before each account's own clock; the first account's stopped two days ago."""
+    mail = M.read_messages(spark, landing(spark, d))
+    late = F.when(F.col("account") == "acct1", F.make_dt_interval(F.lit(2))).otherwise(F.make_dt_interval(F.lit(0)))
+    clocks = materialise(mail.groupBy("account").agg(F.max("received_at").alias("as_of")).withColumn("as_of", F.col("as_of") - late), "clocks")
+    return M.trailing_by_account(mail, clocks).select("account", "message_id", "received_at")
+
+
 @query("exclude_senders", sql(
     "SELECT message_id, sender FROM messages WHERE lower(regexp_extract(sender, '<([^<>]*)>', 1)) NOT IN "
     "('news@src0.example.com', 'news@src3.example.com', 'news@src7.example.com')", "messages"))

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Settings the jobs in this package are written for.
 SETTINGS = {
@@ -67,6 +67,13 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def metered(df: DataFrame, label: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """:func:`materialise`, and ``metrics`` over all rows, aggregated in the pass that writes them."""
+    seen = Observation(label)
+    table = materialise(df.observe(seen, *[value.alias(name) for name, value in metrics.items()]), label)
+    return table, seen.get
+
+
 def read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
     """The Parquet table at ``path``, or None if nothing was ever written there; any other failure is raised."""
     try:

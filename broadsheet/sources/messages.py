@@ -13,8 +13,24 @@ from ..schemas import MESSAGE_EXPORT, STORY_FILE
 CORRUPT = "_corrupt_record"
 
 
+#: Column of the landing table that names a message's day.
+DAY = "received_date"
+
+
+def write_landing(messages: DataFrame, path: str, at: str = "received_at") -> None:
+    """Replace the days and accounts present in ``messages`` in the landing table, which has a folder for each.
+
+    Rows are dealt by ranges of account and time, so that one busy account or day is written by many tasks while a
+    quiet one stays in one file. Messages without a time go to the folder of no day.
+    """
+    (
+        messages.withColumn(DAY, F.to_date(at)).repartitionByRange("account", DAY, at)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("account", DAY).parquet(path)
+    )
+
+
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
-    """Columnar landing table of exported mail, ideally partitioned by account and day."""
+    """Columnar landing table of exported mail, as :func:`write_landing` lays it out or any other."""
     return spark.read.parquet(path)
 
 
@@ -37,9 +53,22 @@ def split_corrupt(export: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def trailing(df: DataFrame, as_of: datetime | Column, days: int = 1, column: str = "received_at") -> DataFrame:
-    """Rows newer than ``days`` before ``as_of``; a literal bound reaches the scan."""
-    bound = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    return df.where(F.col(column) > bound - F.make_dt_interval(F.lit(days)))
+    """Rows newer than ``days`` before ``as_of``; a literal bound reaches the scan, and the folders of a landing table."""
+    bound = (as_of if isinstance(as_of, Column) else F.lit(as_of)) - F.make_dt_interval(F.lit(days))
+    recent = df.where(F.col(column) > bound)
+    return recent.where(F.col(DAY) >= F.to_date(bound)) if DAY in df.columns else recent
+
+
+def trailing_by_account(landing: DataFrame, clocks: DataFrame, days: int = 1, column: str = "received_at") -> DataFrame:
+    """Rows of a landing table newer than ``days`` before their account's own clock: ``clocks`` (account, as_of).
+
+    Accounts without a clock have no rows. The clocks become one row per account and day, which the scan reads before
+    it chooses its folders.
+    """
+    bound = F.col("as_of") - F.make_dt_interval(F.lit(days))
+    open_days = clocks.where(F.col("as_of").isNotNull()).select(
+        "account", bound.alias("_bound"), F.explode(F.sequence(F.to_date(bound), F.to_date("as_of"))).alias(DAY))
+    return landing.join(open_days, ["account", DAY]).where(F.col(column) > F.col("_bound")).drop("_bound")
 
 
 def sender_list(listed: str, own_address: str = "") -> list[str]:

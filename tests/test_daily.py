@@ -80,3 +80,17 @@ def test_quiet_days(spark, mail):
     assert "No News Items" in "".join(r.html for r in out.pages().collect())
     with pytest.raises(broadsheet.DigestError):
         broadsheet.run(mail, NOW, broadsheet.DigestConfig(fallback_to_keywords=False))
+
+
+def test_delivery_is_the_last_stage(spark, mail, tmp_path):
+    people = spark.createDataFrame([(f"p{i:03}@x.org",) for i in range(150)], "recipient string")
+    for _ in range(2):  # a repeated run replaces what it made
+        out = broadsheet.run(mail, NOW, deliver=broadsheet.deliver_to(str(tmp_path), people))
+    row = out.funnel.first()
+    assert (row.sent, row.status, row.message) == (2, "success", "Digest ready")
+    sent = spark.read.parquet(str(tmp_path / "outbox"))
+    assert sorted(r.n_recipients for r in sent.collect()) == [50, 100]
+    assert spark.read.parquet(str(tmp_path / "items")).count() == out.digest_items.count()
+    page = "".join(r.value for r in spark.read.text(str(tmp_path / "pages")).collect())
+    assert page.count("</html>") == 1
+    assert broadsheet.run(mail, NOW + timedelta(days=30), deliver=broadsheet.deliver_to(str(tmp_path), people)).funnel.first().sent == 0

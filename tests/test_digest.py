@@ -101,6 +101,6 @@ def test_reports(spark):
     assert got == {("category", "AI"): 2, ("confidence", "high"): 2, ("confidence", "medium"): 0, ("confidence", "low"): 1}
     for counts, want in (((0, 0, 0), ("error", "Authentication failed")), ((1, 0, 0), ("success", "No news content found")),
                          ((1, 1, 0), ("success", "No extractable news content")), ((1, 1, 1), ("success", "Digest ready"))):
-        row = reports.funnel(dict(zip(("accounts", "news_emails", "news_items_extracted"), (spark.range(n) for n in counts))))
+        row = reports.funnel(spark, dict(zip(("accounts", "news_emails", "news_items_extracted"), counts)))
         r = reports.run_status(row).first()
         assert (r.status, r.message) == want

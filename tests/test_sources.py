@@ -69,3 +69,31 @@ def test_pages_are_written_in_order(spark, tmp_path):
     archive.write_pages(df, str(tmp_path / "p"), ["pos"])
     files = sorted((tmp_path / "p" / "digest_date=2024-01-01").glob("*.txt"))
     assert "".join(f.read_text() for f in files).split() == ["<1>", "<2>", "<3>"]
+
+
+def test_landing_table_is_pruned_by_account_and_day(spark, tmp_path, plan):
+    rows = [(f"a{i % 2}", i, datetime(2024, 1, 1 + i // 4, i % 4)) for i in range(40)] + [("a0", 99, None)]
+    mail = spark.createDataFrame(rows, "account string, message_id long, received_at timestamp")
+    path = str(tmp_path / "landing")
+    for _ in range(2):  # a repeated load replaces its own folders
+        M.write_landing(mail, path)
+    landing = M.read_messages(spark, path)
+    assert sorted(r.message_id for r in landing.collect()) == sorted(r[1] for r in rows)
+    recent = M.trailing(landing, datetime(2024, 1, 10, 3), 1)
+    assert {r.message_id for r in recent.collect()} == {36, 37, 38, 39}
+    text = plan(recent)
+    assert "PartitionFilters: [isnotnull(received_date" in text and ">= 2024-01-09" in text
+
+    clocks = spark.createDataFrame([("a0", datetime(2024, 1, 3, 2)), ("a1", None)], "account string, as_of timestamp")
+    own = M.trailing_by_account(landing, clocks)
+    # The row just a day old is out, the one at the clock is in, and nothing comes from later days.
+    assert {r.message_id for r in own.collect()} == {8, 10}
+
+
+def test_clocks_prune_folders_at_run_time(spark, tmp_path, plan):
+    rows = [(f"a{i % 7}", i, datetime(2024, 1, 1 + i % 28)) for i in range(500)]
+    M.write_landing(spark.createDataFrame(rows, "account string, message_id long, received_at timestamp"), str(tmp_path / "m"))
+    spark.createDataFrame([(f"a{i}", datetime(2024, 1, 28)) for i in range(7)], "account string, as_of timestamp").write.parquet(str(tmp_path / "clocks"))
+    clocks = spark.read.parquet(str(tmp_path / "clocks")).where("account = 'a3'")
+    text = plan(M.trailing_by_account(M.read_messages(spark, str(tmp_path / "m")), clocks))
+    assert "dynamicpruning" in text

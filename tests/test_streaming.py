@@ -1,10 +1,11 @@
 import random
+import time
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from broadsheet.streaming import jobs, memory, sink
+from broadsheet.streaming import jobs, memory, progress, sink
 
 SCHEMA = "account string, message_id long, received_at timestamp, body string"
 START = datetime(2024, 1, 1)
@@ -142,3 +143,19 @@ def test_archive_batches(spark, tmp_path):
         jobs.archive_batches(dated, str(tmp_path / "out"), str(tmp_path / "progress")).awaitTermination()
     got = sorted((str(r.digest_date), r.message_id) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert got == [("2024-01-01", 1), ("2024-01-01", 3), ("2024-01-02", 2)]
+
+
+def test_stage_progress_of_a_stream(spark, tmp_path):
+    listener = progress.StageProgress()
+    spark.streams.addListener(listener)
+    try:
+        stream = feed(spark, tmp_path, [[row(1, 1), row(2, 2)], [row(3, 26)]])
+        seen = progress.watched(stream, "mail", n=F.count(F.lit(1)))
+        jobs.run_to_table(progress.watched(seen.where("message_id <> 2"), "kept", n=F.count(F.lit(1))), "t")
+        for _ in range(50):
+            if len(listener.rows) >= 4:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    assert {(r.stage, r.batch_id, r.n) for r in listener.table(spark).collect()} == {("mail", 0, 2), ("kept", 0, 1), ("mail", 1, 1), ("kept", 1, 1)}
