@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import materialise
+from ..session import discard, materialise
 from .skew import join_skewed
 
 # The published bound is O(log^2 n) rounds; passing the guard is an error, since
@@ -52,7 +52,9 @@ def clusters(links: DataFrame) -> DataFrame:
     before = edges.select(mark).first()[0]
     for _ in range(MAX_ROUNDS):
         rows = before[0]
-        edges = materialise(_small_star(_large_star(edges, rows).distinct(), rows).distinct(), "edges")
+        moved = materialise(_small_star(_large_star(edges, rows).distinct(), rows).distinct(), "edges")
+        discard(edges)
+        edges = moved
         after = edges.select(mark).first()[0]
         if after == before:
             members = edges.select("scope", F.col("hi").alias("id"), F.col("lo").alias("cluster_id"))

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -54,17 +57,68 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/broadsheet/{label}-{uuid.uuid4().hex}"
 
 
+#: Shuffle files of a finished write are of no use to anyone; without this they stay until the driver's next collection of garbage.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_written = threading.local()
+
+
 def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 
     Cuts lineage for iterative jobs and fixes the result of steps that must not
     be computed twice (paid scoring calls, range partitioning). Unlike an RDD
-    checkpoint the written table keeps column pruning and filter pushdown.
+    checkpoint the written table keeps column pruning and filter pushdown. The
+    write's shuffle files go when it is done.
     """
     spark = df.sparkSession
     path = new_folder(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._written_to = path
+    for folders in getattr(_written, "scopes", [])[-1:]:
+        folders.add(path)
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table that :func:`materialise` has written and that nothing reads any more."""
+    _delete(table.sparkSession, table._written_to)
+    for folders in getattr(_written, "scopes", []):
+        folders.discard(table._written_to)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def intermediate(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A block whose materialised tables are deleted at its end, except those passed through the function it gives.
+
+    What the block hands on must be a kept table, or read kept tables only. Kept tables belong to the block around, if there is one.
+    """
+    scopes = _written.__dict__.setdefault("scopes", [])
+    own: set[str] = set()
+    scopes.append(own)
+
+    def keep(table: DataFrame) -> DataFrame:
+        own.discard(table._written_to)
+        for around in scopes[-2:-1]:
+            around.add(table._written_to)
+        return table
+
+    try:
+        yield keep
+    finally:
+        scopes.remove(own)
+        for path in own:
+            _delete(spark, path)
 
 
 def metered(df: DataFrame, label: str, **metrics: Column) -> tuple[DataFrame, dict]:
