@@ -6,7 +6,10 @@ diagonal p - t; a notice that stands in the text word for word puts all its vote
 on one diagonal, and inserted or lost words move the rest to a diagonal nearby.
 Votes are counted by diagonal, neighbouring diagonals are merged, and a merged span
 is verified by the share of the template's runs that it really holds (the words
-themselves travel with each run and are compared, not just the hashes).
+themselves travel with each run and are compared, not just the hashes), by its length,
+and by the runs that tell the template from its relatives: of the runs that no template of a related
+licence has, a notice holds more than half, for each such licence. So a version or a
+condition that differs in one word is not mistaken for its neighbour.
 
 The templates are a fixed list, so their side of the join is small whatever the
 input; documents are read once and only hits, and one row per document, are moved.
@@ -21,8 +24,10 @@ from .common import PLAIN_WORD, lower_ascii, whole_text, words
 K = 3
 #: Diagonals this close to each other belong to one notice.
 NEIGHBOUR = 4
-#: A span is a notice when it holds this share of the template's runs.
+#: A span is a notice when it holds this share of the template's runs,
 COVERAGE = 0.6
+#: and is at most this many times as long as the template.
+STRETCH = 1.5
 
 # Phrases whose places are counted, with their labels.
 BASE = (
@@ -35,25 +40,47 @@ NOTICES = (
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
             "documentation files the software to deal in the software without restriction"),
     ("apache-2", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
+    ("gpl-2", "licensed under the gnu general public license version 2"),
     ("gpl-3", "licensed under the gnu general public license version 3"),
-    ("gpl-3", "gnu general public license as published by the free software foundation either version 3 of the license"),
     ("gpl-2", "gnu general public license as published by the free software foundation either version 2 of the license"),
+    ("gpl-3", "gnu general public license as published by the free software foundation either version 3 of the license"),
+    ("lgpl-2", "gnu lesser general public license as published by the free software foundation either version 2 1 of the license"),
+    ("lgpl-3", "gnu lesser general public license as published by the free software foundation either version 3 of the license"),
+    ("agpl-3", "gnu affero general public license as published by the free software foundation either version 3 of the license"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that "
             "the following conditions are met"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
     ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("epl-2", "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0"),
     ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
+    ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4 0 international license"),
+    ("cc-by-nd", "this work is licensed under a creative commons attribution noderivatives 4 0 international license"),
     ("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial 4 0 international license"),
+    ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 )
+# Licences whose notices differ in few words.
+FAMILIES = (("gpl-2", "gpl-3", "lgpl-2", "lgpl-3", "agpl-3"), ("cc-by", "cc-by-sa", "cc-by-nd", "cc-by-nc"))
+
+
+def _runs(text: str) -> list[tuple[str, ...]]:
+    w = text.split()
+    return [tuple(w[t:t + K]) for t in range(len(w) - K + 1)]
+
+
+def telling_runs(label: str, text: str) -> list[list[int]]:
+    """Per licence of the label's family, the runs of ``text`` that none of that licence's notices has."""
+    relatives = [other for family in FAMILIES if label in family for other in family if other != label]
+    held = [{run for name, notice in NOTICES if name == other for run in _runs(notice)} for other in relatives]
+    return [[t for t, run in enumerate(_runs(text)) if run not in theirs] for theirs in held]
 
 
 def template_runs(spark: SparkSession) -> DataFrame:
     """(template, base, label, runs, t, a, b, c): one row per run of K words of a template."""
     rows = []
     for template, (label, text) in enumerate((*BASE, *NOTICES)):
-        w = text.split()
-        runs = len(w) - K + 1
-        rows += [(template, template < len(BASE), label, runs, t, *w[t:t + K]) for t in range(runs)]
+        runs = _runs(text)
+        rows += [(template, template < len(BASE), label, len(runs), t, *run) for t, run in enumerate(runs)]
     names = ("template", "base", "label", "runs", "t", "a", "b", "c")
     listed = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows])
     return spark.range(1).select(F.inline(listed))
@@ -100,15 +127,21 @@ def license_scan(docs: DataFrame) -> DataFrame:
     by_place = Window.partitionBy("doc", "template").orderBy("diagonal")
     far = F.col("diagonal") - F.lag("diagonal").over(by_place) > NEIGHBOUR
     spans = diagonals.withColumn("span", F.sum(F.coalesce(far, F.lit(True)).cast("int")).over(by_place)).groupBy(*key, "span").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("ts")))).alias("held"),
+        F.array_distinct(F.flatten(F.collect_list("ts"))).alias("held"),
         F.sum(F.when(F.size("ts") == F.col("runs"), 1).otherwise(0)).alias("whole"),
         F.min(F.when(F.size("ts") == F.col("runs"), F.col("first"))).alias("whole_first"),
         F.max(F.when(F.size("ts") == F.col("runs"), F.col("first"))).alias("whole_last"),
         F.min("first").alias("first"), (F.max("last") + (K - 1)).alias("last"),
     )
-    share = F.col("held") / F.col("runs")
+    share = F.size("held") / F.col("runs")
     base = F.coalesce("base", F.lit(False)) & (F.col("whole") > 0)
-    found = base | (~F.coalesce("base", F.lit(True)) & (share >= COVERAGE))
+    told = F.lit(True)
+    for template, (label, text) in enumerate(NOTICES, len(BASE)):
+        for tells in telling_runs(label, text):
+            enough = F.size(F.array_intersect("held", F.array(*map(F.lit, tells)))) * 2 > len(tells)
+            told = told & ((F.col("template") != template) | enough)
+    short = F.col("last") - F.col("first") + 1 <= STRETCH * (F.col("runs") + (K - 1))
+    found = base | (~F.coalesce("base", F.lit(True)) & (share >= COVERAGE) & short & told)
     joined = lambda kept: F.array_join(F.array_sort(F.collect_set(F.when(kept, F.col("label")))), ",")
     return spans.groupBy("doc", "doc_id", "n_words").agg(
         F.coalesce(F.sum(F.when(base, F.col("whole"))), F.lit(0)).cast("long").alias("n_base"),
@@ -130,6 +163,8 @@ def sql() -> str:
         f"({template}, {template < len(BASE)}, '{label}', {len(text.split()) - K + 1}, '{text}')"
         for template, (label, text) in enumerate((*BASE, *NOTICES))
     )
+    tells = ", ".join(
+        f"({template}, {runs})" for template, (label, text) in enumerate(NOTICES, len(BASE)) for runs in telling_runs(label, text))
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     return f"""
 WITH templates(template, base, label, runs, phrase) AS (VALUES {values}),
@@ -146,23 +181,27 @@ runs AS (
 ), votes AS (
   SELECT doc_id, p, k.* FROM places JOIN known k ON w[p + 1] || ' ' || w[p + 2] || ' ' || w[p + 3] = run
 ), diagonals AS (
-  SELECT doc_id, template, base, label, runs, p - t AS diagonal, list(DISTINCT t) AS ts, min(p) AS first
+  SELECT doc_id, template, base, label, runs, p - t AS diagonal, list(DISTINCT t) AS ts, min(p) AS first, max(p) + {K - 1} AS last
   FROM votes GROUP BY ALL
 ), marked AS (
   SELECT *, coalesce(diagonal - lag(diagonal) OVER place > {NEIGHBOUR}, true) AS far
   FROM diagonals WINDOW place AS (PARTITION BY doc_id, template ORDER BY diagonal)
 ), numbered AS (
   SELECT *, sum(far::INT) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM marked
-), spans AS (
-  SELECT doc_id, template, base, label, span, len(list_distinct(flatten(list(ts)))) / any_value(runs) AS share,
+), tells(template, telling) AS (VALUES {tells}), merged AS (
+  SELECT doc_id, template, base, label, span, any_value(runs) AS runs, list_distinct(flatten(list(ts))) AS held, min(first) AS first, max(last) AS last,
          count(*) FILTER (len(ts) = runs) AS whole, min(first) FILTER (len(ts) = runs) AS whole_first,
          max(first) FILTER (len(ts) = runs) AS whole_last
   FROM numbered GROUP BY doc_id, template, base, label, span
+), spans AS (
+  SELECT *, len(held) / runs AS share, len(held) >= {COVERAGE} * runs AND last - first + 1 <= {STRETCH} * (runs + {K - 1}) AND NOT EXISTS (
+    SELECT 1 FROM tells t WHERE t.template = m.template AND 2 * len(list_intersect(telling, held)) <= len(telling)) AS fits
+  FROM merged m
 ), per AS (
   SELECT doc_id, sum(whole) FILTER (base) AS n_base, min(whole_first) FILTER (base) AS first_word,
          max(whole_last) FILTER (base) AS last_word,
          string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base AND whole > 0) AS base_labels,
-         string_agg(DISTINCT label, ',' ORDER BY label) FILTER ((base AND whole > 0) OR (NOT base AND share >= {COVERAGE})) AS labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER ((base AND whole > 0) OR (NOT base AND fits)) AS labels,
          max(CASE WHEN base THEN CASE WHEN whole > 0 THEN 1.0 END ELSE share END) AS score
   FROM spans GROUP BY doc_id
 )
