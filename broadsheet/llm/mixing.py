@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.bind import bind
 from ..session import materialise
-from .common import SPACED_WORD, whole_text, words
+from .common import SPACED_WORD, whole_text
 
 WEIGHTS = (5, 2, 1)
 #: The mix holds this share of all words, and a document at most REPEATS times.
@@ -205,17 +205,14 @@ def mixed_sizes(docs: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix itself, with the columns of the documents: a row per time a document is drawn.
 
-    A document taken in part keeps its first words, joined by single spaces; its
-    n_chars, if there is such a column, is that of the part. Rows come in the shards
-    and the order that the tree and the local shuffle give.
+    Documents come whole. Where the mix takes a document in part, which it does once per source at most, that document comes if
+    at least half its words are taken, so a source misses its target by half a document at most. Rows come in the
+    shards and the order that the tree and the local shuffle give. Null texts have no words and are not
+    drawn; rows without id or with a repeated one are drawn like others; no rows give no rows.
     """
     _, drawn = mix(docs, carry=tuple(docs.columns))
-    part = F.array_join(F.slice(words(whole_text("carried.text"), SPACED_WORD), F.lit(1), F.col("words").cast("int")), " ")
-    text = F.when(F.col("words") == F.col("size"), F.col("carried.text")).otherwise(part)
-    new = {"text": text, "n_chars": F.when(F.col("words") == F.col("size"), F.col("carried.n_chars")).otherwise(F.length(part))} if (
-        "n_chars" in docs.columns) else {"text": text}
-    dealt = drawn.repartition("shard", F.substring("place", 1, 2)).sortWithinPartitions("shard", "place")
-    return dealt.select(*[new[c].cast(docs.schema[c].dataType).alias(c) if c in new else F.col(f"carried.`{c}`").alias(c) for c in docs.columns])
+    dealt = drawn.where("2 * words >= size").repartition("shard", F.substring("place", 1, 2)).sortWithinPartitions("shard", "place")
+    return dealt.select(*[F.col(f"carried.`{c}`").alias(c) for c in docs.columns])
 
 
 SQL = f"""

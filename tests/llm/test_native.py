@@ -51,6 +51,24 @@ def test_license_places(spark):
     assert out[3].labels == ""
 
 
+def test_related_licences_are_told_apart(spark):
+    """Every notice gives its own licence and no other, also with a word put in, and so do texts that name one in passing."""
+    texts = [(label, text) for label, text in license_scan.NOTICES]
+    texts += [(label, " ".join(w[:5] + ["so"] + w[5:])) for label, text in license_scan.NOTICES for w in [text.split()] if len(w) > 12]
+    texts += [("gpl-2", "This is licensed under the GNU General Public License version 2 only."), ("", "licensed under the GNU General Public License"),
+              ("", "This work is licensed under a Creative Commons license"), ("gpl-3", texts[3][1] + " and again " + texts[3][1])]
+    docs = spark.createDataFrame([(i, f"see below {t.upper()} thanks") for i, (_, t) in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in license_scan.license_labels(docs).collect()}
+    assert {texts[i]: found for i, found in got.items() if found != texts[i][0]} == {}
+
+
+def test_scattered_words_are_no_notice(spark):
+    w = dict(license_scan.NOTICES)["unlicense"].split()
+    near = " ".join(" ".join(w[t:t + 3]) + " x y" for t in range(len(w) - 2))
+    docs = spark.createDataFrame([(1, near), (2, " ".join(w))], "doc_id long, text string")
+    assert {r.doc_id: r.labels for r in license_scan.license_labels(docs).collect()} == {1: "", 2: "unlicense"}
+
+
 def test_equal_keys_are_told_apart_by_their_text(spark, monkeypatch):
     """All texts get one key: the chain must still hold every text of its own."""
     from pyspark.sql import functions as F
@@ -73,7 +91,17 @@ def test_directory_splits_overfull_buckets(spark):
 def test_keep_distinct_has_all_columns(odd_docs):
     kept = exact_dedup.keep_distinct(odd_docs)
     assert kept.columns == odd_docs.columns
-    assert rows(kept, ["doc_id"]) == Counter({(k,): 1 for k in (1, 4, 6, 9, 10, 11, 12, None, 3)} | {(8,): 2})
+    assert rows(kept, ["doc_id"]) == Counter({(k,): 1 for k in (1, 4, 6, 8, 9, 10, 11, 12, None, 3)})
+
+
+def test_keep_distinct_leaves_one_row_of_a_text(spark, no_docs):
+    docs = spark.createDataFrame(
+        [(None, "t", "a"), (None, "t", "b"), (None, "t", "b"), (5, "u", "x"), (5, "u", "y"), (4, "u", "z"), (None, "u", "w"), (7, None, "n"), (None, "", "m")],
+        "doc_id long, text string, source string")
+    kept = [tuple(r) for r in exact_dedup.keep_distinct(docs).collect()]
+    assert sorted(kept, key=str) == sorted((tuple(r) for r in exact_dedup.keep_distinct(docs.repartition(5)).collect()), key=str)
+    assert {(i, t) for i, t, _ in kept} == {(None, "t"), (5, "u"), (7, None)} and len(kept) == 3
+    assert exact_dedup.keep_distinct(no_docs).count() == 0
 
 
 def test_tree_deals_every_draw_once(sf_docs):
@@ -97,11 +125,31 @@ def test_quotas_are_uniform_subsets(spark):
         assert sum(q) == 200 * (src + 1) and max(abs(2 * x - sum(q)) for x in q) < 5 * sum(q) ** 0.5
 
 
+def near_targets(docs, out):
+    """Each source's words in the mix against its target: half a document off at most."""
+    def sizes(d):
+        by = {}
+        for r in d.select("source", "text").collect():
+            by.setdefault(r.source, []).append(len(re.findall(mixing.SPACED_WORD, r.text or "")))
+        return by
+
+    have, got = sizes(docs), sizes(out)
+    goal = {r.source: r.target for r in mixing.targets(mixing.sized(docs)).collect()}
+    for source, n in have.items():
+        assert abs(sum(got.get(source, [])) - goal[source]) <= max(n) / 2 + 1
+
+
+def test_mixed_documents_of_odd_rows(odd_docs, no_docs):
+    near_targets(odd_docs, mixing.mixed_documents(odd_docs))
+    assert mixing.mixed_documents(no_docs).count() == 0 and mixing.mixed_documents(no_docs).schema == no_docs.schema
+
+
 def test_mixed_documents(sf_docs):
     out = mixing.mixed_documents(sf_docs)
     assert out.columns == sf_docs.columns and out.schema == sf_docs.schema
-    words = lambda d: sum(len(re.findall(mixing.SPACED_WORD, r.text)) for r in d.select("text").collect())
-    assert abs(words(out) - 1.5 * words(sf_docs)) <= 20
+    near_targets(sf_docs, out)
+    whole = {(r.doc_id, r.text) for r in sf_docs.collect()}
+    assert all((r.doc_id, r.text) in whole for r in out.collect())
     assert max(Counter(r.doc_id for r in out.select("doc_id").collect()).values()) <= 2
 
 

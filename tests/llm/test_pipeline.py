@@ -1,11 +1,10 @@
 """The stages one by one against brute force, and the run as a whole."""
 
-import re
-
 import corpus_pipeline
 from broadsheet.llm import ngram_join, toxicity
 from broadsheet.llm.common import documents, table
 
+from .test_native import near_targets
 from .test_similar import brute_groups
 
 SF = "/root/testdata/sf0.01"
@@ -33,7 +32,7 @@ def test_stages(spark, tmp_path):
             groups = brute_groups(before.items(), ngram_join.Spec(5, 80, 100))
             assert sorted(r.doc_id for r in rows) == sorted(i for i, (_, c) in groups.items() if c == i)
         elif k == 3:
-            words = lambda t: len(re.findall(ngram_join.SPACED_WORD, t))
-            assert abs(sum(words(r.text) for r in rows) - 1.5 * sum(map(words, before.values()))) <= 20
+            near_targets(docs, after)
+            assert all(before[r.doc_id] == r.text for r in rows)
         docs = after
     assert counts[4] == counts[3] == corpus_pipeline.run(spark, SF).count()
