@@ -81,32 +81,46 @@ def escape_text(c: Column) -> Column:
     return F.regexp_replace(c, r"&amp;(#?[A-Za-z0-9]+;)", "&$1")
 
 
+_ATTRIBUTES = r"""(?:[^<>"']++|"[^"]*+"|'[^']*+')*+"""
+#: What markup consists of: an element whose content is raw text, a comment, a tag, whose quoted values may hold any bracket, or text.
+MARKUP = (
+    rf"(?is)<(?:script|style)\b{_ATTRIBUTES}>.*?</(?:script|style)\s*>|<!--.*?-->|<{_ATTRIBUTES}>|[^<]++|<"
+)
+_RAW_OPEN, _RAW_CLOSE = rf"(?is)^<(?:script|style)\b{_ATTRIBUTES}>", r"(?is)</(?:script|style)\s*>$"
+ATTRIBUTE = r"""[\s/][A-Za-z][-A-Za-z0-9_:]*\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'<>]+)"""
+
+
 def apply_tag_policy(html: Column) -> Column:
     """Drop tags outside the allowlist but keep their text.
 
-    The markup is split into tag and text tokens. Text is escaped, an unclosed tag
-    included. An allowed tag is rebuilt from its name; links keep the allowed
+    The markup is split into text, tags, comments and raw elements, each state with its own end, so that a bracket inside a
+    quoted value, a comment or a script ends nothing. Comments go; text is escaped, that of
+    scripts and an unclosed tag included. An allowed tag is rebuilt from its name; links keep the allowed
     attributes, quoted either way or not at all, and an address only if it starts
     with a safe scheme as it stands, so that no encoded scheme gets through.
     """
-    names = "|".join(ALLOWED_TAGS)
-    attributes = "|".join(ALLOWED_LINK_ATTRIBUTES)
-    tokens = F.regexp_extract_all(html, F.lit(r"<[^<>]*>|[^<]+|<"), F.lit(0))
+    tokens = F.regexp_extract_all(html, F.lit(MARKUP), F.lit(0))
 
     def attribute(found: Column) -> Column:
-        name = F.lower(F.regexp_extract(found, r"^\s*([A-Za-z]+)", 1))
-        value = F.regexp_replace(F.regexp_replace(found, r"^\s*[A-Za-z]+\s*=\s*", ""), r"""^["']|["']$""", "")
-        safe = (name != "href") | value.rlike(SAFE_ADDRESS)
+        name = F.lower(F.regexp_extract(found, r"^[\s/]([-A-Za-z0-9_:]+)", 1))
+        value = F.regexp_replace(F.regexp_replace(found, r"^[\s/][-A-Za-z0-9_:]+\s*=\s*", ""), r"""^["']|["']$""", "")
+        safe = name.isin(*ALLOWED_LINK_ATTRIBUTES) & ((name != "href") | value.rlike(SAFE_ADDRESS))
         return F.when(safe, F.concat(F.lit(" "), name, F.lit('="'), F.replace(escape_text(value), F.lit('"'), F.lit("&quot;")), F.lit('"'))).otherwise("")
 
-    def rebuild(token: Column) -> Column:
+    def tag(token: Column) -> Column:
         slash = F.regexp_extract(token, r"^<\s*(/?)", 1)
         name = F.lower(F.regexp_extract(token, r"^<\s*/?\s*([A-Za-z][A-Za-z0-9]*)", 1))
-        kept = F.regexp_extract_all(token, F.lit(rf"""(?i)\s(?:{attributes})\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'<>]+)"""), F.lit(0))
-        link = F.when((name == "a") & (slash == ""), F.array_join(F.transform(kept, attribute), "")).otherwise("")
-        allowed = name.rlike(rf"^(?:{names})$")
-        rebuilt = F.concat(F.lit("<"), slash, name, link, F.lit(">"))
-        return F.when(~token.rlike(r"^<[^<>]*>$"), escape_text(token)).when(allowed, rebuilt).otherwise("")
+        link = F.when((name == "a") & (slash == ""), F.array_join(F.transform(F.regexp_extract_all(token, F.lit(ATTRIBUTE), F.lit(0)), attribute), ""))
+        return F.when(name.isin(*ALLOWED_TAGS), F.concat(F.lit("<"), slash, name, F.coalesce(link, F.lit("")), F.lit(">"))).otherwise("")
+
+    def rebuild(token: Column) -> Column:
+        raw = F.regexp_replace(F.regexp_replace(token, _RAW_OPEN, ""), _RAW_CLOSE, "")
+        return (
+            F.when(~F.startswith(token, F.lit("<")) | (token == "<"), escape_text(token))
+            .when(F.startswith(token, F.lit("<!--")), "")
+            .when(token.rlike(r"(?i)^<(?:script|style)\b") & token.rlike(_RAW_CLOSE), escape_text(raw))
+            .otherwise(tag(token))
+        )
 
     return F.coalesce(F.array_join(F.transform(tokens, rebuild), ""), F.lit(""))
 
@@ -137,10 +151,11 @@ def url_host(url: Column) -> Column:
 
 
 def extract_urls(text: Column) -> Column:
-    """Distinct link targets and bare web addresses, in order of appearance."""
-    targets = F.regexp_extract_all(text, F.lit(r'(?i)\bhref\s*=\s*"([^"]+)"'), F.lit(1))
+    """Distinct link targets, quoted either way or not at all, and bare web addresses, in order of appearance."""
+    targets = F.regexp_extract_all(text, F.lit(r"""(?i)\bhref\s*=\s*(?:"[^"]+"|'[^']+'|[^\s"'<>]+)"""), F.lit(0))
+    named = F.transform(targets, lambda t: F.regexp_replace(F.regexp_replace(t, r"(?i)^href\s*=\s*", ""), r"""^["']|["']$""", ""))
     bare = F.regexp_extract_all(text, F.lit(r"""(?i)\bhttps?://[^\s"'<>()]+"""), F.lit(0))
-    return F.array_distinct(F.concat(targets, bare))
+    return F.array_distinct(F.concat(named, bare))
 
 
 def sender_address(sender: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import word_runs
 from ..schemas import CATCH_ALL, CLASSIFICATION, CONFIDENCES, KEYWORD_RULES, TAXONOMY
-from ..session import read_if_there
+from ..session import discard, materialise, read_if_there
 from .skew import join_skewed
 
 RESPONSE = "request_hash string, response string, attempts int, status string"
@@ -88,13 +88,15 @@ class CallProvider(ScoreProvider):
 
 def score(
     requests: DataFrame, provider: ScoreProvider, store_path: str, tasks: int | None = None,
-    calls_per_minute: float | None = None,
+    calls_per_minute: float | None = None, commits: int = 4,
 ) -> DataFrame:
     """Add ``response``, ``attempts``, ``status`` to ``requests`` by their ``prompt``.
 
     Equal prompts are scored once. Answers go to the table at ``store_path``
     before anyone reads them, so a second consumer repeats no call; requests
-    answered by an earlier run are skipped, failed ones are tried again. ``tasks``
+    answered by an earlier run are skipped, failed ones are tried again. The
+    requests are asked in ``commits`` parts, each written when it is done, so a
+    run that breaks off loses the answers of one part at most. ``tasks``
     bounds the concurrent callers, among whom ``calls_per_minute`` is divided.
     Keep ``spark.speculation`` off for paid calls.
     """
@@ -108,9 +110,14 @@ def score(
     done = read_if_there(spark, store_path, RESPONSE)
     if done is not None:
         wanted = wanted.join(done.where("status = 'ok'").select("request_hash").distinct(), "request_hash", "left_anti")
-    if tasks:
-        wanted = wanted.repartition(tasks)
-    wanted.mapInPandas(provider.score, RESPONSE).write.mode("append").parquet(store_path)
+    part = F.pmod(F.xxhash64("request_hash"), F.lit(commits))
+    wanted = materialise(wanted, "requests")
+    for number in range(commits):
+        asked = wanted.where(part == number)
+        if tasks:
+            asked = asked.repartition(tasks)
+        asked.mapInPandas(provider.score, RESPONSE).write.mode("append").parquet(store_path)
+    discard(wanted)
     answers = (
         spark.read.schema(RESPONSE).parquet(store_path)
         .groupBy("request_hash")

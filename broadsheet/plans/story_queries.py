@@ -181,7 +181,7 @@ def flaky_answer(prompt: str) -> str:
 @query("structured_score", "SELECT doc_id, length(text) AS chars, 'ok' AS status, 1 AS attempts FROM documents")
 def structured_score(spark, d):
     requests = table(spark, d, "documents").select("doc_id", F.col("text").alias("prompt"))
-    scored = scoring.score(requests, scoring.CallProvider(length_answer), new_folder(spark, "scores"), tasks=8)
+    scored = scoring.score(requests, scoring.CallProvider(length_answer), new_folder(spark, "scores"))
     chars = F.get_json_object("response", "$.chars").cast("long")
     return scored.select("doc_id", chars.alias("chars"), "status", "attempts")
 

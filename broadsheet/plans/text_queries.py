@@ -229,18 +229,21 @@ def tag_policy_audit(spark, d):
         "tag", F.col("tag").isin(*T.ALLOWED_TAGS).alias("allowed"), "n")
 
 
-# Markup put behind each page: script links, both kinds of quotes, unclosed tags, stray characters.
+# Markup put behind each page: script links, both kinds of quotes, unclosed tags, stray characters, brackets in quotes, comments and scripts.
 _NASTY = (
     """<a href="javascript:alert(1)" title='a "b"'>x</a>""", "<a href='https://ok.example/?a=1&b=2' rel=nofollow>y</a> & <b",
     """<img src=x onerror=alert(1)>1 < 2 > 0 &amp; &#106; <a href=" &#106;avascript:x">z</a>""", "<a HREF=mailto:a@b.example>m</a><img src=x onerror=",
+    """<a title="1 > 0 <b>" data-x=" href='https://no.example'" href=https://ok.example>q</a><p class='>'>r</p>""",
+    """<!-- <b>hidden</b> > --><b>shown</b><!-- unclosed <i>""",
+    """<script type="a>b">if (a<b) { x = "<p>"; }</script ><STYLE>p > a {}</STYLE><script>open""",
 )
-_NASTY_SQL = "CASE page_id % 4 " + " ".join(
+_NASTY_SQL = "CASE page_id % 7 " + " ".join(
     f"WHEN {k} THEN '{text.replace(chr(39), chr(39) * 2)}'" for k, text in enumerate(_NASTY)) + " END"
 
 
 def nasty_pages(spark, d) -> DataFrame:
     """Pages with added markup that a filter must not let through."""
-    nasty = F.element_at(F.array(*map(F.lit, _NASTY)), (F.col("page_id") % 4 + 1).cast("int"))
+    nasty = F.element_at(F.array(*map(F.lit, _NASTY)), (F.col("page_id") % 7 + 1).cast("int"))
     return table(spark, d, "pages").select("page_id", F.concat("html", nasty).alias("html"))
 
 
@@ -248,18 +251,25 @@ def _escape_text_sql(c: str) -> str:
     return f"regexp_replace(replace(replace(replace({c}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '&amp;(#?[A-Za-z0-9]+;)', '&\\1', 'g')"
 
 
-_VALUE_SQL = r"""regexp_replace(regexp_replace(x, '^\s*[A-Za-z]+\s*=\s*', ''), '^["'']|["'']$', '', 'g')"""
+_ATTRIBUTES_SQL = """(?:[^<>"'']+|"[^"]*"|''[^'']*'')*"""
+_MARKUP_SQL = rf"(?is)<(?:script|style)\b{_ATTRIBUTES_SQL}>.*?</(?:script|style)\s*>|<!--.*?-->|<{_ATTRIBUTES_SQL}>|[^<]+|<"
+_NAME_SQL = r"lower(regexp_extract(x, '^[\s/]([-A-Za-z0-9_:]+)', 1))"
+_VALUE_SQL = r"""regexp_replace(regexp_replace(x, '^[\s/][-A-Za-z0-9_:]+\s*=\s*', ''), '^["'']|["'']$', '', 'g')"""
+_RAW_SQL = rf"regexp_replace(regexp_replace(t, '(?is)^<(?:script|style)\b{_ATTRIBUTES_SQL}>', ''), '(?is)</(?:script|style)\s*>$', '')"
 
 
 @query("tag_policy_strip", rf"""
-SELECT page_id, array_to_string(list_transform(regexp_extract_all(html || {_NASTY_SQL}, '<[^<>]*>|[^<]+|<'), lambda t:
-  CASE WHEN NOT regexp_matches(t, '^<[^<>]*>$') THEN {_escape_text_sql('t')}
+SELECT page_id, array_to_string(list_transform(regexp_extract_all(html || {_NASTY_SQL}, '{_MARKUP_SQL}'), lambda t:
+  CASE WHEN t = '<' OR NOT starts_with(t, '<') THEN {_escape_text_sql('t')}
+       WHEN starts_with(t, '<!--') THEN ''
+       WHEN regexp_matches(t, '(?is)^<(?:script|style)\b.*</(?:script|style)\s*>$') THEN {_escape_text_sql(_RAW_SQL)}
        WHEN lower(regexp_extract(t, '^<\s*/?\s*([A-Za-z][A-Za-z0-9]*)', 1)) IN ({_TAG_LIST}) THEN
          '<' || regexp_extract(t, '^<\s*(/?)', 1) || lower(regexp_extract(t, '^<\s*/?\s*([A-Za-z][A-Za-z0-9]*)', 1)) ||
          CASE WHEN regexp_matches(t, '(?i)^<\s*a\b') THEN array_to_string(list_transform(
-             regexp_extract_all(t, '(?i)\s(?:href|title|target|rel)\s*=\s*(?:"[^"]*"|''[^'']*''|[^\s"''<>]+)'), lambda x:
-             CASE WHEN lower(regexp_extract(x, '^\s*([A-Za-z]+)', 1)) = 'href' AND NOT regexp_matches({_VALUE_SQL}, '(?i)^\s*(?:https?://|mailto:)') THEN ''
-                  ELSE ' ' || lower(regexp_extract(x, '^\s*([A-Za-z]+)', 1)) || '="' || replace({_escape_text_sql(_VALUE_SQL)}, '"', '&quot;') || '"' END), '')
+             regexp_extract_all(t, '[\s/][A-Za-z][-A-Za-z0-9_:]*\s*=\s*(?:"[^"]*"|''[^'']*''|[^\s"''<>]+)'), lambda x:
+             CASE WHEN {_NAME_SQL} NOT IN ('href', 'title', 'target', 'rel') THEN ''
+                  WHEN {_NAME_SQL} = 'href' AND NOT regexp_matches({_VALUE_SQL}, '(?i)^\s*(?:https?://|mailto:)') THEN ''
+                  ELSE ' ' || {_NAME_SQL} || '="' || replace({_escape_text_sql(_VALUE_SQL)}, '"', '&quot;') || '"' END), '')
            ELSE '' END || '>'
        ELSE '' END), '') AS kept FROM pages""")
 def tag_policy_strip(spark, d):
@@ -280,11 +290,15 @@ def clean_url(spark, d):
 
 @query("extract_urls", r"""
 SELECT DISTINCT page_id, found AS url FROM (
-  SELECT page_id, unnest(list_concat(regexp_extract_all(t, '(?i)\bhref\s*=\s*"([^"]+)"', 1),
+  SELECT page_id, unnest(list_concat(list_transform(regexp_extract_all(t, '(?i)\bhref\s*=\s*(?:"[^"]+"|''[^'']+''|[^\s"''<>]+)'),
+           lambda x: regexp_replace(regexp_replace(x, '(?i)^href\s*=\s*', ''), '^["'']|["'']$', '', 'g')),
          regexp_extract_all(t, '(?i)\bhttps?://[^\s"''<>()]+'))) AS found
-  FROM (SELECT page_id, url || ' ' || html AS t FROM pages))""")
+  FROM (SELECT page_id, url || ' ' || html || CASE page_id % 3 WHEN 0 THEN '<a href=''/one''>' WHEN 1 THEN '<a HREF=/two>' ELSE '' END AS t FROM pages))""")
 def extract_urls(spark, d):
-    text = F.concat_ws(" ", "url", "html")
+    """Every third page ends with a link in single quotes, another one with a link without quotes."""
+    rest = F.col("page_id") % 3
+    more = F.when(rest == 0, "<a href='/one'>").when(rest == 1, "<a HREF=/two>").otherwise("")
+    text = F.concat(F.concat_ws(" ", "url", "html"), more)
     return table(spark, d, "pages").select("page_id", F.explode(T.extract_urls(text)).alias("url"))
 
 

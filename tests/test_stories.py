@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from broadsheet.operators import scoring, stories
@@ -115,3 +116,28 @@ def test_step_down_and_rate(spark, tmp_path):
     scored = scoring.score(requests, provider, str(tmp_path / "s"), tasks=1, calls_per_minute=6000)
     assert {(r.response, r.attempts, r.status) for r in scored.collect()} == {("X", 3, "ok"), ("Y", 3, "ok")}
     assert provider.at_rate(30).calls_per_minute == 30
+
+
+class Breaks(scoring.ScoreProvider):
+    """Answers everything but fails the task at one prompt."""
+
+    def __init__(self, at):
+        self.at = at
+
+    def score(self, batches):
+        for batch in batches:
+            if self.at in set(batch["prompt"]):
+                raise RuntimeError("the task dies")
+            yield batch.assign(response="paid", attempts=1, status="ok")[["request_hash", "response", "attempts", "status"]]
+
+
+def test_a_run_that_breaks_keeps_the_parts_it_has_paid_for(spark, tmp_path):
+    requests = spark.createDataFrame([(f"p{i}",) for i in range(40)], "prompt string")
+    part = F.pmod(F.xxhash64(F.sha2("prompt", 256)), F.lit(4))
+    counts = {r.part: (r.n, r.one) for r in requests.groupBy(part.alias("part")).agg(F.count("*").alias("n"), F.min("prompt").alias("one")).collect()}
+    store = str(tmp_path / "s")
+    with pytest.raises(Exception, match="the task dies"):
+        scoring.score(requests, Breaks(counts[2][1]), store)
+    assert spark.read.parquet(store).count() == counts[0][0] + counts[1][0]
+    done = scoring.score(requests, scoring.CallProvider(str.upper), store).groupBy("response").count().collect()
+    assert sum(r["count"] for r in done) == 40 and {r.response: r["count"] for r in done}["paid"] == counts[0][0] + counts[1][0]

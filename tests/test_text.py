@@ -83,3 +83,18 @@ def test_urls(spark):
 def test_titles(spark, title, want):
     now = F.lit(datetime(2024, 1, 30, 8))
     assert values(spark, [title], lambda c: T.fill_title(c, now)) == [want]
+
+
+def test_markup_states(spark):
+    """Brackets in quotes, comments and scripts end nothing, and nothing in there is markup."""
+    rows = [
+        """<a title="1 > 0 <b>" href='https://ok.example/?a=">"'>q</a>""", "<p class='>'>r</p>", "<!-- <b>x</b> > -->y", "z<!-- open <i>w",
+        """<script type="a>b">if (a<b) { x = "<p>"; }</script >t""", "<STYLE>p > a {}</style><script>open <b>b</b>",
+        """<a data-x=" href='https://no.example'" href=https://ok.example/>s</a>""", """<a href="https://no.example>t""", "<" * 5 + "b>" + "<" + "x" * 20000,
+    ]
+    assert values(spark, rows, T.apply_tag_policy)[:8] == [
+        """<a title="1 &gt; 0 &lt;b&gt;" href="https://ok.example/?a=&quot;&gt;&quot;">q</a>""", "<p>r</p>", "y", "z&lt;!-- open <i>w",
+        """if (a&lt;b) { x = "&lt;p&gt;"; }t""", "p &gt; a {}open <b>b</b>",
+        """<a href="https://ok.example/">s</a>""", """&lt;a href="https://no.example&gt;t""",
+    ]
+    assert values(spark, ["""<a href='/one'><a HREF = /two> <a href="/three">"""], T.extract_urls) == [["/one", "/two", "/three"]]
