@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -28,27 +28,21 @@ def body_from_parts(parts: Column) -> Column:
     def visible(loaded: Column) -> Column:
         return F.filter(loaded, lambda p: ~F.exists(loaded, lambda q: covers(q, p)))
 
-    def decoded(p: Column) -> Column:
-        text = decode_b64url(p["data"])
-        return F.struct(
-            p["part_path"].alias("path"),
-            p["mime"].alias("mime"),
-            F.when(p["mime"] == "text/html", html_to_text(text)).otherwise(text).alias("text"),
-        )
+    def first(shown: Column, mime: str, read: Callable[[Column], Column]) -> Column:
+        """Text of the first part of the type that has any; null without one."""
+        of_type = F.filter(shown, lambda p: p["mime"] == mime)
+        texts = F.transform(of_type, lambda p: F.struct(p["part_path"].alias("path"), read(decode_b64url(p["data"])).alias("text")))
+        return F.array_min(F.filter(texts, lambda t: t["text"] != ""))["text"]
 
-    def ranked(p: Column) -> Column:
-        filled = p["text"] != ""
-        rank = (
-            F.when(F.size(p["path"]) == 0, 0)
-            .when((p["mime"] == "text/plain") & filled, 0)
-            .when((p["mime"] == "text/html") & filled, 1)
-        )
-        return F.struct(rank.alias("rank"), p["path"].alias("path"), p["text"].alias("text"))
+    def choose(shown: Column) -> Column:
+        # A root with data hides all else. Html is only decoded where no plain part has text.
+        root = F.get(F.filter(shown, lambda p: F.size(p["part_path"]) == 0), F.lit(0))
+        text = decode_b64url(root["data"])
+        return F.when(root.isNotNull(), F.when(root["mime"] == "text/html", html_to_text(text)).otherwise(text)).otherwise(
+            F.coalesce(first(shown, "text/plain", lambda t: t), first(shown, "text/html", html_to_text)))
 
     loaded = F.filter(parts, lambda p: F.coalesce(p["data"], F.lit("")) != "")
-    choices = F.transform(F.transform(bind(loaded, visible), decoded), ranked)
-    best = F.array_min(F.filter(choices, lambda c: c["rank"].isNotNull()))
-    return F.coalesce(best["text"], F.lit(""))
+    return F.coalesce(bind(bind(loaded, visible), choose), F.lit(""))
 
 
 def select_bodies(parts: DataFrame, key: Sequence[str] = ("account", "message_id")) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..operators.stories import extract_stories
 from ..streaming import jobs, memory, sink
 from . import views as V
+from .story_queries import _HITS
+from .text_queries import _TO_TEXT, b64url
 from .views import sql, table
 
 Q: dict = {}
@@ -23,15 +24,6 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
-def table_stream(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return jobs.read_files(spark, d, table(spark, d, name).schema, name_filter=f"{name}.parquet")
-
-
-def mail_stream(spark, d) -> DataFrame:
-    mail = V.messages_of(table_stream(spark, d, "documents"))
-    return mail.withColumn("received_at", F.col("received_at").cast("timestamp"))
-
-
 def timed(df: DataFrame, at: str = "received_at") -> DataFrame:
     return df.withColumn(at, F.col(at).cast("timestamp"))
 
@@ -50,14 +42,37 @@ def zoneless(df: DataFrame, *columns: str) -> DataFrame:
     return df
 
 
-@query("stream_ingest", sql(r"""
-SELECT account, message_id, line AS summary FROM (SELECT account, message_id, unnest(string_split(body, chr(10))) AS line FROM messages)
-WHERE regexp_matches(line, '[^\s\x0b]') AND NOT regexp_matches(line, '(?i)unsubscribe|privacy policy|view in (your )?browser|all rights reserved')""", "messages"))
+def exported(spark, d) -> DataFrame:
+    """The documents as exported mail: headers, and a tree of parts in which some have no data."""
+    doc_id, text = F.col("doc_id"), F.col("text")
+
+    def part(path: list[int], mime: str, data: Column) -> Column:
+        return F.struct(F.array(*map(F.lit, path)).cast("array<int>").alias("part_path"), F.lit(mime).alias("mime"), data.alias("data"))
+
+    tree = F.array(
+        part([], "multipart/mixed", F.lit(None).cast("string")),
+        part([0], "text/plain", F.when(doc_id % 2 == 0, b64url(text))),
+        part([1, 0], "text/html", b64url(F.concat(F.lit("<p>"), text, F.lit("</p>")))),
+        part([1, 1], "text/plain", F.when(doc_id % 3 == 0, b64url(F.concat(F.lit("alt "), text)))),
+    )
+    header = lambda name, value: F.struct(F.lit(name).alias("name"), value.alias("value"))
+    return table(spark, d, "documents").select(
+        F.lit("acct").alias("account"), doc_id.cast("string").alias("message_id"), V.received_at(doc_id).cast("timestamp").alias("received_at"),
+        F.array(header("Subject", F.substring_index(text, "\n", 1)), header("From", F.col("source"))).alias("headers"), tree.alias("parts"))
+
+
+@query("stream_ingest", rf"""
+WITH bodies AS (SELECT doc_id, split_part(text, chr(10), 1) AS subject, CASE WHEN doc_id % 2 = 0 THEN text WHEN doc_id % 3 = 0 THEN 'alt ' || text
+    ELSE {_TO_TEXT.format(c="'<p>' || text || '</p>'")} END AS body FROM documents),
+ judged AS (SELECT doc_id, body, list_sort(s, 'DESC')[1] AS best FROM (SELECT doc_id, body, [{_HITS}] AS s FROM (
+   SELECT doc_id, body, ' ' || trim(regexp_replace(lower(subject || chr(10) || body), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) || ' ' AS t FROM bodies)))
+SELECT doc_id::VARCHAR AS message_id, category, line AS summary FROM (
+  SELECT doc_id, best.category AS category, unnest(string_split(body, chr(10))) AS line FROM judged WHERE best.hits > 0)
+WHERE regexp_matches(line, '[^\s\x0b]') AND NOT regexp_matches(line, '(?i)unsubscribe|privacy policy|view in (your )?browser|all rights reserved')""")
 def stream_ingest(spark, d):
-    """Stories extracted from a message stream by the batch projection."""
-    told = extract_stories(mail_stream(spark, d))
-    out = jobs.run_to_table(told.select("source_account", "original_email_id", "summary"), "ingest")
-    return out.select(F.col("source_account").alias("account"), F.col("original_email_id").alias("message_id"), "summary")
+    """Exported mail to stories as a stream: body choice, classification and extraction, in two batches."""
+    told = jobs.replayed_table(exported(spark, d), "received_at", jobs.ingest, closing=None)
+    return told.select(F.col("original_email_id").alias("message_id"), F.col("email_primary_category").alias("category"), "summary")
 
 
 @query("stream_dedup", sql("SELECT account, message_id, received_at FROM messages", "messages"))

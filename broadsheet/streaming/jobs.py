@@ -11,6 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..operators.mime import to_messages
+from ..operators.scoring import classify_rules, news_only
+from ..operators.stories import extract_stories
 from ..session import new_folder
 
 
@@ -27,6 +30,13 @@ def read_files(
     return reader.load(path)
 
 
+def ingest(
+    export: DataFrame, classify: Callable[[DataFrame], DataFrame] = classify_rules, extract: Callable[[DataFrame], DataFrame] = extract_stories,
+) -> DataFrame:
+    """Stories of exported mail, row by row: headers and body, classification, news only, items. No state, so batches do not matter."""
+    return extract(news_only(classify(to_messages(export))))
+
+
 def drop_redelivered(stream: DataFrame, delay: str = "2 days", at: str = "received_at", key=("account", "message_id")) -> DataFrame:
     """First delivery of every message within ``delay``."""
     return stream.withWatermark(at, delay).dropDuplicatesWithinWatermark(list(key))
