@@ -573,7 +573,7 @@ WITH told AS (SELECT category, row_number() OVER (PARTITION BY item_id, category
 SELECT category, 'Merged: ' || title AS title, n || ' reports' AS summary, CASE WHEN same THEN 'duplicate' ELSE 'similar' END AS group_type,
   n AS original_count, list_min(ids) AS first_item_id FROM accepted
 UNION ALL SELECT category, title, summary, 'unique', 1, id FROM told t
-WHERE NOT EXISTS (SELECT 1 FROM grouped g WHERE g.category = t.category AND g.id = t.id)""".replace("\\s", "\s"), "news_placed"))
+WHERE NOT EXISTS (SELECT 1 FROM grouped g WHERE g.category = t.category AND g.id = t.id)""", "news_placed"))
 def model_groups_run(spark, d):
     """A whole run over all mail in which a provider proposes the groups, block by block, some without success."""
     labels = V.classification(spark, d)

@@ -148,7 +148,7 @@ def story_memory(spark, d):
    SELECT p.doc_id, q.doc_id FROM printed p JOIN printed q USING (fingerprint)),
  latest AS (SELECT x.story_id, max(y.received_at) AS before FROM printed x JOIN near ON a = x.doc_id JOIN printed y ON y.doc_id = b
    WHERE (y.received_at, y.story_id) < (x.received_at, x.story_id) AND y.received_at > x.received_at - INTERVAL 7 DAY GROUP BY ALL)
-SELECT story_id, CAST(received_at AS DATE) AS digest_date, received_at FROM printed WHERE story_id NOT IN (SELECT story_id FROM latest)""".replace("\\s", "\s"), "text_pairs"))
+SELECT story_id, CAST(received_at AS DATE) AS digest_date, received_at FROM printed WHERE story_id NOT IN (SELECT story_id FROM latest)""", "text_pairs"))
 def digest_sink(spark, d):
     """Stories archived by date, batch by batch, unless an equal or similar text came in the seven days before."""
     told = covered(spark, d).withColumn("digest_date", F.to_date("received_at"))
