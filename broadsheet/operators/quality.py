@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..schemas import CONFIDENCES
+from ..session import materialise
 
 #: Weight of each confidence level, from the highest down to 0.
 LEVELS = {level: 1 - i / (len(CONFIDENCES) - 1) for i, level in enumerate(CONFIDENCES)}
@@ -19,12 +20,12 @@ def source_quality(mail: DataFrame, prior: float = 20.0) -> DataFrame:
     """
     level = F.create_map(*[F.lit(x) for pair in LEVELS.items() for x in pair])
     score = F.when(F.col("is_news"), F.coalesce(F.try_element_at(level, F.col("confidence")), F.lit(0.0))).otherwise(0.0)
-    by_sender = mail.groupBy("sender").agg(
-        F.count("*").alias("n_mails"), F.count_if("is_news").alias("n_news"), F.sum(score).alias("_score"))
-    whole = by_sender.agg((F.sum("_score") / F.sum("n_mails")).alias("_mean"))
-    return by_sender.join(F.broadcast(whole), F.col("_mean").isNotNull()).select(
+    by_sender = materialise(mail.groupBy("sender").agg(
+        F.count("*").alias("n_mails"), F.count_if("is_news").alias("n_news"), F.sum(score).alias("_score")), "senders")
+    mean = by_sender.agg(F.sum("_score") / F.sum("n_mails")).first()[0]
+    return by_sender.select(
         "sender", "n_mails", "n_news", (F.col("_score") / F.col("n_mails")).alias("confidence"),
-        ((F.col("_score") + prior * F.col("_mean")) / (F.col("n_mails") + prior)).alias("quality"))
+        ((F.col("_score") + prior * F.lit(mean)) / (F.col("n_mails") + prior)).alias("quality"))
 
 
 def confusion(judged: DataFrame, predicted: str, actual: str) -> DataFrame:

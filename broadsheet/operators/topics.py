@@ -143,9 +143,9 @@ def topic_series(items: DataFrame, topic: str, day: str) -> DataFrame:
     """(topic, day, n): stories per topic on every day from the first to the last of the table, days without any included."""
     counted = items.where(F.col(topic).isNotNull() & F.col(day).isNotNull()).groupBy(F.col(topic).alias("topic"), F.col(day).alias("day")).agg(F.count("*").alias("n"))
     counted = materialise(counted, "topic-days")
-    span = counted.agg(F.min("day").alias("_first"), F.max("day").alias("_last"))
-    every = counted.select("topic").distinct().join(F.broadcast(span.withColumn("_one", F.lit(1))), F.col("_one") == 1).select(
-        "topic", F.explode(F.sequence("_first", "_last")).alias("day"))
+    first, last = counted.agg(F.min("day"), F.max("day")).first()
+    days = F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))
+    every = counted.select("topic").distinct().select("topic", F.explode(days).alias("day"))
     return every.join(counted, ["topic", "day"], "left").select("topic", "day", F.coalesce("n", F.lit(0)).alias("n"))
 
 

@@ -247,6 +247,23 @@ def classify_mllib(spark, d):
     return scoring.classify_trained(mail, examples).select("message_id", "is_news")
 
 
+@query("classify_bayes", sql(r"""
+WITH said AS (SELECT message_id, list_distinct(list_filter(string_split_regex(lower(subject || chr(10) || body), '[^\p{L}\p{N}]+'), lambda w: w <> '')) AS ws FROM messages),
+ examples AS (SELECT ws, quality = 1 AS is_news FROM said JOIN labels ON doc_id = message_id),
+ totals AS (SELECT count(*) FILTER (is_news) AS news, count(*) FILTER (NOT is_news) AS others FROM examples),
+ weighed AS (SELECT word, ln((count(*) FILTER (is_news) + 1) / (any_value(news) + 2)) - ln((count(*) FILTER (NOT is_news) + 1) / (any_value(others) + 2)) AS weight
+   FROM (SELECT unnest(ws) AS word, is_news FROM examples), totals GROUP BY word),
+ summed AS (SELECT message_id, sum(weight) AS odds FROM (SELECT message_id, unnest(ws) AS word FROM said) JOIN weighed USING (word) GROUP BY message_id)
+SELECT message_id, round(odds, 6) AS log_odds, odds > 0 AS is_news FROM (
+  SELECT m.message_id, ln((news + 1) / (others + 1)) + coalesce(odds, 0) AS odds FROM messages m CROSS JOIN totals LEFT JOIN summed s ON s.message_id = m.message_id)""", "messages"))
+def classify_bayes(spark, d):
+    """Judged from the counts of the labelled messages' words."""
+    mail = V.messages(spark, d)
+    labelled = table(spark, d, "labels").select(F.col("doc_id").alias("message_id"), (F.col("quality") == 1).alias("is_news"))
+    examples = mail.join(labelled, "message_id").select("subject", "body", "is_news")
+    return scoring.classify_counts(mail, examples).select("message_id", F.round("log_odds", 6).alias("log_odds"), "is_news")
+
+
 # ---- extraction and placement --------------------------------------------
 
 @query("extract_stories", sql("""
