@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.components import clusters
-from ..session import materialise
+from ..session import discard, intermediate, materialise
 from .common import SPACED_WORD, lower_ascii, whole_text, words
 
 BUCKET_BITS = 20
@@ -156,20 +156,27 @@ def features(hashed: DataFrame, counts: np.ndarray, spec: Spec) -> DataFrame:
     return hashed.mapInArrow(describe, "doc_id long, n int, key binary, rare array<bigint>, bits array<bigint>")
 
 
-def tiles(prefixes: DataFrame, sets: DataFrame, spec: Spec) -> DataFrame:
+def tiles(prefixes: DataFrame, spec: Spec) -> DataFrame:
     """(token, band, id, n, guest): rows of the tiles that hold more than one set.
 
-    A set is at home in its own size band and a guest in the next larger one.
+    A set is at home in its own size band and a guest in the next larger one. A token's rows move once to find
+    the tokens that sets share and once to stay with them; sizes travel along.
     """
-    postings = prefixes.select(F.explode("rare").alias("token"), "id")
+    postings = prefixes.select(F.explode("rare").alias("token"), "id", "n")
     shared = postings.groupBy("token").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("token")
-    found = materialise(postings.join(shared, "token"), "postings").join(sets.select("id", "n"), "id")
+    found = materialise(postings.join(shared, "token"), "postings")
     band = F.floor(F.log(F.col("n")) / float(np.log(spec.den / spec.num))).cast("int")
+    # A tile is live if a set is at home in it and another one, at home or a guest, is there too: read off the
+    # smallest and largest id of every token and band.
+    homes = found.groupBy("token", band.alias("own")).agg(F.min("id").alias("a"), F.max("id").alias("b"))
     places = F.array(F.struct(F.lit(0).alias("up"), F.lit(False).alias("guest")), F.struct(F.lit(1).alias("up"), F.lit(True).alias("guest")))
+    live = homes.select("token", "own", "a", "b", F.explode(places).alias("at")).groupBy("token", (F.col("own") + F.col("at.up")).alias("band")).agg(
+        F.min("a").alias("a"), F.max("b").alias("b"), F.min("at.guest").alias("g")).where("a <> b AND NOT g").select("token", "band")
+    live = materialise(live, "live")
     rows = found.select("token", band.alias("own"), "id", "n", F.explode(places).alias("at")).select(
         "token", (F.col("own") + F.col("at.up")).alias("band"), "id", "n", "at.guest"
     )
-    return _live(rows, "id")
+    return rows.join(live, ["token", "band"])
 
 
 def _live(rows: DataFrame, unit: str) -> DataFrame:
@@ -374,18 +381,28 @@ def _arrays(docs: DataFrame, wanted: DataFrame, spec: Spec) -> DataFrame:
 
 def similar_sets(docs: DataFrame, spec: Spec = Spec()) -> tuple[DataFrame, DataFrame]:
     """Documents -> (features of all, (id, comp) of the sets with links); a set goes by the smallest id that has it."""
-    hashed = word_hashes(docs)
-    described = materialise(features(hashed, bucket_counts(hashed, spec.width), spec), "shingle-sets")
-    firsts = described.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("id"))
-    own = described.join(firsts.withColumnRenamed("key", "k"), (F.col("key") == F.col("k")) & (F.col("doc_id") == F.col("id")))
-    sets = materialise(own.select("id", "n", "bits").dropDuplicates(["id", "n"]), "sets")
-    rows = materialise(tiles(own.select("id", "rare"), sets, spec), "tiles")
-    arrays = materialise(_arrays(docs, rows.select("id").distinct(), spec), "set-arrays")
-    comps = None
-    for turn in range(2):
-        comps = _grown(comps, verified(leader_pairs(rows, turn, spec), sets, arrays, spec))
-        rows = materialise(_live(_with_components(rows, comps), "comp"), "tiles")
-    return described, _grown(comps, _rest_links(rows, sets, arrays, spec))
+    spark = docs.sparkSession
+    with intermediate(spark) as keep:
+        hashed = word_hashes(docs)
+        described = keep(materialise(features(hashed, bucket_counts(hashed, spec.width), spec), "shingle-sets"))
+        firsts = described.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("id"))
+        own = described.join(firsts.withColumnRenamed("key", "k"), (F.col("key") == F.col("k")) & (F.col("doc_id") == F.col("id")))
+        sets = materialise(own.select("id", "n", "bits").dropDuplicates(["id", "n"]), "sets")
+        with intermediate(spark) as hold:
+            rows = hold(materialise(tiles(own.select("id", "rare", "n"), spec), "tiles"))
+        arrays = materialise(_arrays(docs, rows.select("id").distinct(), spec), "set-arrays")
+        comps = None
+        # What a step has read is deleted as soon as its results are written.
+        for turn in range(2):
+            with intermediate(spark) as hold:
+                grown = hold(_grown(comps, verified(leader_pairs(rows, turn, spec), sets, arrays, spec)))
+                left = hold(materialise(_live(_with_components(rows, grown), "comp"), "tiles"))
+            discard(rows)
+            comps, rows = grown, left
+        with intermediate(spark) as hold:
+            comps = hold(_grown(comps, _rest_links(rows, sets, arrays, spec)))
+        keep(comps)
+    return described, comps
 
 
 def components(docs: DataFrame, spec: Spec = Spec()) -> DataFrame:
@@ -413,3 +430,24 @@ def keep_representatives(docs: DataFrame, spec: Spec = Spec()) -> DataFrame:
     """One document of each group, the one with the smallest id, with all its columns; rows without an id stay."""
     drop = components(docs, spec).where("doc_id <> component_id").select(F.col("doc_id").alias("dropped")).distinct()
     return docs.join(drop, F.col("doc_id") == F.col("dropped"), "left_anti")
+
+
+# For documents with different ids.
+SQL = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 3], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM split WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+), links AS (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM grams x JOIN grams y ON x.gram = y.gram AND x.doc_id < y.doc_id GROUP BY ALL)
+  JOIN sizes na ON na.doc_id = a JOIN sizes nb ON nb.doc_id = b WHERE 100 * shared >= 85 * (na.n + nb.n - shared)
+), reach AS (
+  SELECT doc_id AS id, doc_id AS root FROM documents UNION
+  SELECT e.v, r.root FROM reach r JOIN (SELECT a AS u, b AS v FROM links UNION ALL SELECT b, a FROM links) e ON r.id = e.u AND r.root < e.v
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, root AS component_id FROM documents LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT id AS doc_id, min(root) AS root FROM reach GROUP BY id) USING (doc_id)
+"""

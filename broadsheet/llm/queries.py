@@ -23,6 +23,8 @@ QUERIES = {
 
 ORACLES = {
     "op1_license_scan": license_scan.sql(),
+    "op4_ngram_jaccard": ngram_join.SQL,
+    "op8_suffix_dedup": suffix_dedup.SQL,
     "op9_source_mixing": mixing.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
     "op13_conv_trie": conv_trie.SQL,
