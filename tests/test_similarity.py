@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.config import SimilarityConfig
 from broadsheet.operators.components import clusters
-from broadsheet.operators.similarity import lsh_links, shingle_sets, similar_links
+from broadsheet.operators.similarity import lsh_links, piece_postings, shingle_sets, similar_links
 
 
 def grams(text, width=3):
@@ -114,3 +114,44 @@ def test_components_of_chains_and_hubs(spark):
     want = {("c", i): 100 for i in range(100, 161)} | {("h", i): 500 for i in range(500, 900)}
     want |= {("c", 1): 1, ("c", 2): 1, ("c", 3): 3, ("c", 4): 3, ("c", 5): 3}
     assert got == want
+
+
+def near_texts(seed, n_templates=60):
+    """Texts of 5 to 600 words and copies with just over and just under the changes that the threshold allows."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    passage = [rng.choice(vocabulary) for _ in range(30)]
+    rows = []
+    for _ in range(n_templates):
+        template = [rng.choice(vocabulary) for _ in range(rng.choice([5, 9, 20, 32, 33, 34, 39, 40, 41, 63, 64, 66, 79, 82, 127, 130, 300, 600]))]
+        if rng.random() < 0.3:
+            template += passage
+        rows.append(template)
+        for _ in range(3):
+            words, share = list(template), rng.choice([0.02, 0.03, 0.035, 0.04, 0.05])
+            for at in rng.sample(range(len(words)), max(1, round(len(words) * share))):
+                words[at] = f"x{rng.randrange(10**6)}"
+            cut = rng.choice([0, 0, len(words) // 12, len(words) // 8, len(words) // 6])
+            rows.append(words[cut:])
+    return [("s", i, " ".join(words)) for i, words in enumerate(rows)]
+
+
+@pytest.mark.parametrize("limit", [2, 100])
+def test_pieces_lose_no_pair(spark, limit):
+    """Pairs on both sides of the threshold and of every change of level."""
+    rows = near_texts(5)
+    config = SimilarityConfig(posting_limit=limit)
+    sets = shingle_sets(spark.createDataFrame(rows, "scope string, id long, text string"), config)
+    got = {(r.scope, r.id): r.cluster_id for r in clusters(similar_links(sets, config)).collect()}
+    want = brute_clusters(rows)
+    assert len(want) > 60 and got == want
+
+
+def test_shared_passages_are_no_candidates(spark):
+    """Long texts that share a frequent passage meet nobody in the search for near copies."""
+    rng = random.Random(7)
+    passage = [f"p{i}" for i in range(40)]
+    rows = [("s", i, " ".join([f"w{rng.randrange(10**6)}" for _ in range(160)] + passage)) for i in range(300)]
+    sets = shingle_sets(spark.createDataFrame(rows, "scope string, id long, text string"))
+    assert piece_postings(sets, SimilarityConfig()).isEmpty()
+    assert similar_links(sets).isEmpty()
