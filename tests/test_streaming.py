@@ -159,3 +159,15 @@ def test_stage_progress_of_a_stream(spark, tmp_path):
     finally:
         spark.streams.removeListener(listener)
     assert {(r.stage, r.batch_id, r.n) for r in listener.table(spark).collect()} == {("mail", 0, 2), ("kept", 0, 1), ("mail", 1, 1), ("kept", 1, 1)}
+
+
+def test_coverage_runs_in_a_session_without_settings(spark, two_tasks):
+    """Spark's default state store holds no timers, and a session that get_session did not make has it."""
+    ours = spark.conf.get(memory.STATE_STORE)
+    spark.conf.set(memory.STATE_STORE, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        mail = spark.createDataFrame([row(1, 0, "a"), row(2, 1, "A"), row(3, 200, "a")], SCHEMA)
+        out = jobs.replayed_table(mail, "received_at", lambda s: memory.first_coverage(s, "body", ("message_id",), days=5), 1)
+        assert sorted(r.message_id for r in out.collect()) == [1, 3]
+    finally:
+        spark.conf.set(memory.STATE_STORE, ours)
