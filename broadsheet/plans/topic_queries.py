@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import quality, topics
+from ..operators.digest import index_items
 from ..operators.stories import in_taxonomy
 from ..schemas import CATCH_ALL
 from . import views as V
@@ -32,7 +33,9 @@ def _terms_sql(text: str) -> str:
 def sectioned(spark, d) -> DataFrame:
     """The day's items in their primary category."""
     category = F.when(in_taxonomy(F.col("email_primary_category")), F.col("email_primary_category")).otherwise(CATCH_ALL)
-    return V.dated_items(spark, d).select("digest_date", category.alias("category"), "idx", "title", "summary")
+    told = V.items(spark, d).select(
+        F.to_date("received_at").alias("digest_date"), category.alias("category"), "title", "summary", "received_at", "item_id")
+    return index_items(told, ["received_at", "item_id"]).select("digest_date", "category", "idx", "title", "summary")
 
 
 _SECTIONED = f"""
