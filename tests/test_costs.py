@@ -1,6 +1,7 @@
 """Steps whose results stay but that once moved, wrote or computed much more."""
 
 from broadsheet.operators import similarity
+from broadsheet.operators.scoring import classify_rules, news_only
 
 
 def test_lsh_moves_only_sets_of_stories_that_meet(spark, monkeypatch):
@@ -16,3 +17,9 @@ def test_lsh_moves_only_sets_of_stories_that_meet(spark, monkeypatch):
     assert [(r["a"], r["b"]) for r in links.collect()] == [(3, 20)]
     assert "_h" not in tables["minhash"].columns
     assert sorted(r["id"] for r in tables["meeting-sets"].collect()) == [3, 20]
+
+
+def test_news_filter_does_not_repeat_the_text(spark, plan, tmp_path):
+    path = str(tmp_path / "mail")
+    spark.createDataFrame([("a b", "c d")], "subject string, body string").write.parquet(path)
+    assert plan(news_only(classify_rules(spark.read.parquet(path)))).count("lower(concat_ws") <= 6
