@@ -129,7 +129,8 @@ def archive_unseen(
     day = F.to_date(F.timestamp_micros("last_us"))
 
     def put(df: DataFrame, name: str, *parts: str) -> None:
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts, "batch_id").parquet(f"{path}/{name}")
+        # Rows of a day are brought together, else every task writes a file for every day; days with many rows still go to several tasks.
+        df.hint("rebalance", *parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts, "batch_id").parquet(f"{path}/{name}")
 
     put(stories, "stories", date_column)
     put(rows.withColumn("day", day).withColumn("batch_id", F.lit(batch_id).cast("long")), "index", "day")

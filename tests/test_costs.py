@@ -1,7 +1,13 @@
 """Steps whose results stay but that once moved, wrote or computed much more."""
 
+from datetime import datetime
+from pathlib import Path
+
+from pyspark.sql import functions as F
+
 from broadsheet.operators import similarity
 from broadsheet.operators.scoring import classify_rules, news_only
+from broadsheet.streaming.sink import archive_unseen
 
 
 def test_lsh_moves_only_sets_of_stories_that_meet(spark, monkeypatch):
@@ -23,3 +29,13 @@ def test_news_filter_does_not_repeat_the_text(spark, plan, tmp_path):
     path = str(tmp_path / "mail")
     spark.createDataFrame([("a b", "c d")], "subject string, body string").write.parquet(path)
     assert plan(news_only(classify_rules(spark.read.parquet(path)))).count("lower(concat_ws") <= 6
+
+
+def test_archive_writes_a_file_per_day_and_not_per_task(spark, tmp_path):
+    path = str(tmp_path / "archive")
+    rows = [(i, f"story number {i} of the day", datetime(2024, 1, 1 + i % 3, 8)) for i in range(240)]
+    stories = spark.createDataFrame(rows, "story_id long, text string, received_at timestamp").withColumn("digest_date", F.to_date("received_at"))
+    archive_unseen(stories.repartition(8), 0, path)
+    for table in ("stories", "index"):
+        assert len(list(Path(path, table).rglob("*.parquet"))) == 3
+    assert spark.read.parquet(f"{path}/stories").count() == 240
