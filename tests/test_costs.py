@@ -35,7 +35,12 @@ def test_archive_writes_a_file_per_day_and_not_per_task(spark, tmp_path):
     path = str(tmp_path / "archive")
     rows = [(i, f"story number {i} of the day", datetime(2024, 1, 1 + i % 3, 8)) for i in range(240)]
     stories = spark.createDataFrame(rows, "story_id long, text string, received_at timestamp").withColumn("digest_date", F.to_date("received_at"))
-    archive_unseen(stories.repartition(8), 0, path)
+    # Otherwise so few rows would end in one task, as many do not.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        archive_unseen(stories.repartition(8), 0, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     for table in ("stories", "index"):
         assert len(list(Path(path, table).rglob("*.parquet"))) == 3
     assert spark.read.parquet(f"{path}/stories").count() == 240
