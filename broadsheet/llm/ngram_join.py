@@ -3,9 +3,11 @@
 Sets are joined tile by tile. Each set puts its rarest shingles, as many as a
 similar set could all lack at most, into tiles of (shingle, size band); similar sets
 share a tile, as their sizes lie in the same band or in neighbouring ones. Before
-two sets are compared, a bound from above is taken from hashed bitmaps: bits in
-which they differ stand for different elements, so the overlap is at most
-(n + m - differing bits) / 2. What passes is intersected as sorted arrays.
+two sets are compared, a bound from above is taken from hashed bitmaps, whose bits
+tell whether an odd number of elements fell on them. Elements that both sets have
+cancel out, so each bit in which they differ stands for a different element, however
+full the bitmaps are, and the overlap is at most (n + m - differing bits) / 2. What
+passes is intersected as sorted arrays, made for those sets only.
 
 Rarity comes from document counts of all shingles in 2**BUCKET_BITS hash buckets, a
 table of fixed size; any order finds all links, this one keeps tiles small. Equal sets are
@@ -31,11 +33,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.components import clusters
+from ..operators.skew import without
 from ..session import discard, intermediate, materialise
 from .common import SPACED_WORD, lower_ascii, whole_text, words
 
 BUCKET_BITS = 20
-BITMAP_WORDS = 16
+BITMAP_WORDS = 32
 #: Bits of the bitmap of ids that keeps most other texts from being moved to their sets.
 FILTER_BITS = 23
 #: Tiles with more rows than this are compared in blocks.
@@ -144,9 +147,8 @@ def features(hashed: DataFrame, counts: np.ndarray, spec: Spec) -> DataFrame:
                 p = spec.prefix(len(s)) if len(s) else 0
                 seen = counts[(s >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
                 rare.append(s[np.lexsort((s, seen))[:p]].view(np.int64))
-                map_ = np.zeros(64 * BITMAP_WORDS, np.uint8)
-                map_[(s % np.uint64(len(map_))).astype(np.int64)] = 1
-                bits.append(np.packbits(map_).view(np.int64))
+                odd = np.bincount((s % np.uint64(64 * BITMAP_WORDS)).astype(np.int64), minlength=64 * BITMAP_WORDS) & 1
+                bits.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(n, pa.int32()), pa.array(keys, pa.binary()), pa.array(rare, longs), pa.array(bits, longs)],
@@ -199,8 +201,8 @@ def leader_pairs(rows: DataFrame, turn: int, spec: Spec) -> DataFrame:
     return _sized(led.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("lead.id").alias("b"), F.col("lead.n").alias("n_b")), spec)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, arrays: DataFrame, spec: Spec) -> DataFrame:
-    """Pairs (a, b) that are links: bitmaps bound the overlap first, sorted arrays decide."""
+def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, spec: Spec) -> DataFrame:
+    """Pairs (a, b) that are links: bitmaps bound the overlap first, sorted arrays of the sets they leave decide."""
     small = sets.select("id", "n", "bits")
     known = pairs
     for side in "ab":
@@ -208,6 +210,10 @@ def verified(pairs: DataFrame, sets: DataFrame, arrays: DataFrame, spec: Spec) -
     differ = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
     most = F.floor((F.col("n_a") + F.col("n_b") - differ) / 2)
     passed = materialise(known.where(spec.den * most >= spec.num * (F.col("n_a") + F.col("n_b") - most)).select("a", "b"), "bounded")
+    if passed.isEmpty():
+        return passed
+    left = passed.select(F.col("a").alias("id")).unionByName(passed.select(F.col("b").alias("id"))).distinct()
+    arrays = materialise(_arrays(docs, left, spec), "set-arrays")
     for side in "ab":
         passed = passed.join(arrays.select(F.col("id").alias(side), F.col("set").alias("set_" + side)), side)
 
@@ -266,7 +272,7 @@ def _bounded(i: int, n: np.ndarray, guest: np.ndarray, bits: np.ndarray, at: np.
     return at[spec.den * most >= spec.num * (n[at] + n[i] - most)]
 
 
-def _crowd_links(rows: DataFrame, sets: DataFrame, arrays: DataFrame, spec: Spec) -> DataFrame:
+def _crowd_links(rows: DataFrame, sets: DataFrame, docs: DataFrame, spec: Spec) -> DataFrame:
     """Links from crowded tiles, chunk against chunk: bitmaps first, then the sets that bitmaps leave.
 
     A group never holds more than two chunks. A row needs one link to each other
@@ -311,10 +317,13 @@ def _crowd_links(rows: DataFrame, sets: DataFrame, arrays: DataFrame, spec: Spec
 
     shape = "token long, band int, x int, y int, id long, n long, comp long, guest boolean, first boolean, bits array<bigint>"
     needed = materialise(_meetings(rows, sets).groupBy(*key).applyInPandas(bound, shape), "chunk-rows")
+    if needed.isEmpty():
+        return needed.select(F.col("id").alias("a"), F.col("id").alias("b"))
+    arrays = _arrays(docs, needed.select("id").distinct(), spec)
     return needed.join(arrays, "id").groupBy(*key).applyInPandas(compare, "a long, b long").distinct()
 
 
-def _rest_links(rows: DataFrame, sets: DataFrame, arrays: DataFrame, spec: Spec) -> DataFrame:
+def _rest_links(rows: DataFrame, sets: DataFrame, docs: DataFrame, spec: Spec) -> DataFrame:
     """Links between different components that share a tile."""
     size = rows.groupBy("token", "band").agg(F.count("*").alias("rows"))
     known = materialise(rows.join(size, ["token", "band"]), "tile-rows")
@@ -324,8 +333,8 @@ def _rest_links(rows: DataFrame, sets: DataFrame, arrays: DataFrame, spec: Spec)
     near = spec.num * F.greatest("x.n", "y.n") <= spec.den * F.least("x.n", "y.n")
     direct = x.join(y, meet & near & (F.col("y.guest") | (F.col("x.id") < F.col("y.id"))))
     pairs = _sized(direct.select(F.col("x.id").alias("a"), F.col("x.n").alias("n_a"), F.col("y.id").alias("b"), F.col("y.n").alias("n_b")), spec)
-    crowded = _crowd_links(known.where(F.col("rows") > CROWD).drop("rows"), sets, arrays, spec)
-    return verified(pairs, sets, arrays, spec).unionByName(crowded)
+    crowded = _crowd_links(known.where(F.col("rows") > CROWD).drop("rows"), sets, docs, spec)
+    return verified(pairs, sets, docs, spec).unionByName(crowded)
 
 
 def _grown(comps: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -385,22 +394,24 @@ def similar_sets(docs: DataFrame, spec: Spec = Spec()) -> tuple[DataFrame, DataF
     with intermediate(spark) as keep:
         hashed = word_hashes(docs)
         described = keep(materialise(features(hashed, bucket_counts(hashed, spec.width), spec), "shingle-sets"))
-        firsts = described.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("id"))
-        own = described.join(firsts.withColumnRenamed("key", "k"), (F.col("key") == F.col("k")) & (F.col("doc_id") == F.col("id")))
+        whole = described.where("n > 0")
+        firsts = whole.groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+        # Only the names of copies are moved; the rows of the other sets stay where they lie.
+        copies = materialise(whole.select("key", "doc_id").distinct().join(firsts, ["key", "doc_id"], "left_anti"), "copies")
+        own = without(whole, copies, ["key", "doc_id"]).withColumnRenamed("doc_id", "id")
         sets = materialise(own.select("id", "n", "bits").dropDuplicates(["id", "n"]), "sets")
         with intermediate(spark) as hold:
             rows = hold(materialise(tiles(own.select("id", "rare", "n"), spec), "tiles"))
-        arrays = materialise(_arrays(docs, rows.select("id").distinct(), spec), "set-arrays")
         comps = None
         # What a step has read is deleted as soon as its results are written.
         for turn in range(2):
             with intermediate(spark) as hold:
-                grown = hold(_grown(comps, verified(leader_pairs(rows, turn, spec), sets, arrays, spec)))
+                grown = hold(_grown(comps, verified(leader_pairs(rows, turn, spec), sets, docs, spec)))
                 left = hold(materialise(_live(_with_components(rows, grown), "comp"), "tiles"))
             discard(rows)
             comps, rows = grown, left
         with intermediate(spark) as hold:
-            comps = hold(_grown(comps, _rest_links(rows, sets, arrays, spec)))
+            comps = hold(_grown(comps, _rest_links(rows, sets, docs, spec)))
         keep(comps)
     return described, comps
 

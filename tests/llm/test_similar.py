@@ -99,6 +99,24 @@ def test_groups_of_a_crowded_tile_hold_two_chunks(spark, monkeypatch):
     assert most and max(most) <= 4 * 16  # chunks are cut by hash: twice their size at most
 
 
+def test_sets_are_made_only_where_bitmaps_leave_a_pair(spark, monkeypatch):
+    """Long texts that share a rare passage and little else meet in tiles, but their sets are neither made nor moved."""
+    shared = " ".join(f"c{k}" for k in range(300))
+    made = [(i, shared + " " + " ".join(f"u{i}x{k}" for k in range(1500))) for i in range(12)]
+    made += [(100 + i, t + " end") for i, t in made[:2]]
+    fetched, own = [], ngram_join._arrays
+
+    def watched(docs, wanted, spec):
+        fetched.append({r.id for r in wanted.collect()})
+        return own(docs, wanted, spec)
+
+    monkeypatch.setattr(ngram_join, "_arrays", watched)
+    docs = spark.createDataFrame(made, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.components(docs).collect()}
+    assert got == brute_groups(made, ngram_join.Spec())
+    assert set().union(*fetched) == {0, 1, 100, 101}
+
+
 def test_one_document_of_each_group_stays(odd_docs):
     kept = ngram_join.keep_representatives(odd_docs, ngram_join.Spec(5, 80, 100))
     assert kept.columns == odd_docs.columns
