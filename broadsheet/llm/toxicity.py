@@ -219,5 +219,7 @@ def judge(model: Model):
             x = np.array([features(savings.of(text), model.thresholds) for text in part]).reshape(len(part), len(mean))
             z = np.c_[(x - mean) / spread, np.ones(len(x))] @ weights
             yield pd.Series(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+        # The worker stays for later stages, which have no use for the windows.
+        savings.known.clear()
 
     return F.pandas_udf(scores, "double")

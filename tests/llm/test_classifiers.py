@@ -1,6 +1,7 @@
 """Toxicity and quality: held-out accuracy, odd rows, no labels."""
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from broadsheet.llm import mil_quality, toxicity
@@ -96,3 +97,15 @@ def test_both_dictionaries_hold_strings_of_their_kind():
 def test_thresholds_come_from_the_sample():
     saved = [np.array([0, 9 if k % 2 else 4]) for k in range(100)]
     assert set(toxicity.calibrate(saved, [k % 2 for k in range(100)])) >= {5, 6, 7, 8, 9}
+
+
+def test_toxicity_workers_keep_no_windows(spark):
+    """What a task remembers of its texts does not stay in the worker for the stages that follow."""
+    said = [f"plain words number {k}" for k in range(20)] + [f"nasty things number {k}" for k in range(20)]
+    toxic_bytes, ordinary = toxicity.train_dictionaries(said, [0] * 20 + [1] * 20)
+    thresholds = (1,) * toxicity.THRESHOLDS
+    known = toxicity._savings(toxic_bytes, ordinary)
+    width = len(toxicity.features(known.of("a b"), thresholds))
+    model = toxicity.Model(toxic_bytes, ordinary, thresholds, (0.0,) * width, (1.0,) * width, (0.1,) * (width + 1))
+    scored = list(toxicity.judge(model).func(iter([pd.Series(said)])))
+    assert len(scored[0]) == 40 and not known.known
