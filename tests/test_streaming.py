@@ -171,3 +171,10 @@ def test_coverage_runs_in_a_session_without_settings(spark, two_tasks):
         assert sorted(r.message_id for r in out.collect()) == [1, 3]
     finally:
         spark.conf.set(memory.STATE_STORE, ours)
+
+
+def test_coverage_after_the_last_time_that_pandas_knows(spark, two_tasks):
+    far = datetime(2309, 5, 1)
+    mail = spark.createDataFrame([("a", 1, far, "x"), ("a", 2, far + timedelta(days=1), "X"), ("a", 3, far + timedelta(days=9), "x")], SCHEMA)
+    out = jobs.replayed_table(mail, "received_at", lambda s: memory.first_coverage(s, "body", ("message_id",), days=7), 1)
+    assert sorted((r.message_id, r.received_at) for r in out.collect()) == [(1, far), (3, far + timedelta(days=9))]
