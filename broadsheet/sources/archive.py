@@ -10,9 +10,12 @@ TEXT_PART = "Please open this digest in a mail reader that shows HTML."
 
 
 def write_archive(df: DataFrame, path: str, date_column: str = "digest_date") -> None:
-    """Replace exactly the dates present in ``df``; a repeated run changes nothing."""
+    """Replace exactly the dates present in ``df``; a repeated run changes nothing.
+
+    Rows of a date are brought together, else every task writes a file for every date; a date with many rows still goes to several tasks.
+    """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", date_column).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(date_column)
         .parquet(path)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.operators import similarity
 from broadsheet.operators.scoring import classify_rules, news_only
+from broadsheet.sources.archive import write_archive
 from broadsheet.streaming.sink import archive_unseen
 
 
@@ -44,3 +45,13 @@ def test_archive_writes_a_file_per_day_and_not_per_task(spark, tmp_path):
     for table in ("stories", "index"):
         assert len(list(Path(path, table).rglob("*.parquet"))) == 3
     assert spark.read.parquet(f"{path}/stories").count() == 240
+
+
+def test_dated_archive_writes_a_file_per_day_and_not_per_task(spark, tmp_path):
+    rows = spark.range(240).select("id", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 3).cast("int")).alias("digest_date"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_archive(rows.repartition(8), str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(list(tmp_path.rglob("*.parquet"))) == 3 and spark.read.parquet(str(tmp_path)).count() == 240

@@ -1,8 +1,10 @@
 import json
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
+from broadsheet.plans import digest_queries
 from broadsheet.sources import archive, messages as M
 
 
@@ -97,3 +99,13 @@ def test_clocks_prune_folders_at_run_time(spark, tmp_path, plan):
     clocks = spark.read.parquet(str(tmp_path / "clocks")).where("account = 'a3'")
     text = plan(M.trailing_by_account(M.read_messages(spark, str(tmp_path / "m")), clocks))
     assert "dynamicpruning" in text
+
+
+@pytest.mark.parametrize("lines, kind", [(2, "bigint"), (1500, "decimal(30,0)")])
+def test_sums_of_a_day_are_exact_beyond_64_bits(spark, tmp_path, lines, kind):
+    first = 3_000_000
+    spark.createDataFrame([(first, "\n".join(f"line {i}" for i in range(lines)), "en", "a")], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(first, 1, 0)], "doc_id long, quality long, toxic long").write.parquet(f"{tmp_path}/labels.parquet")
+    told = digest_queries.archive_roundtrip(spark, str(tmp_path))
+    assert dict(told.dtypes)["id_sum"] == kind
+    assert [(r.n, int(r.id_sum)) for r in told.collect()] == [(lines, sum(first * 2**31 + i for i in range(lines)))]
