@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..config import SimilarityConfig
 from ..functions.text import fingerprint
 from ..operators.similarity import shingles
-from ..operators.skew import join_skewed
-from ..session import materialise, read_if_there
+from ..operators.skew import among, join_skewed, without
+from ..session import discard, intermediate, materialise, read_if_there, tidy
 
 DAY_US = 86_400_000_000
 #: Earliest texts of a posting that everything in it is compared with first.
@@ -69,23 +69,31 @@ def _similar(probes: DataFrame, told: DataFrame, postings: DataFrame, days: int,
         F.explode(_bands(F.col("n"), config, 1)).alias("band"), "grams",
     ).select("*", F.explode(_prefix(F.col("grams"), config)).alias("gram")).drop("grams")
     sizes = (F.col("told_n") * config.den >= F.col("new_n") * config.num) & (F.col("new_n") * config.den >= F.col("told_n") * config.num)
-    met = join_skewed(wanted, postings, ["band", "gram"]).where(sizes & _earlier("told", "new", days)).select("new_key", "told_key").distinct()
-    both = met.join(probes.select(F.col("key").alias("new_key"), F.col("grams").alias("_new"), "n"), "new_key").join(
-        told.select(F.col("key").alias("told_key"), F.col("grams").alias("_told"), F.col("n").alias("m")), "told_key")
+    met = materialise(join_skewed(wanted, postings, ["band", "gram"]).where(sizes & _earlier("told", "new", days)).select("new_key", "told_key").distinct(), "met")
+    # Only sets of texts that meet another one are moved.
+    news, olds = (materialise(met.select(F.col(c).alias("key")).distinct(), "meeting") for c in ("new_key", "told_key"))
+    both = met.join(among(probes.select("key", "grams", "n"), news, ["key"]).select(F.col("key").alias("new_key"), F.col("grams").alias("_new"), "n"), "new_key").join(
+        among(told.select("key", "grams", "n"), olds, ["key"]).select(F.col("key").alias("told_key"), F.col("grams").alias("_told"), F.col("n").alias("m")), "told_key")
     shared = F.size(F.array_intersect("_new", "_told"))
-    return both.where(shared * config.den >= (F.col("n") + F.col("m") - shared) * config.num).select(F.col("new_key").alias("key")).distinct()
+    near = both.where(shared * config.den >= (F.col("n") + F.col("m") - shared) * config.num).select(F.col("new_key").alias("key")).distinct()
+    near = materialise(near, "near")
+    for done in (met, news, olds):
+        discard(done)
+    return near
 
 
 def unseen(batch: DataFrame, known: DataFrame, days: int, config: SimilarityConfig) -> DataFrame:
-    """Rows of ``batch`` whose text, or one at the similarity, is not covered in the ``days`` before by ``known`` or ``batch``.
+    """(key) of the rows of ``batch`` whose text, or one at the similarity, is not covered in the ``days`` before by ``known`` or ``batch``.
 
-    Both have (key, us, last_us, fingerprint, n, grams). Crowds of near copies are told by the earliest
+    ``batch`` is a written table. Both have (key, us, last_us, fingerprint, n, grams). Crowds of near copies are told by the earliest
     texts of their postings; only what is unlike those meets the rest of a posting.
     """
     told_columns = [F.col("key").alias("told_key"), F.col("us").alias("told_us"), F.col("last_us").alias("told_last")]
     same = batch.select(F.col("key").alias("new_key"), F.col("us").alias("new_us"), "fingerprint").join(
         known.select("fingerprint", *told_columns), "fingerprint").where(_earlier("told", "new", days)).select(F.col("new_key").alias("key"))
-    open_rows = materialise(batch.join(same.distinct(), "key", "left_anti"), "unseen")
+    # Sets are not written again for what is still open; they are read from the batch.
+    same = materialise(same.distinct(), "same")
+    open_rows = without(batch, same, ["key"])
     told = known.unionByName(batch)
     postings = materialise(told.where("n > 0").select(
         *told_columns, F.col("n").alias("told_n"), F.get(_bands(F.col("n"), config, 0), F.lit(0)).alias("band"),
@@ -93,9 +101,10 @@ def unseen(batch: DataFrame, known: DataFrame, days: int, config: SimilarityConf
     ranked = postings.withColumn("_place", F.row_number().over(Window.partitionBy("band", "gram").orderBy("told_us", "told_key")))
     leaders = ranked.where(F.col("_place") <= LEADERS).drop("_place")
     probes = open_rows.where("n > 0")
-    led = materialise(_similar(probes, told, leaders, days, config), "led")
-    rest = materialise(probes.join(led, "key", "left_anti"), "rest")
-    return open_rows.join(led.unionByName(_similar(rest, told, postings, days, config)), "key", "left_anti")
+    led = _similar(probes, told, leaders, days, config)
+    rest = without(probes, led, ["key"])
+    found = _similar(rest, told, postings, days, config)
+    return materialise(without(without(open_rows.select("key"), led, ["key"]), found, ["key"]), "fresh")
 
 
 def archive_unseen(
@@ -108,32 +117,36 @@ def archive_unseen(
     one. Rows without text or time are no stories. ``key`` tells rows apart and decides between equal times.
     """
     spark = batch.sparkSession
-    told = bursts(batch, text, at, key, days)
-    grams = shingles(F.col("first")[text], config.width)
-    told = materialise(told.select(
-        F.col("first")[key].alias("key"), F.col("first.us").alias("us"), "last_us", "fingerprint", grams.alias("grams"), "first",
-    ).withColumn("n", F.size("grams").cast("long")), "told")
-    index_columns = ["key", "us", "last_us", "fingerprint", "n", "grams"]
-    rows = told.select(index_columns)
-    stored = read_if_there(spark, f"{path}/index", "key long, us long, last_us long, fingerprint string, n long, grams array<bigint>, day date, batch_id long")
-    if stored is None:
-        known = rows.limit(0)
-    else:
-        first = told.agg(F.min("us")).first()[0]
-        horizon = (first or 0) - days * DAY_US
-        # The day of a row's last coverage is a folder, so what is long past is not read.
-        reach = F.to_date(F.timestamp_micros(F.lit(horizon)))
-        known = stored.where((F.col("batch_id") < batch_id) & (F.col("day") >= reach) & (F.col("last_us") > horizon)).select(index_columns)
-    fresh = told.join(unseen(rows, known, days, config).select("key"), "key", "left_semi")
-    stories = fresh.select(*[F.col("first")[c].alias(c) for c in batch.columns]).withColumn("batch_id", F.lit(batch_id).cast("long"))
-    day = F.to_date(F.timestamp_micros("last_us"))
-
-    def put(df: DataFrame, name: str, *parts: str) -> None:
-        # Rows of a day are brought together, else every task writes a file for every day; days with many rows still go to several tasks.
-        df.hint("rebalance", *parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts, "batch_id").parquet(f"{path}/{name}")
-
-    put(stories, "stories", date_column)
-    put(rows.withColumn("day", day).withColumn("batch_id", F.lit(batch_id).cast("long")), "index", "day")
+    # What a batch writes besides the archive and its index is of no use to later ones.
+    with intermediate(spark):
+        told = bursts(batch, text, at, key, days)
+        grams = shingles(F.col("first")[text], config.width)
+        told = materialise(told.select(
+            F.col("first")[key].alias("key"), F.col("first.us").alias("us"), "last_us", "fingerprint", grams.alias("grams"), "first",
+        ).withColumn("n", F.size("grams").cast("long")), "told", "zstd")
+        index_columns = ["key", "us", "last_us", "fingerprint", "n", "grams"]
+        rows = told.select(index_columns)
+        stored = read_if_there(spark, f"{path}/index", "key long, us long, last_us long, fingerprint string, n long, grams array<bigint>, day date, batch_id long")
+        if stored is None:
+            known = rows.limit(0)
+        else:
+            first = told.agg(F.min("us")).first()[0]
+            horizon = (first or 0) - days * DAY_US
+            # The day of a row's last coverage is a folder, so what is long past is not read.
+            reach = F.to_date(F.timestamp_micros(F.lit(horizon)))
+            known = stored.where((F.col("batch_id") < batch_id) & (F.col("day") >= reach) & (F.col("last_us") > horizon)).select(index_columns)
+        fresh = among(told, unseen(rows, known, days, config), ["key"])
+        stories = fresh.select(*[F.col("first")[c].alias(c) for c in batch.columns]).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        day = F.to_date(F.timestamp_micros("last_us"))
+
+        def put(df: DataFrame, name: str, *parts: str) -> None:
+            # Rows of a day are brought together, else every task writes a file for every day; days with many rows still go to several tasks.
+            with tidy(spark):
+                df.hint("rebalance", *parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts, "batch_id").parquet(
+                    f"{path}/{name}", compression="zstd")
+
+        put(stories, "stories", date_column)
+        put(rows.withColumn("day", day).withColumn("batch_id", F.lit(batch_id).cast("long")), "index", "day")
 
 
 def archive_stories(stream: DataFrame, path: str, progress: str, **settings) -> None:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from broadsheet.operators import similarity
 from broadsheet.operators.scoring import classify_rules, news_only
 from broadsheet.sources.archive import write_archive
+from broadsheet.session import shared_dir
+from broadsheet.streaming import jobs
 from broadsheet.streaming.sink import archive_unseen
 
 
@@ -55,3 +57,22 @@ def test_dated_archive_writes_a_file_per_day_and_not_per_task(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(list(tmp_path.rglob("*.parquet"))) == 3 and spark.read.parquet(str(tmp_path)).count() == 240
+
+
+def test_a_batch_of_the_archive_leaves_nothing_else_behind(spark, tmp_path):
+    shared = Path(shared_dir(spark).removeprefix("file:"), "broadsheet")
+    before = {p.name for p in shared.glob("*")}
+    rows = [(i, f"story number {i % 9} of the day", datetime(2024, 1, 1 + i % 3, 8)) for i in range(20)]
+    stories = spark.createDataFrame(rows, "story_id long, text string, received_at timestamp").withColumn("digest_date", F.to_date("received_at"))
+    archive_unseen(stories, 0, str(tmp_path / "archive"))
+    assert {p.name for p in shared.glob("*")} == before
+    assert {p.name for p in tmp_path.glob("archive/*")} == {"stories", "index"}
+
+
+def test_a_replay_keeps_its_rows_once(spark):
+    shared = Path(shared_dir(spark).removeprefix("file:"), "broadsheet")
+    before = set(shared.glob("*/**/*.parquet"))
+    mail = spark.range(100).select("id", F.timestamp_seconds("id").alias("at"))
+    jobs.replay(mail, "at", lambda stream, folder: None, slices=3, closing=None)
+    written = [str(p) for p in set(shared.glob("*/**/*.parquet")) - before]
+    assert spark.read.parquet(*written).count() == 100
