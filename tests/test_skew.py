@@ -63,3 +63,17 @@ def test_rows_of_pieces_are_short(spark, plan):
     sets = shingle_sets(spark.createDataFrame([("s", i, " ".join(f"w{j}" for j in range(60))) for i in range(2)], "scope string, id long, text string"))
     moved = re.findall(r"\) Exchange\nInput \[(\d+)\]: \[[^\]]*\bpiece#", plan(piece_postings(sets, SimilarityConfig())))
     assert moved and all(int(columns) <= 4 for columns in moved)
+
+
+def test_a_map_of_keys_is_sent_in_few_rows(spark, monkeypatch):
+    """The driver holds what is sent: a row for many words of the map, and no long list of keys."""
+    assert skew.LISTED <= 100_000
+    monkeypatch.setattr(skew, "LISTED", 0)
+    monkeypatch.setattr(skew, "MAP_BITS", 1 << 16)
+    sent, real = [], F.broadcast
+    monkeypatch.setattr(skew.F, "broadcast", lambda df: sent.append(df) or real(df))
+    rows = spark.range(30_000).select("id")
+    keys = materialise(rows.where("id % 3 = 0"))
+    assert skew.among(rows, keys, ["id"]).count() == 10_000 and skew.without(rows, keys, ["id"]).count() == 20_000
+    # 1,024 words of 64 bits.
+    assert max(df.count() for df in sent) <= 16
