@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.operators import similarity
 from broadsheet.operators.scoring import classify_rules, news_only
+from broadsheet.plans import story_queries
 from broadsheet.sources.archive import write_archive
 from broadsheet.session import shared_dir
 from broadsheet.streaming import jobs
@@ -76,3 +77,9 @@ def test_a_replay_keeps_its_rows_once(spark):
     jobs.replay(mail, "at", lambda stream, folder: None, slices=3, closing=None)
     written = [str(p) for p in set(shared.glob("*/**/*.parquet")) - before]
     assert spark.read.parquet(*written).count() == 100
+
+
+def test_merged_items_are_made_once(spark, plan):
+    merged = story_queries.merged_stories(spark, "/root/testdata/sf0.001", written=True)
+    for table in (merged.stories, merged.urls, merged.accounts):
+        assert "documents.parquet" not in plan(table)
